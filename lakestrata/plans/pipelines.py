@@ -1,0 +1,204 @@
+"""Layer-to-layer pipelines: ingest landed responses, standardize raw snapshots, refine
+dimensions and facts, publish to the warehouse.
+
+Each pipeline is a handful of distributed jobs on the caller's session. The only values
+that reach the driver are metadata bounded by the number of tables (which tables a run
+touches, their status), never table rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from lakestrata import fixed
+from lakestrata.operators.quality import integrity_check
+from lakestrata.operators.relational import dedupe_keep_first
+from lakestrata.operators.transforms import ConformSpec, add_audit_columns, conform
+from lakestrata.plans.facts import DEFAULT_SPEC, StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
+from lakestrata.sinks.writers import publish_refined, write_jdbc, write_json, write_parquet
+from lakestrata.sources.files import (
+    read_csv,
+    read_json,
+    read_latest_snapshot,
+    read_parquet,
+    read_xml,
+    select_raw_files,
+)
+from lakestrata.sources.layout import LakeLayout, date_key
+
+SOURCE_FILE = "__source_file"
+SOURCE_POS = "__source_pos"
+
+
+# --- extract: landed XML responses -> raw JSON -----------------------------------------------
+
+def lift_nested_ids(df: DataFrame, children: Mapping[str, str] = fixed.NESTED_ID_CHILDREN) -> DataFrame:
+    """Replace each nested element by the text of its id child (null when absent)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    lifted: dict[str, Column] = {}
+    for element, child in children.items():
+        if element not in types:
+            continue
+        dtype = types[element]
+        if isinstance(dtype, StructType) and child in dtype.fieldNames():
+            lifted[element] = F.col(f"`{element}`.`{child}`").cast("string")
+        else:
+            lifted[element] = F.lit(None).cast("string")
+    return df.withColumns(lifted) if lifted else df
+
+
+def read_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str,
+                   schema: StructType | None = None,
+                   request_key: tuple[str, str] | None = None) -> DataFrame:
+    """Landed response files -> rows of ``row_tag`` with their origin.
+
+    ``request_key=(column, regex)`` adds the request key taken from each file's path (group
+    1 of ``regex``), as the extractor added the key it asked for. Every row carries its
+    file and position, which define "first" for keyed dedupe.
+    """
+    df = read_xml(spark, paths, row_tag, schema=schema)
+    df = df.withColumns({
+        SOURCE_FILE: F.col("_metadata.file_path"),
+        SOURCE_POS: F.monotonically_increasing_id(),
+    })
+    if request_key:
+        column, regex = request_key
+        df = df.withColumn(column, F.regexp_extract(F.col(SOURCE_FILE), regex, 1))
+    return df
+
+
+def ingest_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str, key: str,
+                     request_key: tuple[str, str] | None = None,
+                     children: Mapping[str, str] = fixed.NESTED_ID_CHILDREN,
+                     schema: StructType | None = None, keep_origin: bool = False) -> DataFrame:
+    """Responses -> flat rows, nested ids lifted, one row per ``key`` (first seen wins)."""
+    df = lift_nested_ids(read_responses(spark, paths, row_tag, schema, request_key), children)
+    out = dedupe_keep_first(df, key, [SOURCE_FILE, SOURCE_POS])
+    return out if keep_origin else out.drop(SOURCE_FILE, SOURCE_POS)
+
+
+def nested_entity(spark: SparkSession, paths: str | Sequence[str], row_tag: str, element: str,
+                  key: str | None = None, schema: StructType | None = None) -> DataFrame:
+    """Project a nested element of the responses out as its own table, one row per key
+    (default key ``Id{element}``). Parses the responses once at ``row_tag``."""
+    key = key or f"Id{element}"
+    df = read_responses(spark, paths, row_tag, schema)
+    ent = df.select(f"`{element}`.*", SOURCE_FILE, SOURCE_POS)
+    return dedupe_keep_first(ent, key, [SOURCE_FILE, SOURCE_POS]).drop(SOURCE_FILE, SOURCE_POS)
+
+
+def land_raw(df: DataFrame, layout: LakeLayout, area: str, endpoint: str, day: Any = None,
+             system: str = fixed.RAW_CONTEXT) -> str:
+    """Write extracted rows as the raw JSON snapshot of ``day``; returns its path."""
+    path = layout.raw(area, endpoint, day, "json", system)
+    write_json(df, path)
+    return path
+
+
+# --- standardize: raw -> standardized -------------------------------------------------------
+
+STATUS_SCHEMA = ("business_area string, source_system string, endpoint string, "
+                 "date_extraction string, raw_path string, standardized_path string, "
+                 "n_rows bigint, n_duplicates bigint, ok boolean, error string")
+
+
+def _read_raw(spark: SparkSession, file_type: str, paths: list[str],
+              schema: StructType | None) -> DataFrame:
+    if file_type == "csv":
+        return read_csv(spark, paths, schema=schema)
+    # Raw JSON is either a JSON array per file (the extractor's form) or JSON Lines
+    # (Spark's form); a JSON Lines read of an array file yields one corrupt record.
+    return read_json(spark, paths, schema=schema, multi_line=_is_json_array(spark, paths))
+
+
+def _is_json_array(spark: SparkSession, paths: list[str]) -> bool:
+    first = spark.read.text(paths).where(F.trim("value") != "").select(F.trim("value")).first()
+    return bool(first) and str(first[0]).startswith("[")
+
+
+def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingestion_date: Any,
+                business_area: str | None = None, check_integrity: bool = True,
+                load_ts: Any = None, schemas: Mapping[str, StructType] | None = None) -> DataFrame:
+    """Standardize one day's raw files of one type into Parquet with audit columns.
+
+    One read per table (all its files of the day in one multi-path read), an optional
+    one-pass duplicate check, audit columns, and an overwrite of
+    ``standardized/{area}/{system}/{endpoint}/{day}/{endpoint}_{day}.parquet``. A table
+    that fails is reported and the run goes on. Returns one status row per table.
+    """
+    day = date_key(ingestion_date)
+    files = select_raw_files(spark, layout.raw_root, file_type, day, business_area)
+    tables = (files.groupBy("business_area", "source_system", "endpoint", "date_extraction")
+                   .agg(F.sort_array(F.collect_set("dataset_path")).alias("datasets"))
+                   .orderBy("business_area", "source_system", "endpoint")
+                   .collect())  # one row per table of the day: bounded metadata
+    status = []
+    for t in tables:
+        target = layout.standardized(t.business_area, t.endpoint, day, t.source_system)
+        n_rows = n_dup = None
+        ok, error = True, None
+        try:
+            schema = (schemas or {}).get(t.endpoint)
+            df = _read_raw(spark, file_type, list(t.datasets), schema)
+            if check_integrity:
+                report = integrity_check(df).first()
+                n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
+            write_parquet(add_audit_columns(df, load_ts), target)
+        except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
+            ok, error = False, f"{type(e).__name__}: {e}"[:1000]
+        status.append((t.business_area, t.source_system, t.endpoint, t.date_extraction,
+                       ",".join(t.datasets), target, n_rows, n_dup, ok, error))
+    return spark.createDataFrame(status, STATUS_SCHEMA)
+
+
+# --- refine: standardized -> refined -------------------------------------------------------
+
+def refine_dimension(spark: SparkSession, layout: LakeLayout, area: str, endpoint: str,
+                     table: str, spec: ConformSpec | None = None, load_ts: Any = None,
+                     system: str = fixed.RAW_CONTEXT) -> str:
+    """Newest standardized snapshot -> optional transform chain -> refined table."""
+    df = read_latest_snapshot(spark, layout.standardized_table(area, endpoint, system))
+    if spec is not None:
+        df = conform(df, spec)
+    path = layout.refined(area, table, system)
+    publish_refined(df, path, load_ts=load_ts)
+    return path
+
+
+def refine_stalled_facts(spark: SparkSession, layout: LakeLayout,
+                         dims: Mapping[str, tuple[str, str]], out_area: str,
+                         spec: StarSpec = DEFAULT_SPEC, as_of: Any = None, load_ts: Any = None,
+                         system: str = fixed.RAW_CONTEXT) -> dict[str, str]:
+    """Build the three stalled-case facts from the refined dimensions.
+
+    ``dims`` maps ``movements``, ``units``, ``cases``, ``case_types`` to (area, table) of
+    refined tables. Writes ``fato_..`` tables under ``out_area`` and returns their paths.
+    """
+    frames = {role: read_parquet(spark, layout.refined(a, t, system)) for role, (a, t) in dims.items()}
+    args = (frames["movements"], frames["units"], frames["cases"], frames["case_types"], spec)
+    outputs = {
+        "stalled_cases": stalled_cases(*args, as_of=as_of),
+        "stalled_by_unit": stalled_by_unit(*args),
+        "stalled_by_type": stalled_by_type(*args),
+    }
+    paths = {}
+    for name, df in outputs.items():
+        paths[name] = layout.refined(out_area, name, system)
+        publish_refined(df, paths[name], load_ts=load_ts)
+    return paths
+
+
+# --- consume: refined -> warehouse ------------------------------------------------------------
+
+def publish_to_warehouse(spark: SparkSession, layout: LakeLayout, area: str, table: str,
+                         url: str, mode: str = "overwrite", schema: str = "dw",
+                         properties: Mapping[str, str] | None = None,
+                         context: str = fixed.RAW_CONTEXT, **write_options) -> None:
+    """Copy a refined table into ``{schema}.{table}`` with mode overwrite or append."""
+    df = read_parquet(spark, layout.refined(area, table, context))
+    write_jdbc(df, url, f"{schema}.{table}", mode, properties, **write_options)
