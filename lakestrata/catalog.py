@@ -88,6 +88,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_FIXTURES: dict[tuple[str, str, str], object] = {}
+
+
+def _fixture(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession, str], object]):
+    """Files a query derives from the tables, written once per session and tables folder."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _FIXTURES:
+        _FIXTURES[key] = build(spark, d)
+    return _FIXTURES[key]
+
+
 # --- the synthetic star ------------------------------------------------------------------
 
 def movements(spark: SparkSession, d: str) -> DataFrame:
@@ -162,7 +173,7 @@ def fact_by_type(spark, d):
 
 def fact_stalled_join_back(spark, d):
     """The same fact through max + join back (the reference's plan shape)."""
-    return stalled_cases(*_star(spark, d), SYN_SPEC, as_of=AS_OF, method="join_back")
+    return stalled_cases(*_star(spark, d), SYN_SPEC, as_of=AS_OF, sort_latest_first=True, method="join_back")
 
 
 _FACT_SQL = STAR_SQL + f"""
@@ -415,7 +426,7 @@ def q_parquet_overwrite(spark, d):
 
 # --- XML responses ------------------------------------------------------------------------------
 
-def _land_responses(spark, d) -> str:
+def _write_responses(spark, d) -> str:
     """lineitem x supplier landed as XML responses, one folder per request (return flag);
     lines numbered 1 are re-sent under request Z (duplicates of earlier responses). The
     movement key is made of the row's own values, so rows sharing a key are equal."""
@@ -437,6 +448,19 @@ def _land_responses(spark, d) -> str:
     return path
 
 
+def _land_responses(spark, d) -> str:
+    return _fixture(spark, d, "responses", _write_responses)
+
+
+RESPONSE_SCHEMA = StructType([
+    StructField("IdAndamento", StringType()),
+    StructField("Unidade", StructType([StructField("IdUnidade", StringType()), StructField("Sigla", StringType())])),
+    StructField("Usuario", StructType([StructField("IdUsuario", StringType())])),
+    StructField("IdTarefa", StringType()),
+    StructField("DataHora", StringType()),
+])
+
+
 def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -455,17 +479,17 @@ def q_xml_flatten(spark, d):
 
 def q_nested_id_lift(spark, d):
     path = _land_responses(spark, d)
-    df = lift_nested_ids(read_responses(spark, path, "item"))
+    df = lift_nested_ids(read_responses(spark, path, "item", RESPONSE_SCHEMA))
     return df.select("IdAndamento", "Unidade", "Usuario", "request")
 
 
 def q_nested_entity_dim(spark, d):
-    return nested_entity(spark, _land_responses(spark, d), "item", "Unidade")
+    return nested_entity(spark, _land_responses(spark, d), "item", "Unidade", schema=RESPONSE_SCHEMA)
 
 
 def q_ingest_movements(spark, d):
     path = _land_responses(spark, d)
-    out = ingest_responses(spark, path, "item", "IdAndamento",
+    out = ingest_responses(spark, path, "item", "IdAndamento", schema=RESPONSE_SCHEMA,
                            request_key=("IdProcedimentoFormatado", r"/request=([^/]+)/"))
     return out.drop("request")
 
@@ -481,7 +505,7 @@ def _orders_text(spark, d):
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
 
 
-def _land_raw_lake(spark, d) -> LakeLayout:
+def _write_raw_lake(spark, d) -> LakeLayout:
     """orders under three days (one status per day), a CSV of another status on the
     middle day, a second business area, and a dataset outside the layout depth."""
     lake = LakeLayout(shared_dir(spark, "lake"))
@@ -494,6 +518,10 @@ def _land_raw_lake(spark, d) -> LakeLayout:
     return lake
 
 
+def _land_raw_lake(spark, d) -> LakeLayout:
+    return _fixture(spark, d, "raw_lake", _write_raw_lake)
+
+
 ORDERS_OUT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"]
 
 ORDERS_TEXT_SCHEMA = StructType([
@@ -512,20 +540,22 @@ def q_raw_file_selection(spark, d):
 
 def q_standardize_json(spark, d):
     lake = _land_raw_lake(spark, d)
-    standardize(spark, lake, "json", "20240102", business_area="sales", load_ts=LOAD_TS)
-    out = read_parquet(spark, lake.standardized("sales", "orders", "20240102"))
+    out_lake = LakeLayout(shared_dir(spark, "lake"))
+    standardize(spark, lake, "json", "20240102", business_area="sales", load_ts=LOAD_TS, target=out_lake)
+    out = read_parquet(spark, out_lake.standardized("sales", "orders", "20240102"))
     return _audit_text(out.select(*ORDERS_OUT, "dt_carga", "etl_versao", "etl_dt_inicio", "etl_dt_fim"))
 
 
 def q_standardize_csv(spark, d):
     lake = _land_raw_lake(spark, d)
-    standardize(spark, lake, "csv", "20240102", load_ts=LOAD_TS)
-    out = read_parquet(spark, lake.standardized("sales", "orders", "20240102"))
+    out_lake = LakeLayout(shared_dir(spark, "lake"))
+    standardize(spark, lake, "csv", "20240102", load_ts=LOAD_TS, target=out_lake)
+    out = read_parquet(spark, out_lake.standardized("sales", "orders", "20240102"))
     out = conform_to_schema(out, ORDERS_TEXT_SCHEMA)
     return out
 
 
-def _land_standardized(spark, d) -> LakeLayout:
+def _write_standardized(spark, d) -> LakeLayout:
     lake = LakeLayout(shared_dir(spark, "lake"))
     o = _orders_text(spark, d)
     for day, status in RAW_DAYS.items():
@@ -533,6 +563,10 @@ def _land_standardized(spark, d) -> LakeLayout:
     return lake
 
 
+def _land_standardized(spark, d) -> LakeLayout:
+    return _fixture(spark, d, "standardized_lake", _write_standardized)
+
+
 def q_latest_snapshot(spark, d):
     lake = _land_standardized(spark, d)
     return read_latest_snapshot(spark, lake.standardized_table("sales", "orders"))
@@ -547,7 +581,8 @@ REFINE_SPEC = ConformSpec(
 
 def q_refine_dimension(spark, d):
     lake = _land_standardized(spark, d)
-    path = refine_dimension(spark, lake, "sales", "orders", "dim_orders", REFINE_SPEC, load_ts=LOAD_TS)
+    path = refine_dimension(spark, lake, "sales", "orders", "dim_orders", REFINE_SPEC, load_ts=LOAD_TS,
+                            target=LakeLayout(shared_dir(spark, "lake")))
     return _audit_text(read_parquet(spark, path))
 
 

@@ -123,14 +123,17 @@ def _is_json_array(spark: SparkSession, paths: list[str]) -> bool:
 
 def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingestion_date: Any,
                 business_area: str | None = None, check_integrity: bool = True,
-                load_ts: Any = None, schemas: Mapping[str, StructType] | None = None) -> DataFrame:
+                load_ts: Any = None, schemas: Mapping[str, StructType] | None = None,
+                target: LakeLayout | None = None) -> DataFrame:
     """Standardize one day's raw files of one type into Parquet with audit columns.
 
     One read per table (all its files of the day in one multi-path read), an optional
     one-pass duplicate check, audit columns, and an overwrite of
     ``standardized/{area}/{system}/{endpoint}/{day}/{endpoint}_{day}.parquet``. A table
     that fails is reported and the run goes on. Returns one status row per table.
+    ``target`` writes the standardized layer under another root (default: ``layout``).
     """
+    target = target or layout
     day = date_key(ingestion_date)
     files = select_raw_files(spark, layout.raw_root, file_type, day, business_area)
     tables = (files.groupBy("business_area", "source_system", "endpoint", "date_extraction")
@@ -139,7 +142,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                    .collect())  # one row per table of the day: bounded metadata
     status = []
     for t in tables:
-        target = layout.standardized(t.business_area, t.endpoint, day, t.source_system)
+        out_path = target.standardized(t.business_area, t.endpoint, day, t.source_system)
         n_rows = n_dup = None
         ok, error = True, None
         try:
@@ -148,11 +151,11 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
             if check_integrity:
                 report = integrity_check(df).first()
                 n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
-            write_parquet(add_audit_columns(df, load_ts), target)
+            write_parquet(add_audit_columns(df, load_ts), out_path)
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
             ok, error = False, f"{type(e).__name__}: {e}"[:1000]
         status.append((t.business_area, t.source_system, t.endpoint, t.date_extraction,
-                       ",".join(t.datasets), target, n_rows, n_dup, ok, error))
+                       ",".join(t.datasets), out_path, n_rows, n_dup, ok, error))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 
@@ -160,12 +163,13 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
 
 def refine_dimension(spark: SparkSession, layout: LakeLayout, area: str, endpoint: str,
                      table: str, spec: ConformSpec | None = None, load_ts: Any = None,
-                     system: str = fixed.RAW_CONTEXT) -> str:
-    """Newest standardized snapshot -> optional transform chain -> refined table."""
+                     system: str = fixed.RAW_CONTEXT, target: LakeLayout | None = None) -> str:
+    """Newest standardized snapshot -> optional transform chain -> refined table
+    (under ``target``'s root when given)."""
     df = read_latest_snapshot(spark, layout.standardized_table(area, endpoint, system))
     if spec is not None:
         df = conform(df, spec)
-    path = layout.refined(area, table, system)
+    path = (target or layout).refined(area, table, system)
     publish_refined(df, path, load_ts=load_ts)
     return path
 
