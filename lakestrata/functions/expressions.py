@@ -78,7 +78,7 @@ def date_key(c: str | Column) -> Column:
 
 def parse_date_key(c: str | Column) -> Column:
     """``yyyyMMdd`` text -> date, null when malformed."""
-    return F.try_to_date(_col(c), F.lit(DATE_KEY_FORMAT))
+    return F.try_to_date(_col(c), DATE_KEY_FORMAT)
 
 
 def path_part(path: str | Column, index: int) -> Column:

@@ -11,6 +11,7 @@ import re
 from collections.abc import Sequence
 from urllib.parse import urlparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -77,7 +78,13 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(
+    try:
+        files = reader.load(root)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"no such folder: {root}") from e
+        raise
+    return files.select(
         "path", "length", F.col("modificationTime").alias("modified"))
 
 
