@@ -56,6 +56,7 @@ from lakestrata.operators.transforms import (
 from lakestrata.plans.facts import StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
 from lakestrata.plans.pipelines import (
     ingest_responses,
+    land_raw,
     lift_nested_ids,
     nested_entity,
     read_responses,
@@ -443,7 +444,8 @@ def _write_responses(spark, d) -> str:
     )
     resent = rows.where(F.col("l_linenumber") == 1).withColumn("request", F.lit("Z"))
     path = shared_dir(spark, "xml") + "/responses"
-    write_xml(union_positional(rows, resent).drop("l_linenumber"), path, "item", "items",
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_xml(union_positional(rows, resent).drop("l_linenumber").repartition(n), path, "item", "items",
               partition_by=["request"])
     return path
 
@@ -494,6 +496,20 @@ def q_ingest_movements(spark, d):
     return out.drop("request")
 
 
+def q_lake_end_to_end(spark, d):
+    """Responses -> keyed dedupe -> raw JSON (dated) -> standardized Parquet -> refined
+    dimension with cleaned strings and audit columns."""
+    lake = LakeLayout(shared_dir(spark, "lake"))
+    moves = ingest_responses(spark, _land_responses(spark, d), "item", "IdAndamento", schema=RESPONSE_SCHEMA,
+                             request_key=("IdProcedimentoFormatado", r"/request=([^/]+)/")).drop("request")
+    land_raw(moves, lake, "sei_andamentos", "andamentos", "20240131")
+    standardize(spark, lake, "json", "20240131", business_area="sei_andamentos", load_ts=LOAD_TS)
+    spec = ConformSpec(rename={"IdTarefa": "task"}, clean_strings=["DataHora"])
+    path = refine_dimension(spark, lake, "sei_andamentos", "andamentos", "dim_sei_andamentos", spec,
+                            load_ts=LOAD_TS)
+    return _audit_text(read_parquet(spark, path))
+
+
 # --- raw / standardized layout ---------------------------------------------------------------------
 
 RAW_DAYS = {"20240101": "F", "20240102": "O", "20240103": "P"}
@@ -626,6 +642,7 @@ QUERIES: dict[str, Query] = {
     "nested_id_lift": q_nested_id_lift,
     "nested_entity_dim": q_nested_entity_dim,
     "ingest_movements": q_ingest_movements,
+    "lake_end_to_end": q_lake_end_to_end,
     "raw_file_selection": q_raw_file_selection,
     "standardize_json": q_standardize_json,
     "standardize_csv": q_standardize_csv,
@@ -778,6 +795,9 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_movements": _RESPONSES + """
         SELECT DISTINCT IdAndamento, IdUnidade AS Unidade, IdUsuario AS Usuario, IdTarefa, DataHora,
                request AS IdProcedimentoFormatado FROM r""",
+    "lake_end_to_end": _RESPONSES + f"""
+        SELECT DISTINCT IdAndamento, IdUnidade AS Unidade, IdUsuario AS Usuario, IdTarefa AS task,
+               upper(DataHora) AS DataHora, request AS IdProcedimentoFormatado, {_AUDIT_SQL} FROM r""",
     "raw_file_selection": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_json": f"SELECT {_ORDERS_TEXT}, {_AUDIT_SQL} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_csv": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",

@@ -20,7 +20,7 @@ from lakestrata.operators.quality import integrity_check
 from lakestrata.operators.relational import dedupe_keep_first
 from lakestrata.operators.transforms import ConformSpec, add_audit_columns, conform
 from lakestrata.plans.facts import DEFAULT_SPEC, StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
-from lakestrata.sinks.writers import publish_refined, write_jdbc, write_json, write_parquet
+from lakestrata.sinks.writers import publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
     read_csv,
     read_json,
@@ -72,13 +72,14 @@ def read_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str
     return df
 
 
-def ingest_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str, key: str,
+def ingest_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str, key: str | None,
                      request_key: tuple[str, str] | None = None,
                      children: Mapping[str, str] = fixed.NESTED_ID_CHILDREN,
                      schema: StructType | None = None, keep_origin: bool = False) -> DataFrame:
-    """Responses -> flat rows, nested ids lifted, one row per ``key`` (first seen wins)."""
+    """Responses -> flat rows, nested ids lifted, one row per ``key`` (first seen wins);
+    ``key=None`` keeps every row (an endpoint without a key)."""
     df = lift_nested_ids(read_responses(spark, paths, row_tag, schema, request_key), children)
-    out = dedupe_keep_first(df, key, [SOURCE_FILE, SOURCE_POS])
+    out = dedupe_keep_first(df, key, [SOURCE_FILE, SOURCE_POS]) if key else df
     return out if keep_origin else out.drop(SOURCE_FILE, SOURCE_POS)
 
 
@@ -124,7 +125,7 @@ def _is_json_array(spark: SparkSession, paths: list[str]) -> bool:
 def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingestion_date: Any,
                 business_area: str | None = None, check_integrity: bool = True,
                 load_ts: Any = None, schemas: Mapping[str, StructType] | None = None,
-                target: LakeLayout | None = None) -> DataFrame:
+                target: LakeLayout | None = None, output_format: str = "parquet") -> DataFrame:
     """Standardize one day's raw files of one type into Parquet with audit columns.
 
     One read per table (all its files of the day in one multi-path read), an optional
@@ -132,7 +133,10 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
     ``standardized/{area}/{system}/{endpoint}/{day}/{endpoint}_{day}.parquet``. A table
     that fails is reported and the run goes on. Returns one status row per table.
     ``target`` writes the standardized layer under another root (default: ``layout``).
+    ``output_format="delta"`` writes Delta tables (needs the Delta package).
     """
+    if output_format not in ("parquet", "delta"):
+        raise ValueError(f"unknown output format {output_format!r}")
     target = target or layout
     day = date_key(ingestion_date)
     files = select_raw_files(spark, layout.raw_root, file_type, day, business_area)
@@ -142,7 +146,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                    .collect())  # one row per table of the day: bounded metadata
     status = []
     for t in tables:
-        out_path = target.standardized(t.business_area, t.endpoint, day, t.source_system)
+        out_path = target.standardized(t.business_area, t.endpoint, day, t.source_system, output_format)
         n_rows = n_dup = None
         ok, error = True, None
         try:
@@ -151,7 +155,8 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
             if check_integrity:
                 report = integrity_check(df).first()
                 n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
-            write_parquet(add_audit_columns(df, load_ts), out_path)
+            writer = write_delta if output_format == "delta" else write_parquet
+            writer(add_audit_columns(df, load_ts), out_path)
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
             ok, error = False, f"{type(e).__name__}: {e}"[:1000]
         status.append((t.business_area, t.source_system, t.endpoint, t.date_extraction,

@@ -8,7 +8,6 @@ which is the only place the library writes scratch data.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,10 +72,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_parent(path: str) -> None:
-    """Create the parent of a local path (only used for ``file:``/plain paths in tests)."""
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p), exist_ok=True)

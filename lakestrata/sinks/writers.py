@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from lakestrata.fixed import AUDIT_LOAD_TS
 from lakestrata.operators.transforms import add_audit_columns
 
 
@@ -72,10 +71,6 @@ def publish_refined(df: DataFrame, path: str, add_metadata: bool = True, load_ts
     write_parquet(out, path, "overwrite", max_records_per_file=max_records_per_file)
 
 
-def has_audit_columns(df: DataFrame) -> bool:
-    return AUDIT_LOAD_TS in df.columns
-
-
 # --- warehouse --------------------------------------------------------------------------
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",

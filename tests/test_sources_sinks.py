@@ -155,3 +155,16 @@ def test_jdbc_options_and_names():
         jdbc_options("jdbc:x", table="t", partition_column="id")
     assert qualify_table("public.processos", "dw") == "dw.processos"
     assert qualify_table("processos", "dw") == "dw.processos"
+
+
+def test_ingest_without_key_keeps_all_rows(spark, tmp_dir):
+    _write_text(f"{tmp_dir}/cities/c.xml", SOAP)
+    out = ingest_responses(spark, f"{tmp_dir}/cities", "item", None)
+    assert out.count() == 3
+
+
+def test_standardize_delta_output_reports_failure(spark, raw_lake):
+    status = standardize(spark, raw_lake, "csv", "20240131", output_format="delta").collect()
+    assert len(status) == 1 and status[0].ok is False and "Delta" in status[0].error
+    with pytest.raises(ValueError):
+        standardize(spark, raw_lake, "csv", "20240131", output_format="orc")
