@@ -177,6 +177,11 @@ def fact_stalled_join_back(spark, d):
     return stalled_cases(*_star(spark, d), SYN_SPEC, as_of=AS_OF, sort_latest_first=True, method="join_back")
 
 
+def fact_stalled_window(spark, d):
+    """The same fact through ``rank() == 1`` with a map-side group limit."""
+    return stalled_cases(*_star(spark, d), SYN_SPEC, as_of=AS_OF, sort_latest_first=True, method="window")
+
+
 _FACT_SQL = STAR_SQL + f"""
 SELECT a.l_orderkey AS IdProcedimentoFormatado, u.s_name AS Sigla, tp.c_mktsegment AS tipo,
        CAST(date_diff('day', CAST(md.max_data AS DATE), DATE '{AS_OF}') AS INTEGER) AS Dias_Sem_Movimentacao
@@ -609,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "fact_by_unit": fact_by_unit,
     "fact_by_type": fact_by_type,
     "fact_stalled_join_back": fact_stalled_join_back,
+    "fact_stalled_window": fact_stalled_window,
     "latest_per_group": q_latest_per_group,
     "max_by_group": q_max_by_group,
     "star_left_join": q_star_left_join,
@@ -677,6 +683,7 @@ ORACLE_SQL: dict[str, str] = {
     "fact_by_unit": STAR_SQL + f"SELECT u.s_name AS Setor, count(*) AS qtd {_FACT_FROM} GROUP BY u.s_name",
     "fact_by_type": STAR_SQL + f"SELECT tp.c_mktsegment AS tipo, count(*) AS qtd {_FACT_FROM} GROUP BY tp.c_mktsegment",
     "fact_stalled_join_back": _FACT_SQL,
+    "fact_stalled_window": _FACT_SQL,
     "latest_per_group": """
         SELECT l_suppkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_date FROM (
           SELECT *, rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC) AS rk

@@ -7,17 +7,23 @@ name), the case and its type (name must be in a list); report the case, unit nam
 type name and whole days from the latest event to ``as_of``. Counts are rows after the
 joins, not distinct cases.
 
-Plan (checked with ``explain``):
+Plan (``method="aggregate"``, the default; checked with ``explain``):
 
 1. scan movements with the task filter pushed to Parquet, parse the time, drop rows
    with a null unit, case or time (they can never be a group's maximum);
-2. ``rank() == 1`` over (unit, case) by time: the window-group-limit rule keeps each
-   map task's local winners before the shuffle, so a hot (unit, case) or a hot case
-   sends few rows; one shuffle of the winners instead of the reference's
-   max-subquery + join-back (two scans, a full-row shuffle);
-3. join the winners (one row per group, plus ties) to units and to cases x types.
-   Dimension joins are left to the planner: AQE broadcasts a side whose runtime size is
-   under the threshold and keeps a sort-merge join otherwise (cases can be large).
+2. count movements per (unit, case, time): partial aggregation before the shuffle, so
+   copies of one movement collapse map-side however many there are;
+3. per (unit, case) keep the latest time and the count at that time
+   (``max`` + ``max_by``), again with partial aggregation: one row per group leaves
+   each map task. No sort, no window, and no task ever holds a whole group;
+4. join that one row per group to units and to cases x types (AQE broadcasts a side
+   whose runtime size is under the threshold, else a sort-merge join with skew
+   splitting);
+5. the counts by unit / type are ``sum(count)``; only the detail fact turns counts back
+   into rows, in bounded chunks spread over tasks (``replicate_rows``).
+
+``method="window"`` (``rank() == 1`` with a map-side group limit) and
+``method="join_back"`` (the reference's max + join back) give the same rows.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import fixed
 from lakestrata.functions.expressions import days_since, parse_event_time
-from lakestrata.operators.relational import latest_per_group, latest_per_group_join_back
+from lakestrata.operators.relational import latest_per_group, latest_per_group_join_back, replicate_rows
 
 
 @dataclass(frozen=True)
@@ -57,24 +63,33 @@ class StarSpec:
 DEFAULT_SPEC = StarSpec()
 
 
+def _task_movements(movements: DataFrame, spec: StarSpec) -> DataFrame:
+    return (movements
+            .where(F.col(spec.move_task).isin(list(spec.task_codes)))
+            .select(F.col(spec.move_unit).alias("__unit"),
+                    F.col(spec.move_case).alias("__case"),
+                    parse_event_time(spec.move_time, spec.time_format).alias("__ts")))
+
+
 def latest_movements(movements: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-                     method: str = "window") -> DataFrame:
-    """Per (unit, case) the movements at the latest event time, ties kept.
+                     method: str = "aggregate") -> DataFrame:
+    """Per (unit, case) the latest event time and how many movements share it.
 
-    Output columns: ``__unit, __case, __ts``. ``method="join_back"`` gives the same rows
-    through max + join back (for comparison only).
+    Output columns: ``__unit, __case, __ts, __n`` (one row per group).
     """
-    m = (movements
-         .where(F.col(spec.move_task).isin(list(spec.task_codes)))
-         .select(F.col(spec.move_unit).alias("__unit"),
-                 F.col(spec.move_case).alias("__case"),
-                 parse_event_time(spec.move_time, spec.time_format).alias("__ts")))
+    m = _task_movements(movements, spec).where(
+        F.col("__unit").isNotNull() & F.col("__case").isNotNull() & F.col("__ts").isNotNull())
+    if method == "aggregate":
+        per_time = m.groupBy("__unit", "__case", "__ts").agg(F.count(F.lit(1)).alias("__n"))
+        return per_time.groupBy("__unit", "__case").agg(
+            F.max("__ts").alias("__ts"), F.max_by("__n", "__ts").alias("__n"))
     if method == "window":
-        return latest_per_group(m, ["__unit", "__case"], "__ts")
-    if method == "join_back":
-        m = m.where(F.col("__unit").isNotNull() & F.col("__case").isNotNull())
-        return latest_per_group_join_back(m, ["__unit", "__case"], "__ts")
-    raise ValueError(f"unknown method {method!r}")
+        rows = latest_per_group(m, ["__unit", "__case"], "__ts")
+    elif method == "join_back":
+        rows = latest_per_group_join_back(m, ["__unit", "__case"], "__ts")
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    return rows.groupBy("__unit", "__case", "__ts").agg(F.count(F.lit(1)).alias("__n"))
 
 
 def _eligible_units(units: DataFrame, spec: StarSpec) -> DataFrame:
@@ -93,21 +108,40 @@ def _eligible_cases(cases: DataFrame, case_types: DataFrame, spec: StarSpec) ->
 
 def stalled_detail(movements: DataFrame, units: DataFrame, cases: DataFrame,
                    case_types: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-                   method: str = "window") -> DataFrame:
-    """Latest movement rows joined to their unit and case type.
+                   method: str = "aggregate") -> DataFrame:
+    """Latest movement of each group joined to its unit and case type.
 
-    Columns: ``__case, __ts, __uname, __tname`` (one row per surviving join combination).
+    Columns: ``__case, __unit, __ts, __uname, __tname, __n``: one row per surviving join
+    combination, ``__n`` the number of tied movements it stands for.
     """
     latest = latest_movements(movements, spec, method)
     return (latest
             .join(_eligible_units(units, spec), F.col("__unit") == F.col("__ukey"))
             .join(_eligible_cases(cases, case_types, spec), F.col("__case") == F.col("__ccode"))
-            .select("__case", "__ts", "__uname", "__tname"))
+            .select("__case", "__unit", "__ts", "__uname", "__tname", "__n"))
+
+
+def stalled_cases_from_detail(detail: DataFrame, as_of: Any = None,
+                              sort_latest_first: bool = False) -> DataFrame:
+    """The detail fact: one row per tied movement, as the reference's join back gives."""
+    rows = replicate_rows(detail, "__n", spread_by=["__case", "__unit"],
+                          row_id="__copy" if sort_latest_first else None)
+    out = rows.select(
+        F.col("__case").alias(fixed.FACT_CASE),
+        F.col("__uname").alias(fixed.FACT_UNIT),
+        F.col("__tname").alias(fixed.FACT_TYPE),
+        days_since("__ts", as_of).alias(fixed.FACT_DAYS),
+        *(["__ts", "__copy"] if sort_latest_first else []),
+    )
+    if sort_latest_first:
+        # the copy number spreads a hot tie over several range partitions
+        out = out.orderBy(F.col("__ts").desc(), "__copy").drop("__ts", "__copy")
+    return out
 
 
 def stalled_cases(movements: DataFrame, units: DataFrame, cases: DataFrame,
                   case_types: DataFrame, spec: StarSpec = DEFAULT_SPEC, as_of: Any = None,
-                  sort_latest_first: bool = False, method: str = "window") -> DataFrame:
+                  sort_latest_first: bool = False, method: str = "aggregate") -> DataFrame:
     """The stalled-cases fact: case, unit name, type name, days without movement.
 
     ``as_of`` is the date the days count up to (default: today). ``sort_latest_first``
@@ -115,31 +149,28 @@ def stalled_cases(movements: DataFrame, units: DataFrame, cases: DataFrame,
     readers do not keep the order, so it is off by default).
     """
     detail = stalled_detail(movements, units, cases, case_types, spec, method)
-    out = detail.select(
-        F.col("__case").alias(fixed.FACT_CASE),
-        F.col("__uname").alias(fixed.FACT_UNIT),
-        F.col("__tname").alias(fixed.FACT_TYPE),
-        days_since("__ts", as_of).alias(fixed.FACT_DAYS),
-        "__ts",
-    )
-    if sort_latest_first:
-        out = out.orderBy(F.col("__ts").desc())
-    return out.drop("__ts")
+    return stalled_cases_from_detail(detail, as_of, sort_latest_first)
+
+
+def by_unit_from_detail(detail: DataFrame) -> DataFrame:
+    return detail.groupBy(F.col("__uname").alias(fixed.FACT_BY_UNIT)).agg(
+        F.sum("__n").cast("bigint").alias(fixed.FACT_COUNT))
+
+
+def by_type_from_detail(detail: DataFrame) -> DataFrame:
+    return detail.groupBy(F.col("__tname").alias(fixed.FACT_TYPE)).agg(
+        F.sum("__n").cast("bigint").alias(fixed.FACT_COUNT))
 
 
 def stalled_by_unit(movements: DataFrame, units: DataFrame, cases: DataFrame,
                     case_types: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-                    method: str = "window") -> DataFrame:
+                    method: str = "aggregate") -> DataFrame:
     """Stalled-case rows counted per unit name (``Setor, qtd``)."""
-    detail = stalled_detail(movements, units, cases, case_types, spec, method)
-    return detail.groupBy(F.col("__uname").alias(fixed.FACT_BY_UNIT)).agg(
-        F.count(F.lit(1)).alias(fixed.FACT_COUNT))
+    return by_unit_from_detail(stalled_detail(movements, units, cases, case_types, spec, method))
 
 
 def stalled_by_type(movements: DataFrame, units: DataFrame, cases: DataFrame,
                     case_types: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-                    method: str = "window") -> DataFrame:
+                    method: str = "aggregate") -> DataFrame:
     """Stalled-case rows counted per case type name (``tipo, qtd``)."""
-    detail = stalled_detail(movements, units, cases, case_types, spec, method)
-    return detail.groupBy(F.col("__tname").alias(fixed.FACT_TYPE)).agg(
-        F.count(F.lit(1)).alias(fixed.FACT_COUNT))
+    return by_type_from_detail(stalled_detail(movements, units, cases, case_types, spec, method))

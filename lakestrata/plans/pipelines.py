@@ -19,7 +19,15 @@ from lakestrata import fixed
 from lakestrata.operators.quality import integrity_check
 from lakestrata.operators.relational import dedupe_keep_first
 from lakestrata.operators.transforms import ConformSpec, add_audit_columns, conform
-from lakestrata.plans.facts import DEFAULT_SPEC, StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
+from lakestrata.plans.facts import (
+    DEFAULT_SPEC,
+    StarSpec,
+    by_type_from_detail,
+    by_unit_from_detail,
+    stalled_cases_from_detail,
+    stalled_detail,
+)
+from lakestrata.session import checkpoint_root
 from lakestrata.sinks.writers import publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
     read_csv,
@@ -189,11 +197,16 @@ def refine_stalled_facts(spark: SparkSession, layout: LakeLayout,
     refined tables. Writes ``fato_..`` tables under ``out_area`` and returns their paths.
     """
     frames = {role: read_parquet(spark, layout.refined(a, t, system)) for role, (a, t) in dims.items()}
-    args = (frames["movements"], frames["units"], frames["cases"], frames["case_types"], spec)
+    detail = stalled_detail(frames["movements"], frames["units"], frames["cases"],
+                            frames["case_types"], spec)
+    # One row per (unit, case) group: checkpointed once to the shared checkpoint folder,
+    # then the three facts read it instead of recomputing the aggregation three times.
+    checkpoint_root(spark)
+    detail = detail.checkpoint(eager=True)
     outputs = {
-        "stalled_cases": stalled_cases(*args, as_of=as_of),
-        "stalled_by_unit": stalled_by_unit(*args),
-        "stalled_by_type": stalled_by_type(*args),
+        "stalled_cases": stalled_cases_from_detail(detail, as_of),
+        "stalled_by_unit": by_unit_from_detail(detail),
+        "stalled_by_type": by_type_from_detail(detail),
     }
     paths = {}
     for name, df in outputs.items():

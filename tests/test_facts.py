@@ -80,3 +80,19 @@ def test_refine_facts_pipeline(spark, star, tmp_dir):
     assert sorted(tuple(r)[:4] for r in facts.collect()) == EXPECTED
     assert "etl_versao" in facts.columns
     assert spark.read.parquet(paths["stalled_by_unit"]).count() == 2
+
+
+def test_hot_group_of_copies(spark, star):
+    """One (unit, case) holding most rows, all tied: the counts stay whole and the default
+    plan has no window (no task buffers the group)."""
+    movements, units, cases, types = star
+    hot = spark.range(3000).selectExpr(
+        "concat('h', id) AS IdAndamento", "'C1' AS IdProcedimentoFormatado", "'10' AS Unidade",
+        "'u' AS Usuario", "'2' AS IdTarefa", "'10/01/2024 08:00:00' AS DataHora")
+    many = movements.unionByName(hot)
+    by_unit = {r.Setor: r.qtd for r in stalled_by_unit(many, units, cases, types).collect()}
+    assert by_unit == {"SECAD": 3003, "SEFIN": 1}
+    detail = stalled_cases(many, units, cases, types, as_of="2024-01-31", sort_latest_first=True)
+    assert detail.count() == 3004
+    plan = detail._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan

@@ -103,3 +103,11 @@ def test_sql_over_frames_binds_frames_and_params(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
     out = sql_over_frames(spark, "SELECT v FROM {t} WHERE id > :lo", {"lo": 1}, t=df)
     assert [r.v for r in out.collect()] == ["b"]
+
+
+def test_replicate_rows_chunks_and_ids(spark):
+    from lakestrata.operators.relational import replicate_rows
+
+    df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 0)], "k string, n long")
+    out = replicate_rows(df, "n", chunk=3, spread_by=["k"], row_id="rid").collect()
+    assert sorted((r.k, r.rid) for r in out) == [("a", i) for i in range(7)] + [("b", 0)]
