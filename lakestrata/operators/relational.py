@@ -111,28 +111,34 @@ def count_by(df: DataFrame, keys: str | Sequence[str], alias: str = "cnt") -> Da
 
 
 def replicate_rows(df: DataFrame, count_col: str, chunk: int = 1 << 20,
-                   spread_by: Sequence[str] | None = None, row_id: str | None = None) -> DataFrame:
+                   spread_by: Sequence[str | Column] | None = None,
+                   sort_by: Sequence[Column] | None = None, row_id: str | None = None) -> DataFrame:
     """Turn each row into ``count_col`` copies (the inverse of counting copies).
 
-    A huge count is first split into chunks of at most ``chunk`` rows; the chunk rows are
-    hash-partitioned on (``spread_by``, chunk index) so the copies of one hot row are made
-    by many tasks, and no array larger than ``chunk`` elements is ever built. ``row_id``
-    names an optional column numbering the copies ``0..n-1`` (a tiebreaker for sorts).
+    A huge count is first split into chunks of at most ``chunk`` rows, so no array larger
+    than ``chunk`` elements is built, and the chunk rows are shuffled before they are
+    expanded so the copies of one hot row are made by many tasks: hash-partitioned on
+    (``spread_by``, chunk), or, with ``sort_by``, range-partitioned on (``sort_by``,
+    chunk) and sorted inside each partition, which yields a global order in the same
+    single shuffle. ``row_id`` numbers the copies ``0..n-1``.
     """
     n = F.col(count_col).cast("bigint")
     k = F.ceil(n / F.lit(chunk)).cast("bigint")
     sizes = F.transform(F.sequence(F.lit(0).cast("bigint"), k - 1),
                         lambda i: F.struct(i.alias("i"), F.least(F.lit(chunk).cast("bigint"), n - i * chunk).alias("size")))
     chunks = df.where(n > 0).withColumn("__chunk", F.explode(sizes))
-    keys = list(spread_by or [])
-    if keys:
-        num = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        chunks = chunks.repartition(num, *keys, F.col("__chunk.i"))
+    num = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if sort_by:
+        chunks = chunks.repartitionByRange(num, *sort_by, F.col("__chunk.i"))
+    elif spread_by:
+        chunks = chunks.repartition(num, *spread_by, F.col("__chunk.i"))
     pos = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__chunk.size") - 1)).alias("__pos")
-    out = chunks.select("*", pos)
+    out = chunks.select("*", pos).withColumn("__rid", F.col("__chunk.i") * chunk + F.col("__pos"))
+    if sort_by:
+        out = out.sortWithinPartitions(*sort_by, "__rid")
     if row_id:
-        out = out.withColumn(row_id, F.col("__chunk.i") * chunk + F.col("__pos"))
-    return out.drop("__chunk", "__pos")
+        out = out.withColumnRenamed("__rid", row_id)
+    return out.drop("__chunk", "__pos", "__rid")
 
 
 # --- ordering ------------------------------------------------------------------------------

@@ -106,7 +106,13 @@ def add_surrogate_key(df: DataFrame, name: str, order_by: Sequence[str | Column]
     spark = df.sparkSession
     if order_by:
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+        # The input position breaks ties, so one order value holding a third of the rows is
+        # spread over several range partitions instead of landing in one task.
+        tie = F.monotonically_increasing_id().alias("__sk_in")
+        ranged = (df.select("*", tie)
+                    .repartitionByRange(n, *order_by, "__sk_in")
+                    .sortWithinPartitions(*order_by, "__sk_in")
+                    .drop("__sk_in"))
     else:
         ranged = df
     tagged = ranged.withColumn("__sk_mid", F.monotonically_increasing_id())

@@ -123,20 +123,22 @@ def stalled_detail(movements: DataFrame, units: DataFrame, cases: DataFrame,
 
 def stalled_cases_from_detail(detail: DataFrame, as_of: Any = None,
                               sort_latest_first: bool = False) -> DataFrame:
-    """The detail fact: one row per tied movement, as the reference's join back gives."""
-    rows = replicate_rows(detail, "__n", spread_by=["__case", "__unit"],
-                          row_id="__copy" if sort_latest_first else None)
-    out = rows.select(
+    """The detail fact: one row per tied movement, as the reference's join back gives.
+
+    Copies are made after one shuffle of the per-group rows: hash-spread, or
+    range-partitioned on the latest time when the output is sorted (the copy number then
+    spreads a hot tie over several range partitions).
+    """
+    if sort_latest_first:
+        rows = replicate_rows(detail, "__n", sort_by=[F.col("__ts").desc()])
+    else:
+        rows = replicate_rows(detail, "__n", spread_by=["__case", "__unit"])
+    return rows.select(
         F.col("__case").alias(fixed.FACT_CASE),
         F.col("__uname").alias(fixed.FACT_UNIT),
         F.col("__tname").alias(fixed.FACT_TYPE),
         days_since("__ts", as_of).alias(fixed.FACT_DAYS),
-        *(["__ts", "__copy"] if sort_latest_first else []),
     )
-    if sort_latest_first:
-        # the copy number spreads a hot tie over several range partitions
-        out = out.orderBy(F.col("__ts").desc(), "__copy").drop("__ts", "__copy")
-    return out
 
 
 def stalled_cases(movements: DataFrame, units: DataFrame, cases: DataFrame,

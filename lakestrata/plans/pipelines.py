@@ -136,10 +136,11 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                 target: LakeLayout | None = None, output_format: str = "parquet") -> DataFrame:
     """Standardize one day's raw files of one type into Parquet with audit columns.
 
-    One read per table (all its files of the day in one multi-path read), an optional
-    one-pass duplicate check, audit columns, and an overwrite of
-    ``standardized/{area}/{system}/{endpoint}/{day}/{endpoint}_{day}.parquet``. A table
-    that fails is reported and the run goes on. Returns one status row per table.
+    One read per table (all its files of the day in one multi-path read), audit columns,
+    an overwrite of
+    ``standardized/{area}/{system}/{endpoint}/{day}/{endpoint}_{day}.parquet``, and an
+    optional one-pass duplicate check on the written copy. A table that fails is reported
+    and the run goes on. Returns one status row per table.
     ``target`` writes the standardized layer under another root (default: ``layout``).
     ``output_format="delta"`` writes Delta tables (needs the Delta package).
     """
@@ -160,11 +161,13 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
         try:
             schema = (schemas or {}).get(t.endpoint)
             df = _read_raw(spark, file_type, list(t.datasets), schema)
-            if check_integrity:
-                report = integrity_check(df).first()
-                n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
             writer = write_delta if output_format == "delta" else write_parquet
             writer(add_audit_columns(df, load_ts), out_path)
+            if check_integrity:
+                # Checked on the columnar copy just written (raw text is parsed only once).
+                written = spark.read.format(output_format).load(out_path).select(*[f"`{c}`" for c in df.columns])
+                report = integrity_check(written).first()
+                n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
             ok, error = False, f"{type(e).__name__}: {e}"[:1000]
         status.append((t.business_area, t.source_system, t.endpoint, t.date_extraction,

@@ -113,3 +113,17 @@ def test_conform_to_schema(spark):
     assert len(DECLARED_SCHEMAS["GovCaged"].fields) == 39 and len(DECLARED_SCHEMAS["GovCagedDW"].fields) == 40
     assert DECLARED_SCHEMAS["GovCagedDW"]["horas_contratuais"].dataType == IntegerType()
     assert DECLARED_SCHEMAS["GovCaged"]["horas_contratuais"].dataType == DoubleType()
+
+
+def test_surrogate_key_hot_order_value_is_spread(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 3000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    out = add_surrogate_key(df, "sk", ["k"], num_partitions=6, materialize=True)
+    per_part = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_part) < 2000  # the hot value (1000 rows) is not alone in one task
+    rows = out.collect()
+    assert sorted(r.sk for r in rows) == list(range(1, 3001))
+    hot = sorted(r.sk for r in rows if r.k == 0)
+    assert hot == list(range(1, 1001))  # ties still come first, numbered contiguously
