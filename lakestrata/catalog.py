@@ -63,7 +63,7 @@ from lakestrata.plans.pipelines import (
     refine_dimension,
     standardize,
 )
-from lakestrata.session import shared_dir
+from lakestrata.session import session_key, shared_dir
 from lakestrata.sinks.writers import write_csv, write_json, write_parquet, write_xml
 from lakestrata.sources.files import read_csv, read_json, read_latest_snapshot, read_parquet, select_raw_files
 from lakestrata.sources.layout import LakeLayout
@@ -94,7 +94,7 @@ _FIXTURES: dict[tuple[str, str, str], object] = {}
 
 def _fixture(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession, str], object]):
     """Files a query derives from the tables, written once per session and tables folder."""
-    key = (spark.sparkContext.applicationId, d, name)
+    key = (session_key(spark), d, name)
     if key not in _FIXTURES:
         _FIXTURES[key] = build(spark, d)
     return _FIXTURES[key]

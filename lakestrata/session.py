@@ -43,26 +43,43 @@ def local_session(app: str = "lakestrata", cpus: int | str = "*", shuffle_partit
     return spark
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None) or None
+    except Exception:  # noqa: BLE001 - a key the session does not expose
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     Only when the session names none (a local test run) is a folder of our own set.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
+    root = _conf(spark, "spark.checkpoint.dir")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None:
+        root = root or sc.getConf().get("spark.checkpoint.dir", None)
         current = sc.getCheckpointDir()
-        if current:
+        if not root and current:
             # getCheckpointDir appends a per-application uuid folder; use its parent.
             root = current.rstrip("/").rsplit("/", 1)[0]
+        if not root:
+            root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
+        if not current:
+            sc.setCheckpointDir(root)
     if not root:
-        root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
-        sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return root
 
 
+def session_key(spark: SparkSession) -> str:
+    """An id of the running application (for per-session caches)."""
+    return _conf(spark, "spark.app.id") or str(id(spark))
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the shared checkpoint root, unique per call."""
     root = checkpoint_root(spark).rstrip("/")
