@@ -73,21 +73,30 @@ def dedupe_keep_first(df: DataFrame, key: str | Sequence[str],
 
 
 def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
-                     keep_ties: bool = True) -> DataFrame:
+                     keep_ties: bool = True, collapse_copies: bool = False) -> DataFrame:
     """Rows at the latest ``ts`` of each group; with ``keep_ties`` every tied row stays.
 
     Rows with a null key or null time are dropped first: they can never equal a group's
     maximum, exactly as in the max-then-join-back form.
+
+    The map-side group limit bounds what a hot group sends to its reducer to the rows tied
+    at each map task's maximum. If the input may hold many exact copies of a row that
+    ties at a group's maximum, ``collapse_copies`` counts copies first (partial
+    aggregation over all columns), ranks the distinct rows and makes the copies again
+    spread over tasks; it costs one full shuffle more, so it is opt-in.
     """
     keys = _cols(keys)
     ts_col = F.col(ts) if isinstance(ts, str) else ts
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], ts_col.isNotNull())
     rank_fn = F.rank() if keep_ties else F.row_number()
     w = Window.partitionBy(*keys).orderBy(ts_col.desc())
-    return (df.where(not_null)
-              .withColumn("__rk", rank_fn.over(w))
-              .where("__rk = 1")
-              .drop("__rk"))
+    rows = df.where(not_null)
+    if collapse_copies and keep_ties:
+        cols = [f"`{c}`" for c in df.columns]
+        counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
+        ranked = counted.withColumn("__rk", rank_fn.over(w)).where("__rk = 1").drop("__rk")
+        return replicate_rows(ranked, "__copies", spread_by=keys).drop("__copies")
+    return rows.withColumn("__rk", rank_fn.over(w)).where("__rk = 1").drop("__rk")
 
 
 def latest_per_group_join_back(df: DataFrame, keys: str | Sequence[str], ts: str) -> DataFrame:
@@ -115,30 +124,37 @@ def replicate_rows(df: DataFrame, count_col: str, chunk: int = 1 << 20,
                    sort_by: Sequence[Column] | None = None, row_id: str | None = None) -> DataFrame:
     """Turn each row into ``count_col`` copies (the inverse of counting copies).
 
-    A huge count is first split into chunks of at most ``chunk`` rows, so no array larger
-    than ``chunk`` elements is built, and the chunk rows are shuffled before they are
-    expanded so the copies of one hot row are made by many tasks: hash-partitioned on
-    (``spread_by``, chunk), or, with ``sort_by``, range-partitioned on (``sort_by``,
-    chunk) and sorted inside each partition, which yields a global order in the same
-    single shuffle. ``row_id`` numbers the copies ``0..n-1``.
+    Rows with at most ``chunk`` copies (the usual case) are expanded where they are, with
+    no shuffle. A larger count is split into chunks of at most ``chunk`` rows, so no
+    array larger than ``chunk`` elements is built, and the chunk rows are hash-partitioned
+    on (``spread_by``, chunk) before they are expanded, so the copies of one hot row are
+    made by many tasks. With ``sort_by`` every row goes through one range shuffle on
+    (``sort_by``, chunk) and is sorted inside its partition, which yields the global order
+    in that single shuffle. ``row_id`` numbers the copies ``0..n-1``.
     """
     n = F.col(count_col).cast("bigint")
     k = F.ceil(n / F.lit(chunk)).cast("bigint")
     sizes = F.transform(F.sequence(F.lit(0).cast("bigint"), k - 1),
                         lambda i: F.struct(i.alias("i"), F.least(F.lit(chunk).cast("bigint"), n - i * chunk).alias("size")))
-    chunks = df.where(n > 0).withColumn("__chunk", F.explode(sizes))
     num = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def expand(chunks: DataFrame) -> DataFrame:
+        pos = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__chunk.size") - 1)).alias("__pos")
+        return (chunks.select("*", pos)
+                      .withColumn("__rid", F.col("__chunk.i") * chunk + F.col("__pos"))
+                      .drop("__chunk", "__pos"))
+
     if sort_by:
+        chunks = df.where(n > 0).withColumn("__chunk", F.explode(sizes))
         chunks = chunks.repartitionByRange(num, *sort_by, F.col("__chunk.i"))
-    elif spread_by:
-        chunks = chunks.repartition(num, *spread_by, F.col("__chunk.i"))
-    pos = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__chunk.size") - 1)).alias("__pos")
-    out = chunks.select("*", pos).withColumn("__rid", F.col("__chunk.i") * chunk + F.col("__pos"))
-    if sort_by:
-        out = out.sortWithinPartitions(*sort_by, "__rid")
-    if row_id:
-        out = out.withColumnRenamed("__rid", row_id)
-    return out.drop("__chunk", "__pos", "__rid")
+        out = expand(chunks).sortWithinPartitions(*sort_by, "__rid")
+    else:
+        small = df.where((n > 0) & (n <= chunk)).withColumn(
+            "__rid", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
+        big = df.where(n > chunk).withColumn("__chunk", F.explode(sizes))
+        big = expand(big.repartition(num, *(spread_by or []), F.col("__chunk.i")))
+        out = small.unionByName(big)
+    return out.withColumnRenamed("__rid", row_id) if row_id else out.drop("__rid")
 
 
 # --- ordering ------------------------------------------------------------------------------

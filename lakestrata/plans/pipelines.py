@@ -9,6 +9,7 @@ touches, their status), never table rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,7 +134,8 @@ def _is_json_array(spark: SparkSession, paths: list[str]) -> bool:
 def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingestion_date: Any,
                 business_area: str | None = None, check_integrity: bool = True,
                 load_ts: Any = None, schemas: Mapping[str, StructType] | None = None,
-                target: LakeLayout | None = None, output_format: str = "parquet") -> DataFrame:
+                target: LakeLayout | None = None, output_format: str = "parquet",
+                parallelism: int = 4) -> DataFrame:
     """Standardize one day's raw files of one type into Parquet with audit columns.
 
     One read per table (all its files of the day in one multi-path read), audit columns,
@@ -143,6 +145,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
     and the run goes on. Returns one status row per table.
     ``target`` writes the standardized layer under another root (default: ``layout``).
     ``output_format="delta"`` writes Delta tables (needs the Delta package).
+    ``parallelism`` tables are processed at the same time.
     """
     if output_format not in ("parquet", "delta"):
         raise ValueError(f"unknown output format {output_format!r}")
@@ -153,8 +156,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                    .agg(F.sort_array(F.collect_set("dataset_path")).alias("datasets"))
                    .orderBy("business_area", "source_system", "endpoint")
                    .collect())  # one row per table of the day: bounded metadata
-    status = []
-    for t in tables:
+    def run(t) -> tuple:
         out_path = target.standardized(t.business_area, t.endpoint, day, t.source_system, output_format)
         n_rows = n_dup = None
         ok, error = True, None
@@ -170,8 +172,13 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                 n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
             ok, error = False, f"{type(e).__name__}: {e}"[:1000]
-        status.append((t.business_area, t.source_system, t.endpoint, t.date_extraction,
-                       ",".join(t.datasets), out_path, n_rows, n_dup, ok, error))
+        return (t.business_area, t.source_system, t.endpoint, t.date_extraction,
+                ",".join(t.datasets), out_path, n_rows, n_dup, ok, error)
+
+    # Tables are independent jobs; a few run at once so small tables do not leave the
+    # cluster idle (Spark schedules jobs from several threads).
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tables)))) as pool:
+        status = list(pool.map(run, tables))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 

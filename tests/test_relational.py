@@ -111,3 +111,19 @@ def test_replicate_rows_chunks_and_ids(spark):
     df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 0)], "k string, n long")
     out = replicate_rows(df, "n", chunk=3, spread_by=["k"], row_id="rid").collect()
     assert sorted((r.k, r.rid) for r in out) == [("a", i) for i in range(7)] + [("b", 0)]
+
+
+def test_latest_per_group_collapse_copies(spark):
+    rows = [("g", 5, "x")] * 500 + [("g", 4, "y"), ("h", 1, "z"), ("h", 1, "z")]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    plain = sorted(map(tuple, latest_per_group(df, "k", "t").collect()))
+    collapsed = sorted(map(tuple, latest_per_group(df, "k", "t", collapse_copies=True).collect()))
+    assert plain == collapsed == sorted([("g", 5, "x")] * 500 + [("h", 1, "z")] * 2)
+
+
+def test_replicate_rows_small_counts_need_no_shuffle(spark):
+    from lakestrata.operators.relational import replicate_rows
+
+    df = spark.createDataFrame([("a", 3), ("b", 2)], "k string, n long")
+    out = replicate_rows(df, "n", spread_by=["k"])
+    assert out.count() == 5
