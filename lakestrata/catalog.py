@@ -55,6 +55,7 @@ from lakestrata.operators.transforms import (
 )
 from lakestrata.plans.facts import StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
 from lakestrata.plans.pipelines import (
+    extract_responses,
     ingest_responses,
     land_raw,
     lift_nested_ids,
@@ -505,8 +506,8 @@ def q_lake_end_to_end(spark, d):
     """Responses -> keyed dedupe -> raw JSON (dated) -> standardized Parquet -> refined
     dimension with cleaned strings and audit columns."""
     lake = LakeLayout(shared_dir(spark, "lake"))
-    moves = ingest_responses(spark, _land_responses(spark, d), "item", "IdAndamento", schema=RESPONSE_SCHEMA,
-                             request_key=("IdProcedimentoFormatado", r"/request=([^/]+)/")).drop("request")
+    moves = extract_responses(spark, _land_responses(spark, d), "item", "IdAndamento", schema=RESPONSE_SCHEMA,
+                              request_key=("IdProcedimentoFormatado", r"/request=([^/]+)/"))["rows"].drop("request")
     land_raw(moves, lake, "sei_andamentos", "andamentos", "20240131")
     standardize(spark, lake, "json", "20240131", business_area="sei_andamentos", load_ts=LOAD_TS)
     spec = ConformSpec(rename={"IdTarefa": "task"}, clean_strings=["DataHora"])
@@ -515,6 +516,13 @@ def q_lake_end_to_end(spark, d):
     return _audit_text(read_parquet(spark, path))
 
 
+def q_extract_users_dim(spark, d):
+    """Users projected from the same single parse of the responses as the movements."""
+    out = extract_responses(spark, _land_responses(spark, d), "item", "IdAndamento",
+                            entities={"Usuario": None}, schema=RESPONSE_SCHEMA)
+    return out["Usuario"]
+
+
 # --- raw / standardized layout ---------------------------------------------------------------------
 
 RAW_DAYS = {"20240101": "F", "20240102": "O", "20240103": "P"}
@@ -649,6 +657,7 @@ QUERIES: dict[str, Query] = {
     "nested_entity_dim": q_nested_entity_dim,
     "ingest_movements": q_ingest_movements,
     "lake_end_to_end": q_lake_end_to_end,
+    "extract_users_dim": q_extract_users_dim,
     "raw_file_selection": q_raw_file_selection,
     "standardize_json": q_standardize_json,
     "standardize_csv": q_standardize_csv,
@@ -805,6 +814,7 @@ ORACLE_SQL: dict[str, str] = {
     "lake_end_to_end": _RESPONSES + f"""
         SELECT DISTINCT IdAndamento, IdUnidade AS Unidade, IdUsuario AS Usuario, IdTarefa AS task,
                upper(DataHora) AS DataHora, request AS IdProcedimentoFormatado, {_AUDIT_SQL} FROM r""",
+    "extract_users_dim": _RESPONSES + "SELECT DISTINCT IdUsuario FROM r",
     "raw_file_selection": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_json": f"SELECT {_ORDERS_TEXT}, {_AUDIT_SQL} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_csv": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",

@@ -8,6 +8,8 @@ from lakestrata.plans.facts import (
     stalled_detail,
 )
 from lakestrata.plans.pipelines import (
+    entity_from_responses,
+    extract_responses,
     ingest_responses,
     land_raw,
     lift_nested_ids,
@@ -22,6 +24,8 @@ from lakestrata.plans.pipelines import (
 __all__ = [
     "DEFAULT_SPEC",
     "StarSpec",
+    "entity_from_responses",
+    "extract_responses",
     "ingest_responses",
     "land_raw",
     "latest_movements",

@@ -92,16 +92,43 @@ def ingest_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: s
     return out if keep_origin else out.drop(SOURCE_FILE, SOURCE_POS)
 
 
-def nested_entity(spark: SparkSession, paths: str | Sequence[str], row_tag: str, element: str,
-                  key: str | None = None, schema: StructType | None = None) -> DataFrame:
-    """Project a nested element of the responses out as its own table, one row per key
-    (default key ``Id{element}``). Parses the responses once at ``row_tag``."""
+def entity_from_responses(responses: DataFrame, element: str, key: str | None = None) -> DataFrame:
+    """Project a nested element of parsed responses out as its own table, one row per key
+    (default key ``Id{element}``, first seen wins)."""
     key = key or f"Id{element}"
-    df = read_responses(spark, paths, row_tag, schema)
-    ent = df.select(f"`{element}`.*", SOURCE_FILE, SOURCE_POS)
+    ent = responses.select(f"`{element}`.*", SOURCE_FILE, SOURCE_POS)
     return dedupe_keep_first(ent, key, [SOURCE_FILE, SOURCE_POS]).drop(SOURCE_FILE, SOURCE_POS)
 
 
+def nested_entity(spark: SparkSession, paths: str | Sequence[str], row_tag: str, element: str,
+                  key: str | None = None, schema: StructType | None = None) -> DataFrame:
+    """Read responses and project one nested element out as its own table."""
+    return entity_from_responses(read_responses(spark, paths, row_tag, schema), element, key)
+
+
+def extract_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str, key: str | None,
+                      entities: Mapping[str, str | None] | None = None,
+                      request_key: tuple[str, str] | None = None,
+                      children: Mapping[str, str] = fixed.NESTED_ID_CHILDREN,
+                      schema: StructType | None = None) -> dict[str, DataFrame]:
+    """Parse the responses once and derive the main table and the nested entity tables.
+
+    When entity tables are asked for, the parsed rows are checkpointed to the shared
+    checkpoint folder (XML parsing is the costly step) and ``"rows"`` (nested ids lifted, one row per ``key``) and one table per
+    ``entities`` element (``{element: key or None}``) are projections of that one copy.
+    """
+    parsed = read_responses(spark, paths, row_tag, schema, request_key)
+    if entities:
+        checkpoint_root(spark)
+        parsed = parsed.checkpoint(eager=True)
+    rows = lift_nested_ids(parsed, children)
+    rows = dedupe_keep_first(rows, key, [SOURCE_FILE, SOURCE_POS]) if key else rows
+    out = {"rows": rows.drop(SOURCE_FILE, SOURCE_POS)}
+    for element, ent_key in (entities or {}).items():
+        out[element] = entity_from_responses(parsed, element, ent_key)
+    return out
+
+
 def land_raw(df: DataFrame, layout: LakeLayout, area: str, endpoint: str, day: Any = None,
              system: str = fixed.RAW_CONTEXT) -> str:
     """Write extracted rows as the raw JSON snapshot of ``day``; returns its path."""

@@ -168,3 +168,15 @@ def test_standardize_delta_output_reports_failure(spark, raw_lake):
     assert len(status) == 1 and status[0].ok is False and "Delta" in status[0].error
     with pytest.raises(ValueError):
         standardize(spark, raw_lake, "csv", "20240131", output_format="orc")
+
+
+def test_extract_responses_parses_once(spark, tmp_dir):
+    from lakestrata.plans import extract_responses
+
+    _write_text(f"{tmp_dir}/resp2/C-001.xml", SOAP)
+    out = extract_responses(spark, f"{tmp_dir}/resp2", "item", "IdAndamento",
+                            entities={"Unidade": None, "Usuario": "IdUsuario"})
+    assert set(out) == {"rows", "Unidade", "Usuario"}
+    assert out["rows"].count() == 2
+    assert sorted(r.IdUsuario for r in out["Usuario"].collect()) == ["u1", "u2"]
+    assert sorted(str(r.IdUnidade) for r in out["Unidade"].collect()) == ["10", "None"]
