@@ -516,6 +516,16 @@ def q_lake_end_to_end(spark, d):
     return _audit_text(read_parquet(spark, path))
 
 
+def q_ingest_key_list(spark, d):
+    """Only requests in a driving key list (a frame from the tables, never collected),
+    minus a block list; re-sent pages under other requests drop out."""
+    wanted = table(spark, d, "lineitem").select("l_returnflag")
+    out = ingest_responses(spark, _land_responses(spark, d), "item", "IdAndamento", schema=RESPONSE_SCHEMA,
+                           request_key=("IdProcedimentoFormatado", r"/request=([^/]+)/"),
+                           wanted=wanted, blocked=["N"])
+    return out.drop("request")
+
+
 def q_extract_users_dim(spark, d):
     """Users projected from the same single parse of the responses as the movements."""
     out = extract_responses(spark, _land_responses(spark, d), "item", "IdAndamento",
@@ -658,6 +668,7 @@ QUERIES: dict[str, Query] = {
     "ingest_movements": q_ingest_movements,
     "lake_end_to_end": q_lake_end_to_end,
     "extract_users_dim": q_extract_users_dim,
+    "ingest_key_list": q_ingest_key_list,
     "raw_file_selection": q_raw_file_selection,
     "standardize_json": q_standardize_json,
     "standardize_csv": q_standardize_csv,
@@ -815,6 +826,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT DISTINCT IdAndamento, IdUnidade AS Unidade, IdUsuario AS Usuario, IdTarefa AS task,
                upper(DataHora) AS DataHora, request AS IdProcedimentoFormatado, {_AUDIT_SQL} FROM r""",
     "extract_users_dim": _RESPONSES + "SELECT DISTINCT IdUsuario FROM r",
+    "ingest_key_list": _RESPONSES + """
+        SELECT DISTINCT IdAndamento, IdUnidade AS Unidade, IdUsuario AS Usuario, IdTarefa, DataHora,
+               request AS IdProcedimentoFormatado FROM allr
+        WHERE request IN (SELECT l_returnflag FROM lineitem) AND request <> 'N'""",
     "raw_file_selection": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_json": f"SELECT {_ORDERS_TEXT}, {_AUDIT_SQL} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_csv": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from lakestrata import fixed
 from lakestrata.operators.quality import integrity_check
-from lakestrata.operators.relational import dedupe_keep_first
+from lakestrata.operators.relational import dedupe_keep_first, exclude_values
 from lakestrata.operators.transforms import ConformSpec, add_audit_columns, conform
 from lakestrata.plans.facts import (
     DEFAULT_SPEC,
@@ -81,13 +81,27 @@ def read_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str
     return df
 
 
+def restrict_requests(df: DataFrame, column: str, wanted: DataFrame | None = None,
+                      blocked: Sequence[Any] = ()) -> DataFrame:
+    """Keep responses whose request key is in the driving key list (a DataFrame, e.g. a
+    warehouse query, joined as a semi join, never collected) and not in ``blocked``."""
+    if wanted is not None:
+        keys = wanted.select(F.col(wanted.columns[0]).alias("__req")).distinct()
+        df = df.join(keys, F.col(column) == F.col("__req"), "left_semi")
+    return exclude_values(df, column, list(blocked)) if blocked else df
+
+
 def ingest_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str, key: str | None,
                      request_key: tuple[str, str] | None = None,
                      children: Mapping[str, str] = fixed.NESTED_ID_CHILDREN,
-                     schema: StructType | None = None, keep_origin: bool = False) -> DataFrame:
+                     schema: StructType | None = None, keep_origin: bool = False,
+                     wanted: DataFrame | None = None, blocked: Sequence[Any] = ()) -> DataFrame:
     """Responses -> flat rows, nested ids lifted, one row per ``key`` (first seen wins);
-    ``key=None`` keeps every row (an endpoint without a key)."""
+    ``key=None`` keeps every row (an endpoint without a key). With ``request_key``,
+    ``wanted``/``blocked`` restrict the requests as the extractor's key list did."""
     df = lift_nested_ids(read_responses(spark, paths, row_tag, schema, request_key), children)
+    if request_key and (wanted is not None or blocked):
+        df = restrict_requests(df, request_key[0], wanted, blocked)
     out = dedupe_keep_first(df, key, [SOURCE_FILE, SOURCE_POS]) if key else df
     return out if keep_origin else out.drop(SOURCE_FILE, SOURCE_POS)
 
