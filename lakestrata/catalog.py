@@ -54,7 +54,7 @@ from lakestrata.operators.transforms import (
     rename_columns,
 )
 from lakestrata.plans.facts import StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
-from lakestrata.plans.pipelines import (
+from lakestrata.plans.layers import (
     extract_responses,
     ingest_responses,
     land_raw,

@@ -7,7 +7,7 @@ from lakestrata.plans.facts import (
     stalled_cases,
     stalled_detail,
 )
-from lakestrata.plans.pipelines import (
+from lakestrata.plans.layers import (
     entity_from_responses,
     extract_responses,
     ingest_responses,

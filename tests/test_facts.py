@@ -4,7 +4,7 @@ default literal filters (task '2', excluded unit, the case-type list)."""
 import pytest
 
 from lakestrata.plans import stalled_by_type, stalled_by_unit, stalled_cases
-from lakestrata.plans.pipelines import refine_stalled_facts
+from lakestrata.plans.layers import refine_stalled_facts
 from lakestrata.sinks import write_parquet
 from lakestrata.sources import LakeLayout
 

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.plans.pipelines import ingest_responses, land_raw, nested_entity, standardize
+from lakestrata.plans.layers import ingest_responses, land_raw, nested_entity, standardize
 from lakestrata.session import local_path
 from lakestrata.sinks import qualify_table, write_delta, write_json, write_parquet
 from lakestrata.sources import (
