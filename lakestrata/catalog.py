@@ -36,6 +36,7 @@ from lakestrata.operators.relational import (
     latest_per_group,
     max_by_group,
     preview_topn,
+    replicate_rows,
     semi_join,
     sql_over_frames,
     union_by_name,
@@ -183,6 +184,46 @@ def fact_stalled_window(spark, d):
     return stalled_cases(*_star(spark, d), SYN_SPEC, as_of=AS_OF, sort_latest_first=True, method="window")
 
 
+def _hot_movements(spark, d):
+    """movements plus copies of one eligible movement, so that one (unit, case) group,
+    all tied at its latest time, holds a third of all rows. The copy count is half the
+    table size, so the hot group grows with the tables."""
+    mv = movements(spark, d)
+    ok_cases = cases(spark, d).join(
+        case_types(spark, d).where(F.col("c_mktsegment") == "BUILDING"),
+        F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(F.col("o_orderkey").alias("l_orderkey"))
+    ok_units = units(spark, d).where(F.col("s_name").isNotNull() & (F.col("s_name") != EXCLUDED_SUPPLIER)).select(
+        F.col("s_suppkey").alias("l_suppkey"))
+    candidates = (mv.where((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 1))
+                    .join(ok_cases, "l_orderkey", "left_semi").join(ok_units, "l_suppkey", "left_semi"))
+    first = candidates.agg(F.min("l_orderkey").alias("l_orderkey"))
+    hot = candidates.join(first, "l_orderkey", "left_semi")
+    n_copies = mv.agg((F.count(F.lit(1)) / 2).cast("bigint")).first()[0]  # one number
+    copies = replicate_rows(hot.withColumn("__n", F.lit(n_copies)), "__n", spread_by=["l_orderkey"]).drop("__n")
+    return union_positional(mv, copies.select(*mv.columns))
+
+
+def fact_by_unit_hot_group(spark, d):
+    """fact_by_unit with one (unit, case) group holding a third of all rows as tied copies."""
+    return stalled_by_unit(_hot_movements(spark, d), units(spark, d), cases(spark, d), case_types(spark, d), SYN_SPEC)
+
+
+def fact_stalled_hot_group(spark, d):
+    """fact_stalled (sorted) with one (unit, case) group holding a third of all rows."""
+    return stalled_cases(_hot_movements(spark, d), units(spark, d), cases(spark, d), case_types(spark, d),
+                         SYN_SPEC, as_of=AS_OF, sort_latest_first=True)
+
+
+_HOT_SQL = STAR_SQL.replace("ty AS (", """hot AS (
+  SELECT m.* FROM mv m
+  WHERE m.l_linestatus = 'F' AND m.l_linenumber = 1
+    AND m.l_orderkey IN (SELECT o_orderkey FROM cs JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING')
+    AND m.l_suppkey IN (SELECT s_suppkey FROM un WHERE s_name IS NOT NULL AND s_name <> '__EXCL__')),
+hot1 AS (SELECT * FROM hot WHERE l_orderkey = (SELECT min(l_orderkey) FROM hot)),
+mvh AS (SELECT * FROM mv UNION ALL
+        SELECT h.* FROM hot1 h, range(CAST((SELECT count(*) FROM mv) / 2 AS BIGINT))),
+ty AS (""").replace("__EXCL__", EXCLUDED_SUPPLIER)
+
 _FACT_SQL = STAR_SQL + f"""
 SELECT a.l_orderkey AS IdProcedimentoFormatado, u.s_name AS Sigla, tp.c_mktsegment AS tipo,
        CAST(date_diff('day', CAST(md.max_data AS DATE), DATE '{AS_OF}') AS INTEGER) AS Dias_Sem_Movimentacao
@@ -633,6 +674,8 @@ QUERIES: dict[str, Query] = {
     "fact_by_type": fact_by_type,
     "fact_stalled_join_back": fact_stalled_join_back,
     "fact_stalled_window": fact_stalled_window,
+    "fact_by_unit_hot_group": fact_by_unit_hot_group,
+    "fact_stalled_hot_group": fact_stalled_hot_group,
     "latest_per_group": q_latest_per_group,
     "max_by_group": q_max_by_group,
     "star_left_join": q_star_left_join,
@@ -704,6 +747,13 @@ ORACLE_SQL: dict[str, str] = {
     "fact_by_type": STAR_SQL + f"SELECT tp.c_mktsegment AS tipo, count(*) AS qtd {_FACT_FROM} GROUP BY tp.c_mktsegment",
     "fact_stalled_join_back": _FACT_SQL,
     "fact_stalled_window": _FACT_SQL,
+    "fact_by_unit_hot_group": _HOT_SQL + "SELECT u.s_name AS Setor, count(*) AS qtd "
+        + _FACT_FROM.replace("FROM mv a", "FROM mvh a").replace("      FROM mv\n", "      FROM mvh\n")
+        + " GROUP BY u.s_name",
+    "fact_stalled_hot_group": _HOT_SQL + f"""
+        SELECT a.l_orderkey AS IdProcedimentoFormatado, u.s_name AS Sigla, tp.c_mktsegment AS tipo,
+               CAST(date_diff('day', CAST(md.max_data AS DATE), DATE '{AS_OF}') AS INTEGER) AS Dias_Sem_Movimentacao
+        """ + _FACT_FROM.replace("FROM mv a", "FROM mvh a").replace("      FROM mv\n", "      FROM mvh\n"),
     "latest_per_group": """
         SELECT l_suppkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_date FROM (
           SELECT *, rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC) AS rk

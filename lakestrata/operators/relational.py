@@ -136,8 +136,6 @@ def replicate_rows(df: DataFrame, count_col: str, chunk: int = 1 << 20,
     k = F.ceil(n / F.lit(chunk)).cast("bigint")
     sizes = F.transform(F.sequence(F.lit(0).cast("bigint"), k - 1),
                         lambda i: F.struct(i.alias("i"), F.least(F.lit(chunk).cast("bigint"), n - i * chunk).alias("size")))
-    num = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
     def expand(chunks: DataFrame) -> DataFrame:
         pos = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__chunk.size") - 1)).alias("__pos")
         return (chunks.select("*", pos)
@@ -146,13 +144,13 @@ def replicate_rows(df: DataFrame, count_col: str, chunk: int = 1 << 20,
 
     if sort_by:
         chunks = df.where(n > 0).withColumn("__chunk", F.explode(sizes))
-        chunks = chunks.repartitionByRange(num, *sort_by, F.col("__chunk.i"))
+        chunks = chunks.repartitionByRange(*sort_by, F.col("__chunk.i"))  # AQE sizes it
         out = expand(chunks).sortWithinPartitions(*sort_by, "__rid")
     else:
         small = df.where((n > 0) & (n <= chunk)).withColumn(
             "__rid", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
         big = df.where(n > chunk).withColumn("__chunk", F.explode(sizes))
-        big = expand(big.repartition(num, *(spread_by or []), F.col("__chunk.i")))
+        big = expand(big.repartition(*(spread_by or []), F.col("__chunk.i")))
         out = small.unionByName(big)
     return out.withColumnRenamed("__rid", row_id) if row_id else out.drop("__rid")
 
