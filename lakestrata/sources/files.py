@@ -96,15 +96,33 @@ def relative_path(path_col: str, root: str):
     return F.regexp_extract(F.col(path_col), pattern, 1)
 
 
-def layout_files(spark: SparkSession, raw_root: str) -> DataFrame:
+def _glob_part(value: str | None) -> str:
+    if value is None:
+        return "*"
+    if re.search(r"[*?\[\]{}\\]", value):
+        raise ValueError(f"layout part {value!r} contains glob characters")
+    return value
+
+
+def layout_files(spark: SparkSession, raw_root: str, date: str | None = None,
+                 business_area: str | None = None) -> DataFrame:
     """Files of a raw/standardized bucket split into layout parts.
 
     A dataset is ``{area}/{system}/{endpoint}/{yyyyMMdd}/{name}`` where ``name`` is a file
     or a folder of part files written by Spark; deeper files belong to their dataset.
-    Columns: ``business_area, source_system, endpoint, date_extraction, file_name,
-    file_type, dataset_path, path``.
+    ``date`` / ``business_area`` narrow the listing itself with a path glob
+    (``{root}/{area|*}/*/*/{date|*}``), so only that day's folders are listed, not the
+    whole bucket's history. Columns: ``business_area, source_system, endpoint,
+    date_extraction, file_name, file_type, dataset_path, path``.
     """
-    files = list_files(spark, raw_root)
+    if date is None and business_area is None:
+        files = list_files(spark, raw_root)
+    else:
+        glob = f"{raw_root.rstrip('/')}/{_glob_part(business_area)}/*/*/{_glob_part(date)}"
+        try:
+            files = list_files(spark, glob)
+        except FileNotFoundError:  # nothing landed for that day/area
+            files = spark.createDataFrame([], "path string, length bigint, modified timestamp")
     parts = F.split(relative_path("path", raw_root), "/")
     name = F.element_at(parts, 5)
     root = raw_root.rstrip("/")
@@ -133,7 +151,7 @@ def select_raw_files(spark: SparkSession, raw_root: str, file_type: str, ingesti
     file_type = file_type.lower()
     if file_type not in RAW_FILE_TYPES:
         raise ValueError(f"file type {file_type!r} not allowed; valid: {list(RAW_FILE_TYPES)}")
-    files = layout_files(spark, raw_root).where(
+    files = layout_files(spark, raw_root, ingestion_date, business_area).where(
         (F.col("file_type") == file_type) & (F.col("date_extraction") == ingestion_date))
     if business_area:
         files = files.where(F.col("business_area") == business_area)

@@ -180,3 +180,23 @@ def test_extract_responses_parses_once(spark, tmp_dir):
     assert out["rows"].count() == 2
     assert sorted(r.IdUsuario for r in out["Usuario"].collect()) == ["u1", "u2"]
     assert sorted(str(r.IdUnidade) for r in out["Unidade"].collect()) == ["10", "None"]
+
+
+def test_relative_path_any_scheme(spark):
+    from lakestrata.sources import relative_path
+
+    df = spark.createDataFrame([("s3a://bucket/lake/raw/a/s/e/20240131/e_20240131.json/part-0.json",),
+                                ("file:/tmp/lake/raw/a/s/e/20240131/x.csv",)], "path string")
+    got = [r.rel for r in df.select(relative_path("path", "s3a://bucket/lake/raw").alias("rel")).collect()]
+    assert got[0] == "a/s/e/20240131/e_20240131.json/part-0.json"
+    got = [r.rel for r in df.select(relative_path("path", "/tmp/lake/raw").alias("rel")).collect()]
+    assert got[1] == "a/s/e/20240131/x.csv"
+
+
+def test_listing_is_narrowed_to_the_day(spark, raw_lake):
+    from lakestrata.sources import layout_files
+
+    day = layout_files(spark, raw_lake.raw_root, "20240130").collect()
+    assert {r.date_extraction for r in day} == {"20240130"}
+    with pytest.raises(ValueError):
+        layout_files(spark, raw_lake.raw_root, "2024*")
