@@ -9,8 +9,9 @@ joins, not distinct cases.
 
 Plan (``method="aggregate"``, the default; checked with ``explain``):
 
-1. scan movements with the task filter pushed to Parquet, parse the time, drop rows
-   with a null unit, case or time (they can never be a group's maximum);
+1. scan movements with the task filter pushed to Parquet, parse the time once, drop rows
+   with a null unit or case (rows with a null time can never be a group's maximum:
+   ``max`` skips them, and a group with no valid time is dropped after step 3);
 2. count movements per (unit, case, time): partial aggregation before the shuffle, so
    copies of one movement collapse map-side however many there are;
 3. per (unit, case) keep the latest time and the count at that time
@@ -77,12 +78,15 @@ def latest_movements(movements: DataFrame, spec: StarSpec = DEFAULT_SPEC,
 
     Output columns: ``__unit, __case, __ts, __n`` (one row per group).
     """
-    m = _task_movements(movements, spec).where(
-        F.col("__unit").isNotNull() & F.col("__case").isNotNull() & F.col("__ts").isNotNull())
+    m = _task_movements(movements, spec).where(F.col("__unit").isNotNull() & F.col("__case").isNotNull())
     if method == "aggregate":
+        # Null times are dropped after the aggregation (max/max_by skip them): a filter on
+        # the parsed time before it would be pushed under the projection and parse twice.
         per_time = m.groupBy("__unit", "__case", "__ts").agg(F.count(F.lit(1)).alias("__n"))
-        return per_time.groupBy("__unit", "__case").agg(
+        latest = per_time.groupBy("__unit", "__case").agg(
             F.max("__ts").alias("__ts"), F.max_by("__n", "__ts").alias("__n"))
+        return latest.where(F.col("__ts").isNotNull())
+    m = m.where(F.col("__ts").isNotNull())
     if method == "window":
         rows = latest_per_group(m, ["__unit", "__case"], "__ts")
     elif method == "join_back":

@@ -21,6 +21,8 @@ MOVES = [
     ("m9", "C2", "30", "u", "2", "02/01/2024 00:00:00"),   # unit with a null name
     ("m10", "C2", "40", "u", "2", "02/01/2024 00:00:00"),  # the excluded unit
     ("m11", "C3", "10", "u", "2", "02/01/2024 00:00:00"),  # type outside the list
+    ("m12", "C1", "30", "u", "2", "not a time"),           # a group with no valid time at all
+    ("m13", "C2", "20", "u", "2", "31/02/2024 00:00:00"),  # idem, eligible unit and case
 ]
 MOVE_SCHEMA = ("IdAndamento string, IdProcedimentoFormatado string, Unidade string, Usuario string, "
                "IdTarefa string, DataHora string")
