@@ -549,10 +549,10 @@ def q_lake_end_to_end(spark, d):
     lake = LakeLayout(shared_dir(spark, "lake"))
     moves = extract_responses(spark, _land_responses(spark, d), "item", "IdAndamento", schema=RESPONSE_SCHEMA,
                               request_key=("IdProcedimentoFormatado", r"/request=([^/]+)/"))["rows"].drop("request")
-    land_raw(moves, lake, "sei_andamentos", "andamentos", "20240131")
-    standardize(spark, lake, "json", "20240131", business_area="sei_andamentos", load_ts=LOAD_TS)
+    land_raw(moves, lake, "case_movements", "andamentos", "20240131")
+    standardize(spark, lake, "json", "20240131", business_area="case_movements", load_ts=LOAD_TS)
     spec = ConformSpec(rename={"IdTarefa": "task"}, clean_strings=["DataHora"])
-    path = refine_dimension(spark, lake, "sei_andamentos", "andamentos", "dim_sei_andamentos", spec,
+    path = refine_dimension(spark, lake, "case_movements", "andamentos", "dim_case_movements", spec,
                             load_ts=LOAD_TS)
     return _audit_text(read_parquet(spark, path))
 

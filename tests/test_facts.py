@@ -75,8 +75,8 @@ def test_refine_facts_pipeline(spark, star, tmp_dir):
     names = {"movements": "dim_andamentos", "units": "dim_unidades", "cases": "dim_procedimentos",
              "case_types": "dim_tipo_procedimentos"}
     for (role, table), df in zip(names.items(), star):
-        write_parquet(df, lake.refined("sei", table))
-    paths = refine_stalled_facts(spark, lake, {r: ("sei", t) for r, t in names.items()}, "sei_parados",
+        write_parquet(df, lake.refined("casework", table))
+    paths = refine_stalled_facts(spark, lake, {r: ("casework", t) for r, t in names.items()}, "stalled",
                                  as_of="2024-01-31", load_ts="2024-02-01 00:00:00")
     facts = spark.read.parquet(paths["stalled_cases"])
     assert sorted(tuple(r)[:4] for r in facts.collect()) == EXPECTED

@@ -26,12 +26,12 @@ def _write_text(path, text):
 
 def test_layout_paths():
     lake = LakeLayout("s3a://lake")
-    assert lake.raw("sei_andamentos", "andamentos", "20240131") == \
-        "s3a://lake/raw/sei_andamentos/operacional/andamentos/20240131/andamentos_20240131.json"
+    assert lake.raw("case_movements", "andamentos", "20240131") == \
+        "s3a://lake/raw/case_movements/operacional/andamentos/20240131/andamentos_20240131.json"
     assert lake.standardized("a", "t", "20240131") == \
         "s3a://lake/standardized/a/operacional/t/20240131/t_20240131.parquet"
-    assert lake.refined("sei_unidades", "dim_sei_unidades") == \
-        "s3a://lake/refined/sei_unidades/operacional/dim_sei_unidades.parquet"
+    assert lake.refined("case_units", "dim_case_units") == \
+        "s3a://lake/refined/case_units/operacional/dim_case_units.parquet"
 
 
 @pytest.fixture()
@@ -41,14 +41,14 @@ def raw_lake(spark, tmp_dir):
             {"IdAndamento": "1", "DataHora": "01/01/2024 00:00:00"},
             {"IdAndamento": "2", "DataHora": None}]
     # the extractor's form: one JSON array file
-    _write_text(lake.raw("sei_andamentos", "andamentos", "20240131"), json.dumps(rows, ensure_ascii=False))
+    _write_text(lake.raw("case_movements", "andamentos", "20240131"), json.dumps(rows, ensure_ascii=False))
     # Spark's form: a folder of JSON Lines part files
     land_raw(spark.createDataFrame([("10", "SECAD")], "IdUnidade string, Sigla string"),
-             lake, "sei_unidades", "unidades", "20240131")
+             lake, "case_units", "unidades", "20240131")
     land_raw(spark.createDataFrame([("10", "OLD")], "IdUnidade string, Sigla string"),
-             lake, "sei_unidades", "unidades", "20240130")
+             lake, "case_units", "unidades", "20240130")
     _write_text(lake.raw("budget", "lines", "20240131", ext="csv"), "id,amount\n1,2.5\n1,2.5\n")
-    _write_text(f"{lake.raw_root}/sei_x/too_shallow/20240131.json", "[]")
+    _write_text(f"{lake.raw_root}/area_x/too_shallow/20240131.json", "[]")
     _write_text(f"{lake.raw_root}/json_area/operacional/t/20240131/t_20240131.txt", "x")
     return lake
 
@@ -56,9 +56,9 @@ def raw_lake(spark, tmp_dir):
 def test_select_raw_files_rules(spark, raw_lake):
     got = select_raw_files(spark, raw_lake.raw_root, "json", "20240131").select(
         "business_area", "endpoint", "date_extraction").distinct().collect()
-    assert sorted(tuple(r) for r in got) == [("sei_andamentos", "andamentos", "20240131"),
-                                              ("sei_unidades", "unidades", "20240131")]
-    one = select_raw_files(spark, raw_lake.raw_root, "json", "20240131", business_area="sei_unidades")
+    assert sorted(tuple(r) for r in got) == [("case_movements", "andamentos", "20240131"),
+                                              ("case_units", "unidades", "20240131")]
+    one = select_raw_files(spark, raw_lake.raw_root, "json", "20240131", business_area="case_units")
     assert {r.endpoint for r in one.collect()} == {"unidades"}
     with pytest.raises(ValueError):
         select_raw_files(spark, raw_lake.raw_root, "xlsx", "20240131")
@@ -72,7 +72,7 @@ def test_standardize_json_and_csv(spark, raw_lake):
     assert set(status) == {"andamentos", "unidades"}
     assert status["andamentos"].ok is False and status["andamentos"].n_duplicates == 1
     assert status["unidades"].ok is True and status["unidades"].error is None
-    moves = spark.read.parquet(raw_lake.standardized("sei_andamentos", "andamentos", "20240131"))
+    moves = spark.read.parquet(raw_lake.standardized("case_movements", "andamentos", "20240131"))
     assert moves.count() == 3  # duplicates are reported, not removed
     assert {"dt_carga", "etl_versao", "etl_dt_inicio", "etl_dt_fim"} <= set(moves.columns)
     csv = standardize(spark, raw_lake, "csv", "20240131").collect()
@@ -141,7 +141,7 @@ def test_delta_write_needs_package(spark, tmp_dir):
 
 
 def test_jdbc_options_and_names():
-    o = jdbc_options("jdbc:postgresql://h/db", table="dw.t", properties={"user": "u"},
+    o = jdbc_options("jdbc:example://h/db", table="dw.t", properties={"user": "u"},
                      partition_column="id", lower_bound=1, upper_bound=100, num_partitions=8)
     assert o["dbtable"] == "dw.t" and o["numPartitions"] == "8" and o["user"] == "u"
     q = jdbc_options("jdbc:x", query="SELECT processo FROM dw.t")
