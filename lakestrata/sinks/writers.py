@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from lakestrata.operators.quality import observe_rows
 from lakestrata.operators.transforms import add_audit_columns
 
 
@@ -65,10 +66,15 @@ def write_delta(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def publish_refined(df: DataFrame, path: str, add_metadata: bool = True, load_ts=None,
-                    max_records_per_file: int | None = None) -> None:
-    """Write a refined table: audit columns (overwriting old ones), Parquet, replace."""
+                    max_records_per_file: int | None = None) -> int:
+    """Write a refined table: audit columns (overwriting old ones), Parquet, replace.
+
+    Returns the number of rows written, counted by the write itself (no extra job).
+    """
     out = add_audit_columns(df, load_ts) if add_metadata else df
+    out, obs = observe_rows(out, "published_rows")
     write_parquet(out, path, "overwrite", max_records_per_file=max_records_per_file)
+    return int(obs.get.get("n_rows", 0))
 
 
 # --- warehouse --------------------------------------------------------------------------

@@ -98,3 +98,24 @@ def test_hot_group_of_copies(spark, star):
     assert detail.count() == 3004
     plan = detail._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_three_plans_agree_on_random_stars(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    times = ["01/01/2024 00:00:00", "02/01/2024 00:00:00", "02/01/2024 00:00:00", "bad", None]
+    moves = [(f"m{i}", rnd.choice(["C1", "C2", "C3", "C4", None]), rnd.choice(["10", "20", "30", "40", None]),
+              "u", rnd.choice(["2", "2", "7"]), rnd.choice(times)) for i in range(400)]
+    movements = spark.createDataFrame(moves, MOVE_SCHEMA)
+    units = spark.createDataFrame([("10", "SECAD"), ("20", "SEFIN"), ("20", "SEFIN2"), ("30", None), ("40", "AL-SAI")],
+                                  "IdUnidade string, Sigla string")
+    cases = spark.createDataFrame([("p1", "C1", "T1"), ("p2", "C2", "T2"), ("p2b", "C2", "T1"), ("p3", "C3", "T9")],
+                                  "IdProcedimento string, ProcedimentoFormatado string, TipoProcedimento string")
+    types = spark.createDataFrame([("T1", "Contrato"), ("T2", "Licitação"), ("T9", "Outro tipo")],
+                                  "IdTipoProcedimento string, Nome string")
+    results = [sorted(map(tuple, stalled_cases(movements, units, cases, types, as_of="2024-02-01",
+                                               method=m).collect()))
+               for m in ("aggregate", "window", "join_back")]
+    assert results[0] == results[1] == results[2] and len(results[0]) > 0

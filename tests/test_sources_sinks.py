@@ -200,3 +200,11 @@ def test_listing_is_narrowed_to_the_day(spark, raw_lake):
     assert {r.date_extraction for r in day} == {"20240130"}
     with pytest.raises(ValueError):
         layout_files(spark, raw_lake.raw_root, "2024*")
+
+
+def test_publish_refined_counts_rows_in_the_write(spark, tmp_dir):
+    from lakestrata.sinks import publish_refined
+
+    n = publish_refined(spark.range(7), f"{tmp_dir}/refined/t.parquet", load_ts="2024-01-01 00:00:00")
+    assert n == 7
+    assert spark.read.parquet(f"{tmp_dir}/refined/t.parquet").count() == 7
