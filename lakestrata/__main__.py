@@ -1,5 +1,5 @@
-"""Layer steps as Spark jobs: ``spark-submit -m lakestrata <step> ...`` or
-``python -m lakestrata <step> ...``.
+"""Layer steps as Spark jobs: ``spark-submit --py-files lakestrata.zip lakestrata/__main__.py
+<step> ...`` on a cluster, or ``python -m lakestrata <step> ...`` locally.
 
     standardize  --root R --type json|csv --date yyyyMMdd [--area A] [--format parquet|delta]
     refine-dim   --root R --area A --endpoint E --table T [--spec spec.json]
