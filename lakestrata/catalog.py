@@ -69,6 +69,7 @@ from lakestrata.session import session_key, shared_dir
 from lakestrata.sinks.writers import write_csv, write_json, write_parquet, write_xml
 from lakestrata.sources.files import read_csv, read_json, read_latest_snapshot, read_parquet, select_raw_files
 from lakestrata.sources.layout import LakeLayout
+from lakestrata.streaming.incremental import standardize_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -652,6 +653,19 @@ def q_latest_snapshot(spark, d):
     return read_latest_snapshot(spark, lake.standardized_table("sales", "orders"))
 
 
+def q_stream_standardize(spark, d):
+    """The raw orders of all three days picked up by a file-source stream (availableNow),
+    appended to a standardized table with audit columns."""
+    lake = _land_raw_lake(spark, d)
+    target = shared_dir(spark, "stream") + "/orders"
+    glob = f"{lake.raw_root}/sales/operacional/orders/*/orders_*.json/*.json"
+    q = standardize_stream(spark, glob, ORDERS_TEXT_SCHEMA, target, load_ts=LOAD_TS,
+                           checkpoint=shared_dir(spark, "stream-checkpoints"))
+    q.awaitTermination()
+    out = read_parquet(spark, target)
+    return _audit_text(out.select(*ORDERS_OUT, "dt_carga", "etl_versao", "etl_dt_inicio", "etl_dt_fim"))
+
+
 REFINE_SPEC = ConformSpec(
     rename={"o_orderkey": "nk_order"},
     map_values={"o_orderstatus": {"P": "PENDING"}},
@@ -717,6 +731,7 @@ QUERIES: dict[str, Query] = {
     "standardize_csv": q_standardize_csv,
     "latest_snapshot": q_latest_snapshot,
     "refine_dimension": q_refine_dimension,
+    "stream_standardize": q_stream_standardize,
 }
 
 
@@ -884,6 +899,7 @@ ORACLE_SQL: dict[str, str] = {
     "standardize_json": f"SELECT {_ORDERS_TEXT}, {_AUDIT_SQL} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_csv": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",
     "latest_snapshot": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",
+    "stream_standardize": f"SELECT {_ORDERS_TEXT}, {_AUDIT_SQL} FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')",
     "refine_dimension": f"""
         SELECT o_orderkey AS nk_order, o_custkey,
                CASE WHEN o_orderstatus = 'P' THEN 'PENDING' ELSE o_orderstatus END AS o_orderstatus,
