@@ -73,17 +73,20 @@ def dedupe_keep_first(df: DataFrame, key: str | Sequence[str],
 
 
 def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
-                     keep_ties: bool = True, collapse_copies: bool = False) -> DataFrame:
+                     keep_ties: bool = True, collapse_copies: bool = True) -> DataFrame:
     """Rows at the latest ``ts`` of each group; with ``keep_ties`` every tied row stays.
 
     Rows with a null key or null time are dropped first: they can never equal a group's
     maximum, exactly as in the max-then-join-back form.
 
     The map-side group limit bounds what a hot group sends to its reducer to the rows tied
-    at each map task's maximum. If the input may hold many exact copies of a row that
-    ties at a group's maximum, ``collapse_copies`` counts copies first (partial
-    aggregation over all columns), ranks the distinct rows and makes the copies again
-    spread over tasks; it costs one full shuffle more, so it is opt-in.
+    at each map task's maximum. Exact copies of a row tied at a group's maximum would
+    all pass that limit, so by default (``collapse_copies``, with ``keep_ties``) copies
+    are counted first (partial aggregation over all columns, before the shuffle), the
+    distinct rows are ranked, and the copies are made again spread over tasks. It costs
+    one more shuffle of the distinct rows; pass ``collapse_copies=False`` for inputs known
+    to be free of copies. Masses of *distinct* rows tied on one key's maximum are better
+    served by ``latest_per_group_join_back``, whose (keys, ts) join AQE can split.
     """
     keys = _cols(keys)
     ts_col = F.col(ts) if isinstance(ts, str) else ts

@@ -88,7 +88,7 @@ def latest_movements(movements: DataFrame, spec: StarSpec = DEFAULT_SPEC,
         return latest.where(F.col("__ts").isNotNull())
     m = m.where(F.col("__ts").isNotNull())
     if method == "window":
-        rows = latest_per_group(m, ["__unit", "__case"], "__ts")
+        rows = latest_per_group(m, ["__unit", "__case"], "__ts", collapse_copies=False)
     elif method == "join_back":
         rows = latest_per_group_join_back(m, ["__unit", "__case"], "__ts")
     else:
