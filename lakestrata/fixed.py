@@ -73,7 +73,8 @@ CASE_TYPE_KEY = "IdTipoProcedimento"
 CASE_TYPE_NAME = "Nome"
 
 # Nested elements whose id child is lifted when an XML response is flattened: element -> child.
-NESTED_ID_CHILDREN = {"Unidade": "IdUnidade", "Usuario": "IdUsuario"}
+NESTED_ID_CHILDREN = {"Unidade": "IdUnidade", "Usuario": "IdUsuario"}  # movement responses
+CASE_NESTED_ID_CHILDREN = {"TipoProcedimento": "IdTipoProcedimento"}  # case responses
 
 # Block list of case codes the case extraction skips.
 BLOCKED_CASES = ("0000303-29.2024.4.05.7200",)

@@ -208,3 +208,29 @@ def test_publish_refined_counts_rows_in_the_write(spark, tmp_dir):
     n = publish_refined(spark.range(7), f"{tmp_dir}/refined/t.parquet", load_ts="2024-01-01 00:00:00")
     assert n == 7
     assert spark.read.parquet(f"{tmp_dir}/refined/t.parquet").count() == 7
+
+
+CASES_XML = """<Envelope><Body><resp><parametros>
+<IdProcedimento>p1</IdProcedimento><ProcedimentoFormatado>C1</ProcedimentoFormatado>
+<TipoProcedimento><IdTipoProcedimento>T1</IdTipoProcedimento><Nome>Contrato</Nome></TipoProcedimento>
+</parametros></resp></Body></Envelope>
+"""
+
+
+def test_case_responses_lift_type_and_type_dim(spark, tmp_dir):
+    from lakestrata.fixed import CASE_NESTED_ID_CHILDREN, BLOCKED_CASES
+    from lakestrata.plans import extract_responses
+
+    _write_text(f"{tmp_dir}/cases/C1.xml", CASES_XML)
+    _write_text(f"{tmp_dir}/cases/{BLOCKED_CASES[0]}.xml", CASES_XML.replace("p1", "p9").replace(">C1<", ">CX<"))
+    out = extract_responses(spark, f"{tmp_dir}/cases", "parametros", "IdProcedimento",
+                            entities={"TipoProcedimento": None}, children=CASE_NESTED_ID_CHILDREN,
+                            request_key=("request", r"/([^/]+)\.xml$"))
+    rows = out["rows"].collect()
+    assert {(r.IdProcedimento, r.TipoProcedimento) for r in rows} == {("p1", "T1"), ("p9", "T1")}
+    types = out["TipoProcedimento"].collect()
+    assert [(r.IdTipoProcedimento, r.Nome) for r in types] == [("T1", "Contrato")]
+    kept = ingest_responses(spark, f"{tmp_dir}/cases", "parametros", "IdProcedimento",
+                            children=CASE_NESTED_ID_CHILDREN, request_key=("request", r"/([^/]+)\.xml$"),
+                            blocked=list(BLOCKED_CASES)).collect()
+    assert [r.IdProcedimento for r in kept] == ["p1"]
