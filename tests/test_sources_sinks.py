@@ -234,3 +234,12 @@ def test_case_responses_lift_type_and_type_dim(spark, tmp_dir):
                             children=CASE_NESTED_ID_CHILDREN, request_key=("request", r"/([^/]+)\.xml$"),
                             blocked=list(BLOCKED_CASES)).collect()
     assert [r.IdProcedimento for r in kept] == ["p1"]
+
+
+def test_max_records_per_file_bounds_files(spark, tmp_dir):
+    import glob as _glob
+
+    write_parquet(spark.range(0, 20, numPartitions=1), f"{tmp_dir}/bounded", max_records_per_file=6)
+    files = _glob.glob(f"{local_path(tmp_dir)}/bounded/*.parquet")
+    assert len(files) == 4  # 6 + 6 + 6 + 2 rows, no repartition shuffle
+    assert spark.read.parquet(f"{tmp_dir}/bounded").count() == 20
