@@ -680,6 +680,13 @@ def q_refine_dimension(spark, d):
     return _audit_text(read_parquet(spark, path))
 
 
+def warm_fixtures(spark: SparkSession, d: str) -> None:
+    """Write the files the round-trip queries derive from the tables (once per session)."""
+    _land_responses(spark, d)
+    _land_raw_lake(spark, d)
+    _land_standardized(spark, d)
+
+
 # --- registry --------------------------------------------------------------------------------------
 
 QUERIES: dict[str, Query] = {
