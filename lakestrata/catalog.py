@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from lakestrata.functions.expressions import days_since, parse_event_time
+from lakestrata.functions.expressions import days_since, local_time_text, parse_event_time
 from lakestrata.operators.quality import integrity_check, null_profile, table_profile
 from lakestrata.operators.relational import (
     anti_join,
@@ -112,7 +112,7 @@ def movements(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 6, F.lit(None)).otherwise(F.col("l_suppkey")).alias("l_suppkey"),
         "l_linestatus",
         F.when(F.col("l_linenumber") == 5, F.lit("31/02/2001 00:00:00"))
-         .otherwise(F.date_format("l_shipdate", "01/MM/yyyy 00:00:00")).alias("event_text"),
+         .otherwise(local_time_text("l_shipdate", "01/MM/yyyy 00:00:00")).alias("event_text"),
     )
 
 
@@ -245,7 +245,7 @@ def q_max_by_group(spark, d):
                    cases(spark, d).select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
     mv = mv.withColumn("ts", parse_event_time("event_text"))
     return max_by_group(mv, ["l_suppkey", "l_orderkey"], "ts", "max_ts").select(
-        "l_suppkey", "l_orderkey", F.date_format("max_ts", "yyyy-MM-dd HH:mm:ss").alias("latest"))
+        "l_suppkey", "l_orderkey", local_time_text("max_ts", "yyyy-MM-dd HH:mm:ss").alias("latest"))
 
 
 # --- joins ---------------------------------------------------------------------------------
@@ -274,14 +274,14 @@ def q_anti_join_blocklist(spark, d):
 def _order_text():
     return (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("not a date"))
              .when(F.col("o_orderpriority") == "2-HIGH", F.lit("31/02/1999 10:00:00"))
-             .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy HH:mm:ss")))
+             .otherwise(local_time_text("o_orderdate", "dd/MM/yyyy HH:mm:ss")))
 
 
 def q_parse_ts(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", _order_text().alias("event_text"))
     ts = parse_event_time("event_text")
     return o.select("o_orderkey", "event_text",
-                    F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("parsed"),
+                    local_time_text(ts, "yyyy-MM-dd HH:mm:ss").alias("parsed"),
                     F.to_date(ts).alias("parsed_date"))
 
 
@@ -482,11 +482,11 @@ def _write_responses(spark, d) -> str:
     li = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     rows = li.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                    F.date_format("l_shipdate", "yyyyMMdd"), "l_returnflag", "l_linestatus").alias("IdAndamento"),
+                    local_time_text("l_shipdate", "yyyyMMdd"), "l_returnflag", "l_linestatus").alias("IdAndamento"),
         F.struct(F.col("l_suppkey").cast("string").alias("IdUnidade"), F.col("s_name").alias("Sigla")).alias("Unidade"),
         F.struct(F.col("l_partkey").cast("string").alias("IdUsuario")).alias("Usuario"),
         F.col("l_linestatus").alias("IdTarefa"),
-        F.date_format("l_shipdate", "dd/MM/yyyy HH:mm:ss").alias("DataHora"),
+        local_time_text("l_shipdate", "dd/MM/yyyy HH:mm:ss").alias("DataHora"),
         F.col("l_returnflag").alias("request"),
         "l_linenumber",
     )
@@ -583,7 +583,7 @@ RAW_DAYS = {"20240101": "F", "20240102": "O", "20240103": "P"}
 def _orders_text(spark, d):
     return table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
+        local_time_text("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"))
 
 
 def _write_raw_lake(spark, d) -> LakeLayout:

@@ -4,6 +4,7 @@ from lakestrata.functions.expressions import (
     date_key,
     days_since,
     file_extension,
+    local_time_text,
     map_values,
     null_like,
     parse_date_key,
@@ -18,6 +19,7 @@ __all__ = [
     "date_key",
     "days_since",
     "file_extension",
+    "local_time_text",
     "map_values",
     "null_like",
     "parse_date_key",

@@ -18,8 +18,12 @@ def _col(c: str | Column) -> Column:
 
 
 def parse_event_time(c: str | Column, fmt: str = EVENT_TIME_FORMAT) -> Column:
-    """Text -> timestamp; malformed text gives null (also with ANSI mode on)."""
-    return F.try_to_timestamp(_col(c), F.lit(fmt))
+    """Text -> local timestamp (``timestamp_ntz``): the wall-clock time as written, with no
+    session time zone involved, so a time that falls in a daylight-saving gap is kept as
+    written and day counts do not depend on the zone. Malformed text gives null, also
+    with ANSI mode on (the strict parse only runs where the lenient one succeeded)."""
+    col = _col(c)
+    return F.when(F.try_to_timestamp(col, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(col, F.lit(fmt)))
 
 
 def as_of_date(as_of: str | _dt.date | _dt.datetime | Column | None) -> Column:
@@ -95,3 +99,21 @@ def file_extension(path: str | Column) -> Column:
 def swap_extension(path: str | Column, old: str, new: str) -> Column:
     """Replace a trailing ``.old`` by ``.new`` (only at the end of the path)."""
     return F.regexp_replace(_col(path), rf"\.{old}$", f".{new}")
+
+
+def local_time_text(c: str | Column, fmt: str) -> Column:
+    """Format a ``timestamp_ntz`` without any time-zone conversion (``date_format`` goes
+    through the session zone). Supported: ``dd/MM/yyyy HH:mm:ss``, ``yyyy-MM-dd HH:mm:ss``,
+    ``yyyy-MM-dd``, ``yyyyMMdd``, and ``01/MM/yyyy 00:00:00`` (month start)."""
+    s = _col(c).cast("string")  # yyyy-MM-dd HH:mm:ss[.ffffff]
+    y, mo, d, hms = F.substring(s, 1, 4), F.substring(s, 6, 2), F.substring(s, 9, 2), F.substring(s, 12, 8)
+    parts = {
+        "dd/MM/yyyy HH:mm:ss": [d, F.lit("/"), mo, F.lit("/"), y, F.lit(" "), hms],
+        "yyyy-MM-dd HH:mm:ss": [F.substring(s, 1, 19)],
+        "yyyy-MM-dd": [F.substring(s, 1, 10)],
+        "yyyyMMdd": [y, mo, d],
+        "01/MM/yyyy 00:00:00": [F.lit("01/"), mo, F.lit("/"), y, F.lit(" 00:00:00")],
+    }
+    if fmt not in parts:
+        raise ValueError(f"unsupported local time format {fmt!r}")
+    return F.concat(*parts[fmt])
\ No newline at end of file

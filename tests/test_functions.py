@@ -75,3 +75,24 @@ def test_date_key_and_paths(spark):
     assert r.k == "20240131" and r.d == dt.date(2024, 1, 31) and r.bad is None
     assert r.day == "20240131" and r.ext == "json"
     assert r.swapped == "a/b/c/20240131/x_20240131.parquet"
+
+
+def test_parse_is_zone_free_in_a_dst_gap(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        # 1999-10-03 00:00 does not exist in Sao Paulo (clocks jumped to 01:00)
+        df = spark.createDataFrame([("03/10/1999 00:00:00",)], "t string")
+        r = df.select(parse_event_time("t").alias("ts")).first()
+        assert r.ts == dt.datetime(1999, 10, 3, 0, 0, 0)
+        assert df.select(parse_event_time("t").alias("ts")).schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_local_time_text(spark):
+    from lakestrata.functions import local_time_text
+
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 5, 10, 11, 12),)], "ts timestamp_ntz")
+    r = df.select(*[local_time_text("ts", f).alias(f"f{i}") for i, f in enumerate(
+        ["dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd", "01/MM/yyyy 00:00:00"])]).first()
+    assert tuple(r) == ("05/03/2024 10:11:12", "2024-03-05 10:11:12", "2024-03-05", "20240305", "01/03/2024 00:00:00")
