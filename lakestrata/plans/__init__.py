@@ -17,6 +17,7 @@ from lakestrata.plans.layers import (
     publish_to_warehouse,
     read_responses,
     refine_dimension,
+    refine_dimensions,
     refine_stalled_facts,
     standardize,
 )
@@ -34,6 +35,7 @@ __all__ = [
     "publish_to_warehouse",
     "read_responses",
     "refine_dimension",
+    "refine_dimensions",
     "refine_stalled_facts",
     "stalled_by_type",
     "stalled_by_unit",

@@ -238,6 +238,36 @@ def refine_dimension(spark: SparkSession, layout: LakeLayout, area: str, endpoin
     return path
 
 
+REFINE_STATUS_SCHEMA = "area string, endpoint string, table_name string, refined_path string, n_rows bigint, error string"
+
+
+def refine_dimensions(spark: SparkSession, layout: LakeLayout,
+                      tables: Sequence[tuple[str, str, str, ConformSpec | None]], load_ts: Any = None,
+                      system: str = fixed.RAW_CONTEXT, target: LakeLayout | None = None,
+                      parallelism: int = 4) -> DataFrame:
+    """Refine several dimensions, ``(area, endpoint, table, spec)`` each, a few at a time.
+
+    Each is ``refine_dimension``; a table that fails is reported and the others go on.
+    Returns one status row per table (the row count comes from the write itself).
+    """
+    def run(item) -> tuple:
+        area, endpoint, table, spec = item
+        try:
+            df = read_latest_snapshot(spark, layout.standardized_table(area, endpoint, system))
+            if spec is not None:
+                df = conform(df, spec)
+            path = (target or layout).refined(area, table, system)
+            n = publish_refined(df, path, load_ts=load_ts)
+            return (area, endpoint, table, path, n, None)
+        except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
+            return (area, endpoint, table, None, None, f"{type(e).__name__}: {e}"[:1000])
+
+    items = list(tables)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items) or 1))) as pool:
+        status = list(pool.map(run, items))
+    return spark.createDataFrame(status, REFINE_STATUS_SCHEMA)
+
+
 def refine_stalled_facts(spark: SparkSession, layout: LakeLayout,
                          dims: Mapping[str, tuple[str, str]], out_area: str,
                          spec: StarSpec = DEFAULT_SPEC, as_of: Any = None, load_ts: Any = None,

@@ -243,3 +243,23 @@ def test_max_records_per_file_bounds_files(spark, tmp_dir):
     files = _glob.glob(f"{local_path(tmp_dir)}/bounded/*.parquet")
     assert len(files) == 4  # 6 + 6 + 6 + 2 rows, no repartition shuffle
     assert spark.read.parquet(f"{tmp_dir}/bounded").count() == 20
+
+
+def test_refine_dimensions_batch(spark, tmp_dir):
+    from lakestrata.operators import ConformSpec
+    from lakestrata.plans import refine_dimensions
+
+    lake = LakeLayout(tmp_dir)
+    write_parquet(spark.createDataFrame([("10", " secad ")], "IdUnidade string, Sigla string"),
+                  lake.standardized("units_area", "units", "20240131"))
+    write_parquet(spark.createDataFrame([("u1",)], "IdUsuario string"),
+                  lake.standardized("users_area", "users", "20240131"))
+    status = refine_dimensions(spark, lake, [
+        ("units_area", "units", "dim_units", ConformSpec(clean_strings=["Sigla"])),
+        ("users_area", "users", "dim_users", None),
+        ("missing_area", "missing", "dim_missing", None),
+    ], load_ts="2024-02-01 00:00:00").collect()
+    by_table = {r.table_name: r for r in status}
+    assert by_table["dim_units"].n_rows == 1 and by_table["dim_users"].error is None
+    assert by_table["dim_missing"].error.startswith("FileNotFoundError")
+    assert spark.read.parquet(by_table["dim_units"].refined_path).first().Sigla == "SECAD"
