@@ -23,6 +23,22 @@ def _cols(xs: str | Column | Sequence[str | Column]) -> list[str | Column]:
     return [xs] if isinstance(xs, (str, Column)) else list(xs)
 
 
+def _groupable(df: DataFrame) -> bool:
+    """False when a column holds a map (maps cannot be grouping keys)."""
+    from pyspark.sql.types import ArrayType, MapType, StructType
+
+    def ok(t) -> bool:
+        if isinstance(t, MapType):
+            return False
+        if isinstance(t, ArrayType):
+            return ok(t.elementType)
+        if isinstance(t, StructType):
+            return all(ok(f.dataType) for f in t.fields)
+        return True
+
+    return all(ok(f.dataType) for f in df.schema.fields)
+
+
 # --- filters by membership ---------------------------------------------------------------
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str] | Column) -> DataFrame:
@@ -94,7 +110,7 @@ def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
     rank_fn = F.rank() if keep_ties else F.row_number()
     w = Window.partitionBy(*keys).orderBy(ts_col.desc())
     rows = df.where(not_null)
-    if collapse_copies and keep_ties:
+    if collapse_copies and keep_ties and _groupable(df):
         cols = [f"`{c}`" for c in df.columns]
         counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
         ranked = counted.withColumn("__rk", rank_fn.over(w)).where("__rk = 1").drop("__rk")

@@ -131,3 +131,9 @@ def test_replicate_rows_small_counts_need_no_shuffle(spark):
     df = spark.createDataFrame([("a", 3), ("b", 2)], "k string, n long")
     out = replicate_rows(df, "n", spread_by=["k"])
     assert out.count() == 5
+
+
+def test_latest_per_group_with_map_column_skips_collapse(spark):
+    df = spark.createDataFrame([("g", 2, {"a": 1}), ("g", 2, {"a": 1}), ("g", 1, {"b": 2})],
+                               "k string, t int, m map<string,int>")
+    assert latest_per_group(df, "k", "t").count() == 2
