@@ -7,6 +7,7 @@ them, join them to a run log, or collect them; nothing is pulled to the driver h
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql.types import MapType
 from pyspark.sql import functions as F
 
 from lakestrata.functions.expressions import null_like
@@ -20,7 +21,10 @@ def integrity_check(df: DataFrame) -> DataFrame:
     shuffle, so many copies of one row collapse map-side. Duplicates are reported, not
     removed.
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    # Maps cannot be grouping keys: compare them as their sorted entries.
+    keys = [F.array_sort(F.map_entries(F.col(f"`{f.name}`"))).alias(f.name) if isinstance(f.dataType, MapType)
+            else F.col(f"`{f.name}`") for f in df.schema.fields]
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return groups.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_rows"),
         F.count(F.lit(1)).alias("n_distinct"),

@@ -28,3 +28,9 @@ def test_table_profile_and_observe(spark):
     observed, obs = observe_rows(df)
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get["n_rows"] == 42
+
+
+def test_integrity_check_with_map_column(spark):
+    df = spark.createDataFrame([(1, {"a": 1, "b": 2}), (1, {"b": 2, "a": 1}), (2, {"a": 1})], "x int, m map<string,int>")
+    r = integrity_check(df).first()
+    assert (r.n_rows, r.n_duplicates) == (3, 1)
