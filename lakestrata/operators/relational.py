@@ -81,10 +81,13 @@ def dedupe_keep_first(df: DataFrame, key: str | Sequence[str],
                       order_by: str | Column | Sequence[str | Column]) -> DataFrame:
     """One row per key, the first in ``order_by`` (e.g. file, then position in file).
 
-    Null keys form one group, like pandas ``drop_duplicates``. ``order_by`` should make
-    rows unique inside a key for a deterministic result.
+    Null keys form one group, like pandas ``drop_duplicates``. When ``order_by`` ties, a
+    hash of the row's content decides, so a re-run task keeps the same row.
     """
-    w = Window.partitionBy(*_cols(key)).orderBy(*_cols(order_by))
+    order = _cols(order_by)
+    if _groupable(df):
+        order = order + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    w = Window.partitionBy(*_cols(key)).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 

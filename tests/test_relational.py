@@ -137,3 +137,10 @@ def test_latest_per_group_with_map_column_skips_collapse(spark):
     df = spark.createDataFrame([("g", 2, {"a": 1}), ("g", 2, {"a": 1}), ("g", 1, {"b": 2})],
                                "k string, t int, m map<string,int>")
     assert latest_per_group(df, "k", "t").count() == 2
+
+
+def test_dedupe_ties_are_deterministic(spark):
+    rows = [("k", 1, f"v{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, seq int, v string")
+    picks = {dedupe_keep_first(df.repartition(n), "k", "seq").first().v for n in (1, 3, 7)}
+    assert len(picks) == 1
