@@ -18,6 +18,7 @@ from lakestrata.operators.relational import (
     max_by_group,
     preview_topn,
     register_views,
+    replicate_rows,
     semi_join,
     sql_over_frames,
     union_by_name,
@@ -62,6 +63,7 @@ __all__ = [
     "observe_rows",
     "preview_topn",
     "register_views",
+    "replicate_rows",
     "rename_columns",
     "semi_join",
     "sql_over_frames",

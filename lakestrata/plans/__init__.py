@@ -19,6 +19,7 @@ from lakestrata.plans.layers import (
     refine_dimension,
     refine_dimensions,
     refine_stalled_facts,
+    restrict_requests,
     standardize,
 )
 
@@ -37,6 +38,7 @@ __all__ = [
     "refine_dimension",
     "refine_dimensions",
     "refine_stalled_facts",
+    "restrict_requests",
     "stalled_by_type",
     "stalled_by_unit",
     "stalled_cases",
