@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from lakestrata.functions.expressions import days_since, local_time_text, parse_event_time
+from lakestrata.functions.expressions import days_since, local_time_text, parse_event_time, quoted
 from lakestrata.operators.quality import integrity_check, null_profile, table_profile
 from lakestrata.operators.relational import (
     anti_join,
@@ -515,9 +515,9 @@ def flatten_structs(df: DataFrame, sep: str = "_") -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, StructType):
-            cols += [F.col(f"`{f.name}`.`{c}`").alias(f"{f.name}{sep}{c}") for c in f.dataType.fieldNames()]
+            cols += [F.col(quoted(f.name, c)).alias(f"{f.name}{sep}{c}") for c in f.dataType.fieldNames()]
         else:
-            cols.append(F.col(f"`{f.name}`"))
+            cols.append(F.col(quoted(f.name)))
     return df.select(*cols)
 
 

@@ -13,6 +13,11 @@ from pyspark.sql.types import DataType
 from lakestrata.fixed import DATE_KEY_FORMAT, EVENT_TIME_FORMAT, NOT_INFORMED
 
 
+def quoted(*parts: str) -> str:
+    """A column reference for names that may hold dots, spaces or backticks."""
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

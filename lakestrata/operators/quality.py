@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from lakestrata.functions.expressions import null_like
+from lakestrata.functions.expressions import null_like, quoted
 
 
 def integrity_check(df: DataFrame) -> DataFrame:
@@ -22,8 +22,8 @@ def integrity_check(df: DataFrame) -> DataFrame:
     removed.
     """
     # Maps cannot be grouping keys: compare them as their sorted entries.
-    keys = [F.array_sort(F.map_entries(F.col(f"`{f.name}`"))).alias(f.name) if isinstance(f.dataType, MapType)
-            else F.col(f"`{f.name}`") for f in df.schema.fields]
+    keys = [F.array_sort(F.map_entries(F.col(quoted(f.name)))).alias(f.name) if isinstance(f.dataType, MapType)
+            else F.col(quoted(f.name)) for f in df.schema.fields]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     return groups.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_rows"),
@@ -34,7 +34,7 @@ def integrity_check(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row, one ``bigint`` per column: how many values are null-like."""
-    return df.agg(*[F.count_if(null_like(F.col(f"`{c}`"))).alias(c) for c in df.columns])
+    return df.agg(*[F.count_if(null_like(F.col(quoted(c)))).alias(c) for c in df.columns])
 
 
 def null_profile(df: DataFrame, only_positive: bool = True) -> DataFrame:
@@ -46,7 +46,7 @@ def null_profile(df: DataFrame, only_positive: bool = True) -> DataFrame:
     """
     wide = null_counts(df)
     names = df.columns
-    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', `{c}`" for c in names)
+    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', {quoted(c)}" for c in names)
     long = wide.selectExpr(f"stack({len(names)}, {stack}) AS (column_name, n_null_like)")
     return long.where("n_null_like > 0") if only_positive else long
 

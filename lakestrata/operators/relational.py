@@ -18,6 +18,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakestrata.functions.expressions import quoted
+
 
 def _cols(xs: str | Column | Sequence[str | Column]) -> list[str | Column]:
     return [xs] if isinstance(xs, (str, Column)) else list(xs)
@@ -86,7 +88,7 @@ def dedupe_keep_first(df: DataFrame, key: str | Sequence[str],
     """
     order = _cols(order_by)
     if _groupable(df):
-        order = order + [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+        order = order + [F.xxhash64(*[F.col(quoted(c)) for c in df.columns])]
     w = Window.partitionBy(*_cols(key)).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
@@ -114,7 +116,7 @@ def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
     w = Window.partitionBy(*keys).orderBy(ts_col.desc())
     rows = df.where(not_null)
     if collapse_copies and keep_ties and _groupable(df):
-        cols = [f"`{c}`" for c in df.columns]
+        cols = [quoted(c) for c in df.columns]
         counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
         ranked = counted.withColumn("__rk", rank_fn.over(w)).where("__rk = 1").drop("__rk")
         return replicate_rows(ranked, "__copies", spread_by=keys).drop("__copies")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakestrata import fixed
+from lakestrata.functions.expressions import quoted
 from lakestrata.operators.quality import integrity_check
 from lakestrata.operators.relational import dedupe_keep_first, exclude_values
 from lakestrata.operators.transforms import ConformSpec, add_audit_columns, conform
@@ -55,7 +56,7 @@ def lift_nested_ids(df: DataFrame, children: Mapping[str, str] = fixed.NESTED_ID
             continue
         dtype = types[element]
         if isinstance(dtype, StructType) and child in dtype.fieldNames():
-            lifted[element] = F.col(f"`{element}`.`{child}`").cast("string")
+            lifted[element] = F.col(quoted(element, child)).cast("string")
         else:
             lifted[element] = F.lit(None).cast("string")
     return df.withColumns(lifted) if lifted else df
@@ -110,7 +111,7 @@ def entity_from_responses(responses: DataFrame, element: str, key: str | None =
     """Project a nested element of parsed responses out as its own table, one row per key
     (default key ``Id{element}``, first seen wins)."""
     key = key or f"Id{element}"
-    ent = responses.select(f"`{element}`.*", SOURCE_FILE, SOURCE_POS)
+    ent = responses.select(f"{quoted(element)}.*", SOURCE_FILE, SOURCE_POS)
     return dedupe_keep_first(ent, key, [SOURCE_FILE, SOURCE_POS]).drop(SOURCE_FILE, SOURCE_POS)
 
 
@@ -208,7 +209,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
             writer(add_audit_columns(df, load_ts), out_path)
             if check_integrity:
                 # Checked on the columnar copy just written (raw text is parsed only once).
-                written = spark.read.format(output_format).load(out_path).select(*[f"`{c}`" for c in df.columns])
+                written = spark.read.format(output_format).load(out_path).select(*[quoted(c) for c in df.columns])
                 report = integrity_check(written).first()
                 n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash

@@ -34,3 +34,10 @@ def test_integrity_check_with_map_column(spark):
     df = spark.createDataFrame([(1, {"a": 1, "b": 2}), (1, {"b": 2, "a": 1}), (2, {"a": 1})], "x int, m map<string,int>")
     r = integrity_check(df).first()
     assert (r.n_rows, r.n_duplicates) == (3, 1)
+
+
+def test_reports_with_awkward_column_names(spark):
+    df = spark.createDataFrame([(None, "x"), ("", "y")], "`a.b` string, `c``d` string")
+    got = {r.column_name: r.n_null_like for r in null_profile(df).collect()}
+    assert got == {"a.b": 2}
+    assert integrity_check(df).first().n_rows == 2
