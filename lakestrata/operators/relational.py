@@ -73,8 +73,20 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
-    """Distinct over all columns (partial aggregation collapses copies map-side)."""
-    return df.dropDuplicates()
+    """Distinct over all columns (partial aggregation collapses copies map-side).
+
+    Top-level map columns, which cannot be grouping keys, are compared by their sorted
+    entries and one of the equal maps is kept."""
+    if _groupable(df):
+        return df.dropDuplicates()
+    from pyspark.sql.types import MapType
+
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
+    keys = [F.array_sort(F.map_entries(F.col(quoted(c)))).alias(f"__k{i}") if c in maps
+            else F.col(quoted(c)) for i, c in enumerate(df.columns)]
+    out = df.groupBy(*keys).agg(*[F.first(F.col(quoted(c))).alias(f"__m{c}") for c in maps])
+    return out.select(*[F.col(quoted(f"__m{c}")).alias(c) if c in maps else F.col(quoted(c))
+                        for c in df.columns])
 
 
 # --- one row per key -----------------------------------------------------------------------

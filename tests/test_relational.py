@@ -144,3 +144,10 @@ def test_dedupe_ties_are_deterministic(spark):
     df = spark.createDataFrame(rows, "k string, seq int, v string")
     picks = {dedupe_keep_first(df.repartition(n), "k", "seq").first().v for n in (1, 3, 7)}
     assert len(picks) == 1
+
+
+def test_distinct_rows_with_map_column(spark):
+    df = spark.createDataFrame([(1, {"a": 1, "b": 2}), (1, {"b": 2, "a": 1}), (2, {"a": 1})],
+                               "x int, m map<string,int>")
+    out = distinct_rows(df)
+    assert out.columns == ["x", "m"] and out.count() == 2
