@@ -160,12 +160,14 @@ STATUS_SCHEMA = ("business_area string, source_system string, endpoint string, "
 
 
 def _read_raw(spark: SparkSession, file_type: str, paths: list[str],
-              schema: StructType | None) -> DataFrame:
+              schema: StructType | None, json_array: bool | None = None) -> DataFrame:
     if file_type == "csv":
         return read_csv(spark, paths, schema=schema)
     # Raw JSON is either a JSON array per file (the extractor's form) or JSON Lines
     # (Spark's form); a JSON Lines read of an array file yields one corrupt record.
-    return read_json(spark, paths, schema=schema, multi_line=_is_json_array(spark, paths))
+    # ``json_array=None`` looks at the first non-blank line (a one-row job).
+    multi_line = _is_json_array(spark, paths) if json_array is None else json_array
+    return read_json(spark, paths, schema=schema, multi_line=multi_line)
 
 
 def _is_json_array(spark: SparkSession, paths: list[str]) -> bool:
@@ -177,7 +179,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                 business_area: str | None = None, check_integrity: bool = True,
                 load_ts: Any = None, schemas: Mapping[str, StructType] | None = None,
                 target: LakeLayout | None = None, output_format: str = "parquet",
-                parallelism: int = 4) -> DataFrame:
+                parallelism: int = 4, json_array: bool | None = None) -> DataFrame:
     """Standardize one day's raw files of one type into Parquet with audit columns.
 
     One read per table (all its files of the day in one multi-path read), audit columns,
@@ -187,7 +189,8 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
     and the run goes on. Returns one status row per table.
     ``target`` writes the standardized layer under another root (default: ``layout``).
     ``output_format="delta"`` writes Delta tables (needs the Delta package).
-    ``parallelism`` tables are processed at the same time.
+    ``parallelism`` tables are processed at the same time. ``json_array`` says whether raw
+    JSON files are arrays (``True``) or JSON Lines (``False``); ``None`` detects it.
     """
     if output_format not in ("parquet", "delta"):
         raise ValueError(f"unknown output format {output_format!r}")
@@ -204,7 +207,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
         ok, error = True, None
         try:
             schema = (schemas or {}).get(t.endpoint)
-            df = _read_raw(spark, file_type, list(t.datasets), schema)
+            df = _read_raw(spark, file_type, list(t.datasets), schema, json_array)
             writer = write_delta if output_format == "delta" else write_parquet
             writer(add_audit_columns(df, load_ts), out_path)
             if check_integrity:

@@ -26,8 +26,8 @@ def _write_text(path, text):
 
 def test_layout_paths():
     lake = LakeLayout("s3a://lake")
-    assert lake.raw("case_movements", "andamentos", "20240131") == \
-        "s3a://lake/raw/case_movements/operacional/andamentos/20240131/andamentos_20240131.json"
+    assert lake.raw("case_movements", "movements", "20240131") == \
+        "s3a://lake/raw/case_movements/operacional/movements/20240131/movements_20240131.json"
     assert lake.standardized("a", "t", "20240131") == \
         "s3a://lake/standardized/a/operacional/t/20240131/t_20240131.parquet"
     assert lake.refined("case_units", "dim_case_units") == \
@@ -41,12 +41,12 @@ def raw_lake(spark, tmp_dir):
             {"IdAndamento": "1", "DataHora": "01/01/2024 00:00:00"},
             {"IdAndamento": "2", "DataHora": None}]
     # the extractor's form: one JSON array file
-    _write_text(lake.raw("case_movements", "andamentos", "20240131"), json.dumps(rows, ensure_ascii=False))
+    _write_text(lake.raw("case_movements", "movements", "20240131"), json.dumps(rows, ensure_ascii=False))
     # Spark's form: a folder of JSON Lines part files
     land_raw(spark.createDataFrame([("10", "SECAD")], "IdUnidade string, Sigla string"),
-             lake, "case_units", "unidades", "20240131")
+             lake, "case_units", "units", "20240131")
     land_raw(spark.createDataFrame([("10", "OLD")], "IdUnidade string, Sigla string"),
-             lake, "case_units", "unidades", "20240130")
+             lake, "case_units", "units", "20240130")
     _write_text(lake.raw("budget", "lines", "20240131", ext="csv"), "id,amount\n1,2.5\n1,2.5\n")
     _write_text(f"{lake.raw_root}/area_x/too_shallow/20240131.json", "[]")
     _write_text(f"{lake.raw_root}/json_area/operacional/t/20240131/t_20240131.txt", "x")
@@ -56,10 +56,10 @@ def raw_lake(spark, tmp_dir):
 def test_select_raw_files_rules(spark, raw_lake):
     got = select_raw_files(spark, raw_lake.raw_root, "json", "20240131").select(
         "business_area", "endpoint", "date_extraction").distinct().collect()
-    assert sorted(tuple(r) for r in got) == [("case_movements", "andamentos", "20240131"),
-                                              ("case_units", "unidades", "20240131")]
+    assert sorted(tuple(r) for r in got) == [("case_movements", "movements", "20240131"),
+                                              ("case_units", "units", "20240131")]
     one = select_raw_files(spark, raw_lake.raw_root, "json", "20240131", business_area="case_units")
-    assert {r.endpoint for r in one.collect()} == {"unidades"}
+    assert {r.endpoint for r in one.collect()} == {"units"}
     with pytest.raises(ValueError):
         select_raw_files(spark, raw_lake.raw_root, "xlsx", "20240131")
     with pytest.raises(FileNotFoundError):
@@ -69,10 +69,10 @@ def test_select_raw_files_rules(spark, raw_lake):
 def test_standardize_json_and_csv(spark, raw_lake):
     status = {r.endpoint: r for r in standardize(spark, raw_lake, "json", "20240131",
                                                  load_ts="2024-01-31 12:00:00").collect()}
-    assert set(status) == {"andamentos", "unidades"}
-    assert status["andamentos"].ok is False and status["andamentos"].n_duplicates == 1
-    assert status["unidades"].ok is True and status["unidades"].error is None
-    moves = spark.read.parquet(raw_lake.standardized("case_movements", "andamentos", "20240131"))
+    assert set(status) == {"movements", "units"}
+    assert status["movements"].ok is False and status["movements"].n_duplicates == 1
+    assert status["units"].ok is True and status["units"].error is None
+    moves = spark.read.parquet(raw_lake.standardized("case_movements", "movements", "20240131"))
     assert moves.count() == 3  # duplicates are reported, not removed
     assert {"dt_carga", "etl_versao", "etl_dt_inicio", "etl_dt_fim"} <= set(moves.columns)
     csv = standardize(spark, raw_lake, "csv", "20240131").collect()
@@ -263,3 +263,9 @@ def test_refine_dimensions_batch(spark, tmp_dir):
     assert by_table["dim_units"].n_rows == 1 and by_table["dim_users"].error is None
     assert by_table["dim_missing"].error.startswith("FileNotFoundError")
     assert spark.read.parquet(by_table["dim_units"].refined_path).first().Sigla == "SECAD"
+
+
+def test_standardize_with_declared_json_form(spark, raw_lake):
+    status = standardize(spark, raw_lake, "json", "20240131", business_area="case_units",
+                         json_array=False).collect()
+    assert [(r.endpoint, r.n_rows, r.ok) for r in status] == [("units", 1, True)]
