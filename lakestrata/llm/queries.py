@@ -36,6 +36,35 @@ def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: The rules of the URL query.
+URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+
+
+def op6_url_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or learned verdict on every page's URL."""
+    from .url_gbt import UrlRule, judge_urls
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, [UrlRule.parse(r) for r in URL_RULES]).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op7_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that links of 75 % of the five-word shingles reach."""
+    from .jaccard_join import linked_groups
+
+    return linked_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to monolithic archives, these normalised, and every record read back by its offset."""
+    from .warc import archive_folder, normalise, read_records, write_monolithic
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    files = write_monolithic(pages, archive_folder(pages, "monolithic"), least_bytes=0)
+    index = normalise(files, archive_folder(pages, "normalised"))
+    return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     from .byte_bpe import decode, encode, read_ranks
@@ -56,7 +85,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op4_histogram_sort, op9_byte_bpe, op10_temperature_mixing)
+    f.__name__: f for f in (op3_quality_rules, op4_histogram_sort, op6_url_gbt, op7_adaptive_prefix_join, op8_warc_normaliser, op9_byte_bpe, op10_temperature_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
