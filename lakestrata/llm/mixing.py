@@ -130,8 +130,7 @@ def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
 
     # every (source, epoch, block): its place in that epoch's permutation and the tokens before it
     epochs = (blocks.join(F.broadcast(plan), "_src")  # a row for each source: bounded by max_sources
-              .withColumn("epoch", F.explode(F.expr("sequence(0L, _epochs - 1L + CAST(_rest > 0 AS BIGINT))")))
-              if plan_rows else blocks.crossJoin(plan.limit(0)).withColumn("epoch", F.lit(0).cast("long")))
+              .withColumn("epoch", F.explode(F.expr("sequence(0L, greatest(0L, _epochs - 1L + CAST(_rest > 0 AS BIGINT)))"))))
     epochs = epochs.where("epoch < _epochs OR _rest > 0")
     order = Window.partitionBy("_src", "epoch").orderBy(F.xxhash64("_src", "epoch", "block", F.lit(seed)), "block")
     placed = epochs.withColumn("_before", F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

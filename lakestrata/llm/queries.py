@@ -19,6 +19,20 @@ def tokenizer_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from .html_template import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op2_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found of every 20th vector."""
+    from .ann_partitions import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=20, query_every=20)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rule and learned verdict of every document."""
     from .decision_list import quality_rules
@@ -36,6 +50,15 @@ def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_transcript_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from raw transcripts of every conversation; ``turn`` is where each starts in the source."""
+    from .transcripts import fit, recover_turns, transcript_lines
+
+    lines = transcript_lines(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    out = recover_turns(lines, fit(lines))
+    return out.select("conv_id", F.shiftright("pos", 32).cast("long").alias("turn"), "role", "n_lines", "text", "rendered")
+
+
 #: The rules of the URL query.
 URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
 
@@ -85,7 +108,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op4_histogram_sort, op6_url_gbt, op7_adaptive_prefix_join, op8_warc_normaliser, op9_byte_bpe, op10_temperature_mixing)
+    f.__name__: f for f in (op1_template_extraction, op2_learned_partitions, op3_quality_rules, op4_histogram_sort, op5_transcript_parsing, op6_url_gbt, op7_adaptive_prefix_join, op8_warc_normaliser, op9_byte_bpe, op10_temperature_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
