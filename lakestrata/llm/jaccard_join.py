@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from .common import connected_components, stage
 
 SLOT_BITS, SLOTS = 14, 128  # the count sketch: 128 slots of 2^14 counters
-MOST_MATCHES = 32  # largest l
+MOST_MATCHES = 8000  # largest l
+STEP = 16  # one more match for so many shingles of a set, whatever its cost
 SALTS = 32
 
 
@@ -138,8 +139,9 @@ def _excess(sketch: DataFrame) -> np.ndarray:
 
 
 def matches_needed(cost: float, prefix: int, overlap: int) -> int:
-    """l of a set: 1 more for each doubling of the mean number of candidates per prefix shingle."""
-    return max(1, min(1 + int(2 * math.log2(1 + cost / max(prefix, 1))), MOST_MATCHES, overlap))
+    """l of a set: in proportion to its size, and 2 more for each doubling of the mean number of candidates per prefix shingle."""
+    n = prefix + overlap - 1
+    return max(1, min(1 + n // STEP + int(2 * math.log2(1 + cost / max(prefix, 1))), MOST_MATCHES, overlap))
 
 
 def prefix_of(hashes: np.ndarray, excess: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -152,13 +154,12 @@ def prefix_of(hashes: np.ndarray, excess: np.ndarray, percent: int) -> tuple[np.
     overlap = least_overlap(n, percent)
     base = n - overlap + 1
     common = excess[(hashes >> np.uint64(64 - SLOT_BITS - 7)).astype(np.int64)]
-    if not common.any():
-        return hashes[:base], np.ones(base, np.int64), 1
-    order = np.argsort(np.ceil(np.log2(1 + common)), kind="stable")
-    need = matches_needed(float(common[order[:base]].sum()), base, overlap)
-    order = order[: base + need - 1]
-    level = np.maximum(1, np.arange(1, len(order) + 1) - base + 1)
-    return hashes[order], level, need
+    if common.any():
+        order = np.argsort(np.ceil(np.log2(1 + common)), kind="stable")
+        hashes, common = hashes[order], common[order]
+    need = matches_needed(float(common[:base].sum()), base, overlap)
+    last = base + need - 1
+    return hashes[:last], np.maximum(1, np.arange(1, last + 1) - base + 1), need
 
 
 def _postings(docs: DataFrame, width: int, percent: int, excess: np.ndarray) -> DataFrame:
@@ -174,7 +175,7 @@ def _postings(docs: DataFrame, width: int, percent: int, excess: np.ndarray) ->
                     t, level, need = prefix_of(s, over, percent)
                     tokens.append(t)
                     keys.append(np.full(len(t), set_key(s), np.int64))
-                    meta.append((len(s) << 16) | (need << 8) | (level << 1) | (over[(t >> np.uint64(64 - SLOT_BITS - 7)).astype(np.int64)] > 0))
+                    meta.append((len(s) << 28) | (need << 15) | (level << 1) | (over[(t >> np.uint64(64 - SLOT_BITS - 7)).astype(np.int64)] > 0))
             if tokens:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(keys)),
                                                   pa.array(np.concatenate(meta).astype(np.int64))], names=["token", "set", "meta"])
@@ -183,7 +184,7 @@ def _postings(docs: DataFrame, width: int, percent: int, excess: np.ndarray) ->
 
 
 def _size(meta: str) -> Column:
-    return F.shiftright(meta, 16)
+    return F.shiftright(meta, 28)
 
 
 def _enough(a: str, b: str, percent: int) -> Column:
@@ -194,11 +195,19 @@ def _enough(a: str, b: str, percent: int) -> Column:
 def _matched(a: str, b: str) -> tuple[Column, Column]:
     """l of a pair (the smaller of the two) and whether a shared shingle counts at it."""
     part = lambda m, shift, mask: F.shiftright(m, shift).bitwiseAND(F.lit(mask))
-    need = F.least(part(a, 8, 255), part(b, 8, 255))
-    level = F.greatest(part(a, 1, 127), part(b, 1, 127))
+    need = F.least(part(a, 15, 8191), part(b, 15, 8191))
+    level = F.greatest(part(a, 1, 16383), part(b, 1, 16383))
     return need, level <= need
 
 
+def _fewest(a: str, b: str, need: Column, percent: int) -> Column:
+    """Shared shingles that a pair must have in its prefixes: l, and what its overlap needs beyond
+    the longer suffix (all they share behind the prefix that ends first lies in that set's suffix)."""
+    both, largest = _size(a) + _size(b), F.greatest(_size(a), _size(b))
+    overlap = F.ceil(percent * both / (100 + percent) - F.lit(1e-9))
+    return F.greatest(need, overlap - F.ceil(percent * largest / 100 - F.lit(1e-9)) + need)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) with ``linked``: the exact test on the whole sets."""
     left = sets.select(F.col("set").alias("a"), F.col("hashes").alias("ha"))
@@ -209,8 +218,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Whole sets of the wanted rows (row, set). A bit map of fixed size spares the other rows
-    the shingling, the join then is exact."""
+    """``set hashes`` of the wanted rows (``row``), as a written table. A bit map of fixed size
+    spares the other rows the shingling; a row that it lets through by chance does no harm."""
     bits = 23
     place = F.pmod("row", F.lit(1 << bits)) + 1  # bucket k of the two bitmap functions holds 32768 places from 1 on
     rows = (wanted.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("p"))
@@ -223,16 +232,16 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            at = batch.column(2).to_numpy(zero_copy_only=False) - 1
+            at = batch.column(1).to_numpy(zero_copy_only=False) - 1
             hit = pa.array((known[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-            for part in _pieces(iter([batch.filter(hit)]), 1):
-                sets = [s.view(np.int64) for s in shingle_sets(part.column(1), width)]
+            for part in _pieces(iter([batch.filter(hit)]), 0):
+                sets = [s for s in shingle_sets(part.column(0), width) if len(s)]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["row", "hashes"])
+                flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                                                 names=["set", "hashes"])
 
-    made = docs.select("row", "text", place.cast("long").alias("at")).mapInArrow(run, "row long, hashes array<long>")
-    return made.join(wanted, "row").groupBy("set").agg(F.any_value("hashes").alias("hashes"))
+    return stage(docs.select("text", place.cast("long").alias("at")).mapInArrow(run, "set long, hashes array<long>"), "hashes")
 
 
 def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -243,7 +252,7 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", width: int = 5, percent: int = 75,
-                  rounds: int = 2) -> DataFrame:
+                  rounds: int = 1) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     Two rows are linked if ``100 * |x and y| >= percent * |x or y|`` on the sets of their distinct
@@ -268,11 +277,12 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
     w = Window.partitionBy("token", "salt")
     postings = _postings(base.select("text"), width, percent, excess).withColumn("salt", salt.cast("int"))
     postings = postings.withColumns({"low": F.min("set").over(w), "high": F.max("set").over(w)})
-    postings = stage(postings.where(hot | F.expr("low != high")).select("token", "set", "meta").distinct(), "postings")
+    postings = stage(postings.where(hot | F.expr("low != high")).select("token", "set", "meta").distinct(), "shared")
 
-    present = postings.select("set").distinct()
-    chosen = rows.where("set IS NOT NULL").join(present, "set").groupBy("set").agg(F.min("row").alias("row"))
-    sets = stage(_sets_of(base, stage(chosen, "wanted"), width), "hashes")
+    # every partner asks for 1 + (its size) / STEP shared shingles at least
+    listed = postings.groupBy("set").agg(F.count("*").alias("k"), F.max("meta").alias("m"))
+    listed = listed.where(F.col("k") > F.floor(F.ceil(percent * _size("m") / 100 - F.lit(1e-9)) / STEP)).select("set")
+    postings = stage(postings.join(listed, "set", "left_semi"), "postings")
 
     tried: DataFrame | None = None
     labels: DataFrame | None = None
@@ -292,14 +302,18 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
         need, counts = _matched("ma", "mb")
         pairs = (pairs.where(_enough("ma", "mb", percent)).withColumns({"need": need, "counts": counts})
                  .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.col("b" if k < rounds else "a").alias("own"))
-                 .agg(F.count_if("counts").alias("shared"), F.max("need").alias("need")).where("shared >= need"))
+                 .agg(F.count_if("counts").alias("shared"), F.max("need").alias("need"), F.any_value("ma").alias("ma"), F.any_value("mb").alias("mb"))
+                 .where(F.col("shared") >= _fewest("ma", "mb", F.col("need"), percent)))
         if k < rounds:
             best = pairs.groupBy("own").agg(F.max_by(F.struct("x", "y"), F.struct("shared", "x", "y")).alias("p"))
             pairs = best.select(F.col("p.x").alias("x"), F.col("p.y").alias("y"))
         pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        checked = stage(_verify(pairs, sets, percent), "checked")
+        pairs = stage(pairs, "pairs")
+        ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+        chosen = rows.where("set IS NOT NULL").join(ends, "set").groupBy("set").agg(F.min("row").alias("row"))
+        checked = stage(_verify(pairs, _sets_of(base, chosen, width), percent).distinct(), "checked")
         tried = checked if tried is None else tried.unionByName(checked)
         labels = connected_components(tried.where("linked").select("a", "b"))
     if labels is None:
