@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import base64
 import codecs
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE = 200_000  # pieces that a worker remembers; then it starts anew
+CACHE = 600_000  # pieces that a worker remembers; then it starts anew
 
 
 def byte_characters() -> list[str]:
@@ -45,22 +46,32 @@ def build_tokenizer(ranks: dict[bytes, int], pattern: str):
 
 
 def pack(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def unpack(ids: bytes) -> list[int]:
     return [int(i) for i in memoryview(ids).cast("I")] if ids else []
 
 
+def worker_encoder(key: int, ranks: dict[bytes, int], pattern: str) -> Encoder:
+    """The encoder of this worker process, kept from task to task."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_byte_bpe_worker", types.ModuleType("_byte_bpe_worker"))
+    if getattr(kept, "key", None) != key:
+        kept.encoder, kept.key = Encoder(ranks, pattern), key
+    return kept.encoder
+
+
 class Encoder:
-    """Encodes texts; made once per worker."""
+    """Encodes texts and remembers the ids of their pieces."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.tokenizer = build_tokenizer(ranks, pattern)
         self.known: dict[str, bytes | None] = {}
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = list(pieces)
+    def _learn(self, new: list[str]) -> None:
         # a piece that is empty or starts with white space could belong to a longer run of it
         whole = [p for p in new if p and not p[0].isspace()]
         for k in range(0, len(whole), 10_000):
@@ -71,22 +82,19 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers (null: none)."""
+        cut = [(text or "").split(" ") for text in texts]
+        if len(self.known) > CACHE:
+            self.known.clear()
+        seen: set[str] = set()
+        for first, *rest in cut:
+            seen.update(rest)
+        self._learn([p for p in seen if p not in self.known])
+        heads = self.tokenizer.encode_batch_fast([first for first, *_ in cut], add_special_tokens=False)
         out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            first, *rest = text.split(" ")
-            if len(self.known) > CACHE:
-                self.known.clear()
-            if new := set(rest) - self.known.keys():
-                self._learn(new)
+        for text, head, (_, *rest) in zip(texts, heads, cut, strict=True):
             ids = list(map(self.known.__getitem__, rest))
-            if None in ids:
-                out.append(pack(self.tokenizer.encode(text, add_special_tokens=False).ids))
-            else:
-                head = pack(self.tokenizer.encode(first, add_special_tokens=False).ids) if first else b""
-                out.append(head + b"".join(ids))
+            whole = None in ids
+            out.append(pack(self.tokenizer.encode(text, add_special_tokens=False).ids) if whole else pack(head.ids) + b"".join(ids))
         return out
 
     def offsets(self, text: str | None) -> list[tuple[int, int]]:
@@ -116,6 +124,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((ranks, pattern))
+    key = hash((spark.sparkContext.applicationId, pattern, frozenset(ranks.items())))
     added = {"ids", "n_tokens", "offsets"}
     cols = [c for c in docs.columns if c not in added and c != text]
     source = docs.select(*[f"`{c}`" for c in cols], f"`{text}`")
@@ -128,7 +137,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = Encoder(*shared.value)
+        encoder = worker_encoder(key, *shared.value)
         for batch in batches:
             texts = batch.column(len(cols))
             for a, b in _slices([len(x.as_py() or "") for x in texts] if batch.nbytes > 4 << 20 else [0] * len(texts)):
