@@ -147,19 +147,21 @@ cs AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderpriority <> '5-LOW'
 ty AS (SELECT c_custkey, c_mktsegment FROM customer)
 """
 
-_FACT_FROM = f"""
-FROM mv a
-LEFT JOIN un u ON u.s_suppkey = a.l_suppkey
-LEFT JOIN cs p ON p.o_orderkey = a.l_orderkey
-LEFT JOIN ty tp ON tp.c_custkey = p.o_custkey
-JOIN (SELECT l_suppkey, l_orderkey, MAX(try_strptime(event_text, '%d/%m/%Y %H:%M:%S')) AS max_data
-      FROM mv
-      WHERE l_orderkey IN (SELECT o_orderkey FROM cs) AND l_linestatus IN ('F')
-      GROUP BY l_suppkey, l_orderkey) md
-  ON a.l_suppkey = md.l_suppkey AND a.l_orderkey = md.l_orderkey
- AND try_strptime(a.event_text, '%d/%m/%Y %H:%M:%S') = md.max_data
-WHERE a.l_orderkey IN (SELECT o_orderkey FROM cs) AND a.l_linestatus IN ('F')
-  AND u.s_name <> '{EXCLUDED_SUPPLIER}' AND tp.c_mktsegment IN ('BUILDING', 'MACHINERY')
+# the meaning of the facts: the newest movements of each (unit, case), then the dimensions
+_NEWEST = f"""
+, moved AS (
+  SELECT mv.*, try_strptime(event_text, '%d/%m/%Y %H:%M:%S') AS happened
+  FROM mv SEMI JOIN cs ON o_orderkey = l_orderkey
+  WHERE l_linestatus = 'F' AND l_suppkey IS NOT NULL),
+newest AS (
+  SELECT * FROM moved WHERE happened IS NOT NULL
+  QUALIFY rank() OVER (PARTITION BY l_suppkey, l_orderkey ORDER BY happened DESC) = 1),
+placed AS (
+  SELECT newest.l_orderkey, newest.happened, un.s_name, ty.c_mktsegment
+  FROM newest
+  INNER JOIN un ON un.s_suppkey = newest.l_suppkey AND un.s_name <> '{EXCLUDED_SUPPLIER}'
+  INNER JOIN cs ON cs.o_orderkey = newest.l_orderkey
+  INNER JOIN ty ON ty.c_custkey = cs.o_custkey AND ty.c_mktsegment IN ('BUILDING', 'MACHINERY'))
 """
 
 
@@ -225,11 +227,15 @@ mvh AS (SELECT * FROM mv UNION ALL
         SELECT h.* FROM hot1 h, range(CAST((SELECT count(*) FROM mv) / 2 AS BIGINT))),
 ty AS (""").replace("__EXCL__", EXCLUDED_SUPPLIER)
 
-_FACT_SQL = STAR_SQL + f"""
-SELECT a.l_orderkey AS IdProcedimentoFormatado, u.s_name AS Sigla, tp.c_mktsegment AS tipo,
-       CAST(date_diff('day', CAST(md.max_data AS DATE), DATE '{AS_OF}') AS INTEGER) AS Dias_Sem_Movimentacao
-{_FACT_FROM}
-ORDER BY md.max_data DESC
+_ORDER_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+_ORDERS_TEXT_SQL = f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, {_ORDER_DAY} AS o_orderdate{{more}} FROM orders{{missing}}
+"""
+
+_FACT_SQL = STAR_SQL + _NEWEST + f"""
+SELECT l_orderkey AS IdProcedimentoFormatado, s_name AS Sigla, c_mktsegment AS tipo,
+       CAST(date_diff('day', CAST(happened AS DATE), DATE '{AS_OF}') AS INTEGER) AS Dias_Sem_Movimentacao
+FROM placed
 """
 
 # --- latest / max per group -------------------------------------------------------------
@@ -680,6 +686,57 @@ def q_refine_dimension(spark, d):
     return _audit_text(read_parquet(spark, path))
 
 
+# --- raw files of several forms ----------------------------------------------------------------
+
+def q_standardize_mixed_json(spark, d):
+    """One endpoint and day with JSON array files beside JSON Lines files, each read whole."""
+    lake, out_lake = LakeLayout(shared_dir(spark, "lake")), LakeLayout(shared_dir(spark, "lake"))
+    o = _orders_text(spark, d).select(*ORDERS_OUT)
+    write_json(o.where("o_orderstatus <> 'F'"), lake.raw("sales", "orders", "20240102", "json"))
+    arrays = (o.where("o_orderstatus = 'F'").groupBy(F.expr("o_orderkey DIV 4000").alias("g"))
+              .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.to_json(F.struct(*ORDERS_OUT))), ",\n"), F.lit("\n]")).alias("value")))
+    folder = lake.raw("sales", "orders", "20240102", "json").rsplit("/", 1)[0]
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/orders_arrays.json")
+    status = standardize(spark, lake, "json", "20240102", load_ts=LOAD_TS, target=out_lake).first()
+    out = conform_to_schema(read_parquet(spark, status.standardized_path), ORDERS_TEXT_SCHEMA)
+    return out.withColumn("n_corrupt", F.lit(status.n_corrupt).cast("bigint"))
+
+
+def q_standardize_csv_headers(spark, d):
+    """One endpoint and day with CSV files whose columns differ in order and number."""
+    lake, out_lake = LakeLayout(shared_dir(spark, "lake")), LakeLayout(shared_dir(spark, "lake"))
+    o = _orders_text(spark, d).select(*ORDERS_OUT)
+    folder = lake.raw("sales", "orders", "20240102", "csv").rsplit("/", 1)[0]
+    write_csv(o.where("o_orderstatus = 'F'"), f"{folder}/orders_20240102.csv")
+    write_csv(o.where("o_orderstatus = 'O'").select(*reversed(ORDERS_OUT)), f"{folder}/orders_reversed.csv")
+    write_csv(o.where("o_orderstatus = 'P'").select("o_orderstatus", "o_orderkey"), f"{folder}/orders_short.csv")
+    status = standardize(spark, lake, "csv", "20240102", load_ts=LOAD_TS, target=out_lake).first()
+    out = read_parquet(spark, status.standardized_path)
+    return conform_to_schema(out, ORDERS_TEXT_SCHEMA)
+
+
+def q_raw_json_nulls(spark, d):
+    """Raw JSON with a column that has no value at all: it is still there after standardizing."""
+    lake, out_lake = LakeLayout(shared_dir(spark, "lake")), LakeLayout(shared_dir(spark, "lake"))
+    o = _orders_text(spark, d).select("o_orderkey", F.lit(None).cast("string").alias("o_note"))
+    land_raw(o, lake, "sales", "notes", "20240102")
+    status = standardize(spark, lake, "json", "20240102", load_ts=LOAD_TS, target=out_lake).first()
+    return read_parquet(spark, status.standardized_path).select("o_orderkey", F.col("o_note").cast("string").alias("o_note"))
+
+
+def q_map_codes_to_names(spark, d):
+    """A number column mapped from codes to names (the rest as text)."""
+    li = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("line"))
+    return map_column_values(li, {"line": {1: "first", 2: "second", "x": "none"}})
+
+
+def q_latest_hot_distinct(spark, d):
+    """Latest rows per key where distinct rows tied at one key's maximum hold a third of all rows."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_suppkey")).alias("k"),
+                                            F.when(F.col("l_orderkey") % 3 == 0, F.lit("9999-12-31")).otherwise(F.col("l_shipdate").cast("string")).alias("day"))
+    return latest_per_group(li, "k", "day").select("k", "l_orderkey", "l_linenumber")
+
+
 def warm_fixtures(spark: SparkSession, d: str) -> None:
     """Write the files the round-trip queries derive from the tables (once per session)."""
     _land_responses(spark, d)
@@ -690,6 +747,11 @@ def warm_fixtures(spark: SparkSession, d: str) -> None:
 # --- registry --------------------------------------------------------------------------------------
 
 QUERIES: dict[str, Query] = {
+    "standardize_mixed_json": q_standardize_mixed_json,
+    "standardize_csv_headers": q_standardize_csv_headers,
+    "raw_json_nulls": q_raw_json_nulls,
+    "map_codes_to_names": q_map_codes_to_names,
+    "latest_hot_distinct": q_latest_hot_distinct,
     "fact_stalled": fact_stalled,
     "fact_by_unit": fact_by_unit,
     "fact_by_type": fact_by_type,
@@ -764,18 +826,28 @@ allr AS (SELECT * FROM r UNION ALL SELECT * REPLACE ('Z' AS request) FROM r WHER
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "standardize_mixed_json": _ORDERS_TEXT_SQL.format(more=", CAST(0 AS BIGINT) AS n_corrupt", missing=""),
+    "standardize_csv_headers": """
+        SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey, o_orderstatus,
+               CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority,
+               CASE WHEN o_orderstatus <> 'P' THEN {day} END AS o_orderdate FROM orders""".format(day=_ORDER_DAY),
+    "raw_json_nulls": "SELECT o_orderkey, CAST(NULL AS VARCHAR) AS o_note FROM orders",
+    "map_codes_to_names": """
+        SELECT l_orderkey, CASE l_linenumber WHEN 1 THEN 'first' WHEN 2 THEN 'second' ELSE CAST(l_linenumber AS VARCHAR) END AS line FROM lineitem""",
+    "latest_hot_distinct": """
+        SELECT k, l_orderkey, l_linenumber FROM (
+          SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END AS k,
+                 CASE WHEN l_orderkey % 3 = 0 THEN DATE '9999-12-31' ELSE CAST(l_shipdate AS DATE) END AS day FROM lineitem)
+        QUALIFY day = max(day) OVER (PARTITION BY k)""",
     "fact_stalled": _FACT_SQL,
-    "fact_by_unit": STAR_SQL + f"SELECT u.s_name AS Setor, count(*) AS qtd {_FACT_FROM} GROUP BY u.s_name",
-    "fact_by_type": STAR_SQL + f"SELECT tp.c_mktsegment AS tipo, count(*) AS qtd {_FACT_FROM} GROUP BY tp.c_mktsegment",
+    "fact_by_unit": STAR_SQL + _NEWEST + "SELECT s_name AS Setor, count(*) AS qtd FROM placed GROUP BY s_name",
+    "fact_by_type": STAR_SQL + _NEWEST + "SELECT c_mktsegment AS tipo, count(*) AS qtd FROM placed GROUP BY c_mktsegment",
     "fact_stalled_join_back": _FACT_SQL,
     "fact_stalled_window": _FACT_SQL,
-    "fact_by_unit_hot_group": _HOT_SQL + "SELECT u.s_name AS Setor, count(*) AS qtd "
-        + _FACT_FROM.replace("FROM mv a", "FROM mvh a").replace("      FROM mv\n", "      FROM mvh\n")
-        + " GROUP BY u.s_name",
-    "fact_stalled_hot_group": _HOT_SQL + f"""
-        SELECT a.l_orderkey AS IdProcedimentoFormatado, u.s_name AS Sigla, tp.c_mktsegment AS tipo,
-               CAST(date_diff('day', CAST(md.max_data AS DATE), DATE '{AS_OF}') AS INTEGER) AS Dias_Sem_Movimentacao
-        """ + _FACT_FROM.replace("FROM mv a", "FROM mvh a").replace("      FROM mv\n", "      FROM mvh\n"),
+    "fact_by_unit_hot_group": _HOT_SQL + _NEWEST.replace("mv.*", "mvh.*").replace("FROM mv ", "FROM mvh ")
+        + "SELECT s_name AS Setor, count(*) AS qtd FROM placed GROUP BY s_name",
+    "fact_stalled_hot_group": _FACT_SQL.replace(STAR_SQL, _HOT_SQL).replace("mv.*", "mvh.*").replace("FROM mv SEMI", "FROM mvh SEMI"),
     "latest_per_group": """
         SELECT l_suppkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_date FROM (
           SELECT *, rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC) AS rk

@@ -70,16 +70,29 @@ def map_values(c: str | Column, pairs: Mapping[Any, Any] | Iterable[tuple[Any, A
                dtype: DataType | str) -> Column:
     """Replace values pair by pair, in order; a later pair sees the earlier results.
 
-    Both literals are cast to the column type, so the column keeps its type and a number
-    in a text column compares as text.
+    The result keeps the column type if every new value fits it; text in place of a number
+    (codes to names) makes the column text. Old values are compared as the result type, and one
+    that does not convert matches nothing.
     """
-    items = pairs.items() if isinstance(pairs, Mapping) else pairs
-    out = _col(c)
+    items = list(pairs.items() if isinstance(pairs, Mapping) else pairs)
+    kind = dtype if isinstance(dtype, str) else dtype.simpleString()
+    numeric = kind.split("(")[0] in ("tinyint", "smallint", "int", "integer", "bigint", "long", "float", "double", "decimal")
+    if numeric and any(isinstance(new, str) and not _is_number(new) for _, new in items):
+        dtype = "string"
+    out = _col(c).cast(dtype)
     for old, new in items:
-        out = F.when(out == F.lit(old).cast(dtype), F.lit(new).cast(dtype)).otherwise(out)
+        out = F.when(out == F.lit(old).try_cast(dtype), F.lit(new).cast(dtype)).otherwise(out)
     return out
 
 
+def _is_number(text: str) -> bool:
+    try:
+        float(text)
+    except ValueError:
+        return False
+    return True
+
+
 def date_key(c: str | Column) -> Column:
     """Date or timestamp -> ``yyyyMMdd`` text."""
     return F.date_format(_col(c), DATE_KEY_FORMAT)

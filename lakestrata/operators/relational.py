@@ -106,20 +106,16 @@ def dedupe_keep_first(df: DataFrame, key: str | Sequence[str],
 
 
 def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
-                     keep_ties: bool = True, collapse_copies: bool = True) -> DataFrame:
+                     keep_ties: bool = True, salts: int = 16) -> DataFrame:
     """Rows at the latest ``ts`` of each group; with ``keep_ties`` every tied row stays.
 
     Rows with a null key or null time are dropped first: they can never equal a group's
     maximum, exactly as in the max-then-join-back form.
 
-    The map-side group limit bounds what a hot group sends to its reducer to the rows tied
-    at each map task's maximum. Exact copies of a row tied at a group's maximum would
-    all pass that limit, so by default (``collapse_copies``, with ``keep_ties``) copies
-    are counted first (partial aggregation over all columns, before the shuffle), the
-    distinct rows are ranked, and the copies are made again spread over tasks. It costs
-    one more shuffle of the distinct rows; pass ``collapse_copies=False`` for inputs known
-    to be free of copies. Masses of *distinct* rows tied on one key's maximum are better
-    served by ``latest_per_group_join_back``, whose (keys, ts) join AQE can split.
+    Rows are ranked within (keys, salt) first; the map-side group limit lets each map task send
+    only its own winners, and ``salts`` tasks share a hot key. The survivors' maximum per key then
+    joins back on (keys, time), a join that AQE can split, so masses of rows tied at one key's
+    maximum, copies or distinct, never meet in one task. ``salts=1`` ranks in one step.
     """
     keys = _cols(keys)
     ts_col = F.col(ts) if isinstance(ts, str) else ts
@@ -127,11 +123,15 @@ def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
     rank_fn = F.rank() if keep_ties else F.row_number()
     w = Window.partitionBy(*keys).orderBy(ts_col.desc())
     rows = df.where(not_null)
-    if collapse_copies and keep_ties and _groupable(df):
-        cols = [quoted(c) for c in df.columns]
-        counted = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("__copies"))
-        ranked = counted.withColumn("__rk", rank_fn.over(w)).where("__rk = 1").drop("__rk")
-        return replicate_rows(ranked, "__copies", spread_by=keys).drop("__copies")
+    if salts > 1:
+        # local winners by (keys, salt): only they are shuffled, and a hot key over many tasks
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("__salt")
+        local = Window.partitionBy(*keys, "__salt").orderBy(ts_col.desc())
+        rows = rows.select("*", salt).withColumn("__rk", rank_fn.over(local)).where("__rk = 1").drop("__rk", "__salt")
+        if keep_ties:
+            maxes = rows.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max(ts_col).alias("__max"))
+            same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)], ts_col == F.col("__max"))
+            return rows.join(maxes, same).select(*[F.col(quoted(c)) for c in df.columns])
     return rows.withColumn("__rk", rank_fn.over(w)).where("__rk = 1").drop("__rk")
 
 

@@ -27,7 +27,7 @@ from lakestrata.fixed import (
     AUDIT_VERSION_VALUE,
     NOT_INFORMED,
 )
-from lakestrata.functions.expressions import clean_string, map_values
+from lakestrata.functions.expressions import clean_string, map_values, quoted
 from lakestrata.session import checkpoint_root
 
 
@@ -42,7 +42,7 @@ def cast_columns(df: DataFrame, mapping: Mapping[str, str], strict: bool = False
     if not mapping:
         return df
     return df.withColumns({
-        c: (F.col(c).cast(t) if strict else F.col(c).try_cast(t)) for c, t in mapping.items()
+        c: (F.col(quoted(c)).cast(t) if strict else F.col(quoted(c)).try_cast(t)) for c, t in mapping.items()
     })
 
 
@@ -57,14 +57,14 @@ def map_column_values(df: DataFrame, spec: Mapping[str, Mapping[Any, Any]]) -> D
     if not spec:
         return df
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: map_values(c, pairs, types[c]) for c, pairs in spec.items()})
+    return df.withColumns({c: map_values(F.col(quoted(c)), pairs, types[c]) for c, pairs in spec.items()})
 
 
 def clean_string_columns(df: DataFrame, columns: Iterable[str],
                          sentinel: str = NOT_INFORMED) -> DataFrame:
     """Trim, upper-case, empty/null -> ``sentinel``, for each column."""
     cols = list(columns)
-    return df.withColumns({c: clean_string(c, sentinel) for c in cols}) if cols else df
+    return df.withColumns({c: clean_string(F.col(quoted(c)), sentinel) for c in cols}) if cols else df
 
 
 def add_audit_columns(df: DataFrame, load_ts: Any = None) -> DataFrame:
@@ -143,7 +143,7 @@ def conform_to_schema(df: DataFrame, schema: StructType, strict: bool = False) -
     cols = []
     for f in schema.fields:
         if f.name in present:
-            c = F.col(f.name).cast(f.dataType) if strict else F.col(f.name).try_cast(f.dataType)
+            c = F.col(quoted(f.name)).cast(f.dataType) if strict else F.col(quoted(f.name)).try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))

@@ -88,7 +88,7 @@ def latest_movements(movements: DataFrame, spec: StarSpec = DEFAULT_SPEC,
         return latest.where(F.col("__ts").isNotNull())
     m = m.where(F.col("__ts").isNotNull())
     if method == "window":
-        rows = latest_per_group(m, ["__unit", "__case"], "__ts", collapse_copies=False)
+        rows = latest_per_group(m, ["__unit", "__case"], "__ts", salts=1)
     elif method == "join_back":
         rows = latest_per_group_join_back(m, ["__unit", "__case"], "__ts")
     else:
@@ -130,11 +130,11 @@ def stalled_cases_from_detail(detail: DataFrame, as_of: Any = None,
     """The detail fact: one row per tied movement, as the reference's join back gives.
 
     Copies are made after one shuffle of the per-group rows: hash-spread, or
-    range-partitioned on the latest time when the output is sorted (the copy number then
-    spreads a hot tie over several range partitions).
+    range-partitioned on (latest time, case, unit, copy number) when the output is sorted, so
+    neither many groups nor many copies at one time meet in one task.
     """
     if sort_latest_first:
-        rows = replicate_rows(detail, "__n", sort_by=[F.col("__ts").desc()])
+        rows = replicate_rows(detail, "__n", sort_by=[F.col("__ts").desc(), F.col("__case"), F.col("__unit")])
     else:
         rows = replicate_rows(detail, "__n", spread_by=["__case", "__unit"])
     return rows.select(

@@ -32,10 +32,11 @@ from lakestrata.plans.facts import (
 from lakestrata.session import checkpoint_root
 from lakestrata.sinks.writers import publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
-    read_csv,
     read_json,
     read_latest_snapshot,
     read_parquet,
+    read_raw_csv,
+    read_raw_json,
     read_xml,
     select_raw_files,
 )
@@ -78,7 +79,9 @@ def read_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str
     })
     if request_key:
         column, regex = request_key
-        df = df.withColumn(column, F.regexp_extract(F.col(SOURCE_FILE), regex, 1))
+        # the file path is URI-encoded (a plus sign stands for itself)
+        key = F.regexp_replace(F.regexp_extract(F.col(SOURCE_FILE), regex, 1), r"\+", "%2B")
+        df = df.withColumn(column, F.try_url_decode(key))
     return df
 
 
@@ -156,23 +159,18 @@ def land_raw(df: DataFrame, layout: LakeLayout, area: str, endpoint: str, day: A
 
 STATUS_SCHEMA = ("business_area string, source_system string, endpoint string, "
                  "date_extraction string, raw_path string, standardized_path string, "
-                 "n_rows bigint, n_duplicates bigint, ok boolean, error string")
+                 "n_rows bigint, n_duplicates bigint, n_corrupt bigint, ok boolean, error string")
 
 
-def _read_raw(spark: SparkSession, file_type: str, paths: list[str],
-              schema: StructType | None, json_array: bool | None = None) -> DataFrame:
+def _read_raw(spark: SparkSession, file_type: str, path: str, schema: StructType | None,
+              json_array: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """Good rows and corrupt rows of a table's raw files, each file by its own form or header."""
     if file_type == "csv":
-        return read_csv(spark, paths, schema=schema)
-    # Raw JSON is either a JSON array per file (the extractor's form) or JSON Lines
-    # (Spark's form); a JSON Lines read of an array file yields one corrupt record.
-    # ``json_array=None`` looks at the first non-blank line (a one-row job).
-    multi_line = _is_json_array(spark, paths) if json_array is None else json_array
-    return read_json(spark, paths, schema=schema, multi_line=multi_line)
-
-
-def _is_json_array(spark: SparkSession, paths: list[str]) -> bool:
-    first = spark.read.text(paths).where(F.trim("value") != "").select(F.trim("value")).first()
-    return bool(first) and str(first[0]).startswith("[")
+        return read_raw_csv(spark, path, schema)
+    if json_array is None:
+        return read_raw_json(spark, path, schema)
+    df = read_json(spark, path, schema=schema, multi_line=json_array)
+    return df, spark.createDataFrame([], "_corrupt_record string")
 
 
 def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingestion_date: Any,
@@ -190,7 +188,9 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
     ``target`` writes the standardized layer under another root (default: ``layout``).
     ``output_format="delta"`` writes Delta tables (needs the Delta package).
     ``parallelism`` tables are processed at the same time. ``json_array`` says whether raw
-    JSON files are arrays (``True``) or JSON Lines (``False``); ``None`` detects it.
+    JSON files are arrays (``True``) or JSON Lines (``False``); ``None`` finds the form of
+    each file. CSV files are read under their own headers and united by name. Corrupt rows are
+    left out of the table and counted in ``n_corrupt``; then ``ok`` is false.
     """
     if output_format not in ("parquet", "delta"):
         raise ValueError(f"unknown output format {output_format!r}")
@@ -198,27 +198,31 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
     day = date_key(ingestion_date)
     files = select_raw_files(spark, layout.raw_root, file_type, day, business_area)
     tables = (files.groupBy("business_area", "source_system", "endpoint", "date_extraction")
-                   .agg(F.sort_array(F.collect_set("dataset_path")).alias("datasets"))
+                   .agg(F.count("*").alias("n_files"))
                    .orderBy("business_area", "source_system", "endpoint")
                    .collect())  # one row per table of the day: bounded metadata
     def run(t) -> tuple:
         out_path = target.standardized(t.business_area, t.endpoint, day, t.source_system, output_format)
-        n_rows = n_dup = None
+        n_rows = n_dup = n_corrupt = None
         ok, error = True, None
+        # the day's files by pattern: their paths stay off the driver
+        letters = "".join(f"[{c.lower()}{c.upper()}]" for c in file_type)
+        raw = f"{layout.raw_root}/{t.business_area}/{t.source_system}/{t.endpoint}/{day}/*.{letters}"
         try:
             schema = (schemas or {}).get(t.endpoint)
-            df = _read_raw(spark, file_type, list(t.datasets), schema, json_array)
+            df, corrupt = _read_raw(spark, file_type, raw, schema, json_array)
             writer = write_delta if output_format == "delta" else write_parquet
             writer(add_audit_columns(df, load_ts), out_path)
             if check_integrity:
                 # Checked on the columnar copy just written (raw text is parsed only once).
                 written = spark.read.format(output_format).load(out_path).select(*[quoted(c) for c in df.columns])
                 report = integrity_check(written).first()
-                n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok)
+                n_corrupt = corrupt.agg(*[F.count(quoted(c)) for c in corrupt.columns[:2]]).first()[0]
+                n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok) and not n_corrupt
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
-            ok, error = False, f"{type(e).__name__}: {e}"[:1000]
+            ok, error = False, f"{type(e).__name__}: {e}"
         return (t.business_area, t.source_system, t.endpoint, t.date_extraction,
-                ",".join(t.datasets), out_path, n_rows, n_dup, ok, error)
+                raw, out_path, n_rows, n_dup, n_corrupt, ok, error)
 
     # Tables are independent jobs; a few run at once so small tables do not leave the
     # cluster idle (Spark schedules jobs from several threads).
@@ -264,7 +268,7 @@ def refine_dimensions(spark: SparkSession, layout: LakeLayout,
             n = publish_refined(df, path, load_ts=load_ts)
             return (area, endpoint, table, path, n, None)
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
-            return (area, endpoint, table, None, None, f"{type(e).__name__}: {e}"[:1000])
+            return (area, endpoint, table, None, None, f"{type(e).__name__}: {e}")
 
     items = list(tables)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(items) or 1))) as pool:

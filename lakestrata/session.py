@@ -66,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not root and current:
             # getCheckpointDir appends a per-application uuid folder; use its parent.
             root = current.rstrip("/").rsplit("/", 1)[0]
+        if not root and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         if not root:
             root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
         if not current:

@@ -37,8 +37,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                max_records_per_file: int | None = None) -> None:
-    """JSON Lines part files (splittable on read, unlike one JSON array per file)."""
-    _writer(df, mode, None, max_records_per_file, False).json(path)
+    """JSON Lines part files (splittable on read, unlike one JSON array per file).
+
+    Null fields are written, so a column without any value keeps its place."""
+    _writer(df, mode, None, max_records_per_file, False).option("ignoreNullFields", "false").json(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:

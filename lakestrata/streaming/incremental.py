@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lakestrata.operators.transforms import add_audit_columns
-from lakestrata.session import shared_dir
 
 INGEST_FILE = "source_file"
 
@@ -38,10 +37,10 @@ def standardize_stream(spark: SparkSession, raw_glob: str, schema: StructType, t
                        load_ts: Any = None, available_now: bool = True) -> StreamingQuery:
     """Append newly landed raw files to a Parquet table with audit columns.
 
-    ``checkpoint`` defaults to a folder under the shared checkpoint root; pass the same
-    folder on every run for exactly-once file tracking.
+    ``checkpoint`` defaults to ``{target}.checkpoint``: every run on a target goes on where the
+    last one ended, so each file is taken exactly once.
     """
-    checkpoint = checkpoint or shared_dir(spark, "stream-checkpoints")
+    checkpoint = checkpoint or f"{target.rstrip('/')}.checkpoint"
     stream = add_audit_columns(raw_stream(spark, raw_glob, schema, file_type), load_ts)
     writer = (stream.writeStream.format("parquet")
               .option("path", target)

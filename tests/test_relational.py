@@ -59,12 +59,12 @@ def test_window_form_equals_join_back_form(spark):
 
 def test_latest_plan_has_partial_limit_before_exchange(spark):
     df = spark.range(0, 100).select((F.col("id") % 5).alias("u"), (F.col("id") % 7).alias("c"), "id")
-    for collapse in (True, False):
-        plan = _plan(latest_per_group(df, ["u", "c"], "id", collapse_copies=collapse))
+    for salts in (16, 1):
+        plan = _plan(latest_per_group(df, ["u", "c"], "id", salts=salts))
         lines = [line for line in plan.splitlines() if "WindowGroupLimit" in line]
         assert any("Partial" in line for line in lines) and any("Final" in line for line in lines)
     plan = _plan(latest_per_group(df, ["u", "c"], "id"))
-    assert "partial_count(1)" in plan  # copies counted before the shuffle
+    assert "Join" in plan and "partial_max" in plan  # only local winners meet their key's maximum
 
 
 def test_semi_anti_and_exclude(spark):
@@ -117,11 +117,11 @@ def test_replicate_rows_chunks_and_ids(spark):
     assert sorted((r.k, r.rid) for r in out) == [("a", i) for i in range(7)] + [("b", 0)]
 
 
-def test_latest_per_group_collapse_copies(spark):
+def test_latest_per_group_keeps_copies(spark):
     rows = [("g", 5, "x")] * 500 + [("g", 4, "y"), ("h", 1, "z"), ("h", 1, "z")]
     df = spark.createDataFrame(rows, "k string, t int, v string")
     plain = sorted(map(tuple, latest_per_group(df, "k", "t").collect()))
-    collapsed = sorted(map(tuple, latest_per_group(df, "k", "t", collapse_copies=True).collect()))
+    collapsed = sorted(map(tuple, latest_per_group(df, "k", "t", salts=1).collect()))
     assert plain == collapsed == sorted([("g", 5, "x")] * 500 + [("h", 1, "z")] * 2)
 
 
@@ -133,7 +133,7 @@ def test_replicate_rows_small_counts_need_no_shuffle(spark):
     assert out.count() == 5
 
 
-def test_latest_per_group_with_map_column_skips_collapse(spark):
+def test_latest_per_group_with_map_column(spark):
     df = spark.createDataFrame([("g", 2, {"a": 1}), ("g", 2, {"a": 1}), ("g", 1, {"b": 2})],
                                "k string, t int, m map<string,int>")
     assert latest_per_group(df, "k", "t").count() == 2

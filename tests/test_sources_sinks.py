@@ -269,3 +269,53 @@ def test_standardize_with_declared_json_form(spark, raw_lake):
     status = standardize(spark, raw_lake, "json", "20240131", business_area="case_units",
                          json_array=False).collect()
     assert [(r.endpoint, r.n_rows, r.ok) for r in status] == [("units", 1, True)]
+
+
+def _write_text(path, text):
+    import os
+
+    from lakestrata.session import local_path
+
+    p = local_path(path)
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    with open(p, "w") as f:
+        f.write(text)
+
+
+def test_each_raw_file_is_read_by_its_own_form(spark, tmp_dir):
+    import json
+
+    lake = LakeLayout(tmp_dir)
+    folder = lake.raw("a", "e", "20240131", "json").rsplit("/", 1)[0]
+    _write_text(f"{folder}/one.json", json.dumps([{"k": i, "u": "NaN", "z": float("nan")} for i in range(500)], indent=1))
+    _write_text(f"{folder}/two.json", "\n".join(json.dumps({"k": 1000 + i, "w": i}) for i in range(100)) + "\n{broken\n")
+    r = standardize(spark, lake, "json", "20240131").first()
+    out = spark.read.parquet(r.standardized_path)
+    assert (r.n_rows, r.n_corrupt, r.ok, r.error) == (600, 1, False, None)
+    assert out.select("k").distinct().count() == 600 and out.where("u IS NOT NULL OR z IS NOT NULL").count() == 0
+
+
+def test_each_csv_file_has_its_own_header(spark, tmp_dir):
+    lake = LakeLayout(tmp_dir)
+    folder = lake.raw("a", "e", "20240131", "csv").rsplit("/", 1)[0]
+    _write_text(f"{folder}/one.csv", "id,v\n1,2\n")
+    _write_text(f"{folder}/two.csv", "v,id,extra\n9,8,7\n9,8,7,6\n")
+    r = standardize(spark, lake, "csv", "20240131").first()
+    rows = {(x.id, x.v, x.extra) for x in spark.read.parquet(r.standardized_path).collect()}
+    assert rows == {(1, 2, None), (8, 9, 7)} and (r.n_corrupt, r.ok) == (1, False)
+
+
+def test_xml_attributes_and_encoded_key(spark, tmp_dir):
+    from lakestrata.plans.layers import read_responses
+
+    _write_text(f"{tmp_dir}/C 001+x.xml", '<e xmlns:xsi="http://x"><item xsi:type="q"><Id xsi:type="xsd:string">10</Id></item></e>')
+    r = read_responses(spark, f"{tmp_dir}/*.xml", "item", request_key=("req", r"([^/]*)\.xml$")).first()
+    assert (r.Id, r.req) == ("10", "C 001+x")
+
+
+def test_latest_snapshot_skips_days_without_the_table(spark, tmp_dir):
+    from lakestrata.sources import latest_snapshot_path
+
+    spark.range(3).write.parquet(f"{tmp_dir}/t/20240101/t_20240101.parquet")
+    _write_text(f"{tmp_dir}/t/20240102/other.txt", "x")
+    assert latest_snapshot_path(spark, f"{tmp_dir}/t").endswith("20240101/t_20240101.parquet")

