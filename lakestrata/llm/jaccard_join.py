@@ -252,7 +252,7 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", width: int = 5, percent: int = 75,
-                  rounds: int = 1) -> DataFrame:
+                  rounds: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     Two rows are linked if ``100 * |x and y| >= percent * |x or y|`` on the sets of their distinct
@@ -286,36 +286,46 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
 
     tried: DataFrame | None = None
     labels: DataFrame | None = None
-    for k in range(rounds + 1):
+    stuck = False
+    for k in range(rounds + 2):
         listed = _labelled(postings, labels)
-        spans = listed.groupBy("token").agg(F.min(F.struct("label", "set", "meta")).alias("low"), F.max("label").alias("high")).where("low.label != high")
+        # another set leads a list in each round
+        lead = F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("h"), "label", "set", "meta")).alias("low")
+        spans = listed.groupBy("token").agg(lead, F.min("label").alias("first"), F.max("label").alias("last")).where("first != last").drop("first", "last")
         listed = stage(listed.join(spans, "token").select("token", "set", "meta", "label", "low"), "listed")
         if not listed.limit(1).count():
             break
-        if k < rounds:  # each set against the first of the list, the best such pair only
+        last = k == rounds or stuck
+        if not last:  # every group against the leaders of its lists, the best such pair only
             pairs = listed.where("label != low.label").select(
-                F.col("low.set").alias("a"), F.col("set").alias("b"), F.col("low.meta").alias("ma"), F.col("meta").alias("mb"))
+                F.col("low.set").alias("a"), F.col("set").alias("b"), F.col("low.meta").alias("ma"), F.col("meta").alias("mb"),
+                F.col("label").alias("own"))
         else:  # whatever two groups still share
             x = listed.select("token", F.col("set").alias("a"), F.col("meta").alias("ma"), F.col("label").alias("la"))
             y = listed.select("token", F.col("set").alias("b"), F.col("meta").alias("mb"), F.col("label").alias("lb"))
-            pairs = x.join(y, "token").where((F.col("la") < F.col("lb")) & _enough("ma", "mb", percent))
+            pairs = x.join(y, "token").where((F.col("la") < F.col("lb")) & _enough("ma", "mb", percent)).withColumn("own", F.col("la"))
         need, counts = _matched("ma", "mb")
         pairs = (pairs.where(_enough("ma", "mb", percent)).withColumns({"need": need, "counts": counts})
-                 .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), F.col("b" if k < rounds else "a").alias("own"))
+                 .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "own")
                  .agg(F.count_if("counts").alias("shared"), F.max("need").alias("need"), F.any_value("ma").alias("ma"), F.any_value("mb").alias("mb"))
-                 .where(F.col("shared") >= _fewest("ma", "mb", F.col("need"), percent)))
-        if k < rounds:
+                 .where(F.col("shared") >= (_fewest("ma", "mb", F.col("need"), percent) if last else F.col("need"))))
+        if tried is not None:
+            pairs = pairs.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_anti")
+        if not last:
             best = pairs.groupBy("own").agg(F.max_by(F.struct("x", "y"), F.struct("shared", "x", "y")).alias("p"))
             pairs = best.select(F.col("p.x").alias("x"), F.col("p.y").alias("y"))
         pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
         chosen = rows.where("set IS NOT NULL").join(ends, "set").groupBy("set").agg(F.min("row").alias("row"))
         checked = stage(_verify(pairs, _sets_of(base, chosen, width), percent).distinct(), "checked")
         tried = checked if tried is None else tried.unionByName(checked)
-        labels = connected_components(tried.where("linked").select("a", "b"))
+        if checked.where("linked").limit(1).count():
+            labels = connected_components(tried.where("linked").select("a", "b"))
+        else:
+            stuck = True
+        if last:
+            break
     if labels is None:
         return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     own = rows.where("set IS NOT NULL").join(labels.select(F.col("node").alias("set"), "label"), "set", "left")
