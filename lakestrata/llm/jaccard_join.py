@@ -6,7 +6,7 @@ would meet many candidates gets a larger l: a longer prefix, of which a partner
 correspondingly more before the pair is verified on the whole sets.
 
 Documents with equal sets are one set. Sets that share prefix shingles are linked round by round:
-a round verifies for each set its best candidate in another group, and the last step verifies
+a round verifies for each group its best candidate among the leaders of its lists, and the last step verifies
 every pair that is still in two groups. A pair that is left out lies in one group already, so the
 groups are exact and a group of n copies costs about n verifications, not n * n.
 """
@@ -326,10 +326,8 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
             stuck = True
         if last:
             break
-    if labels is None:
-        return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    own = rows.where("set IS NOT NULL").join(labels.select(F.col("node").alias("set"), "label"), "set", "left")
-    own = own.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "set").alias("label"))
+    # rows of one set are one group, linked to others or not
+    own = _labelled(rows.where("set IS NOT NULL"), labels).select("doc_id", F.col("n").alias("n_shingles"), "label")
     least = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = own.join(least, "label").select("doc_id", "n_shingles", "component_id")
     empty = rows.where("set IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

@@ -150,6 +150,8 @@ def test_jaccard_of_nothing(spark, empty):
     assert jaccard_join.linked_groups(empty).count() == 0
     one = spark.createDataFrame([(1, None), (2, ""), (3, "all alone here")], "doc_id long, text string")
     assert sorted(map(tuple, jaccard_join.linked_groups(one).collect())) == [(1, 0, 1), (2, 0, 2), (3, 1, 3)]
+    copies = spark.createDataFrame([(5, "a b c d e f g"), (4, "A b  c d e f G"), (9, "else")], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_join.linked_groups(copies).collect())) == [(4, 3, 4), (5, 3, 4), (9, 1, 9)]
 
 
 def test_prefixes_never_lose_a_partner():
