@@ -28,6 +28,8 @@ SLOT_BITS, SLOTS = 14, 128  # the count sketch: 128 slots of 2^14 counters
 MOST_MATCHES = 8000  # largest l
 STEP = 16  # one more match for so many shingles of a set, whatever its cost
 SALTS = 32
+LEADERS = 4  # sets of a list that lead it in one round
+WORDS = 8  # 64-bit words of the bit map of a set's listed shingles
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -158,6 +160,10 @@ def prefix_of(hashes: np.ndarray, excess: np.ndarray, percent: int) -> tuple[np.
         order = np.argsort(np.ceil(np.log2(1 + common)), kind="stable")
         hashes, common = hashes[order], common[order]
     need = matches_needed(float(common[:base].sum()), base, overlap)
+    # a prefix that can do without common shingles is not lengthened into them
+    rare = int((common == 0).sum())
+    if base <= rare:
+        need = min(need, rare - base + 1)
     last = base + need - 1
     return hashes[:last], np.maximum(1, np.arange(1, last + 1) - base + 1), need
 
@@ -208,6 +214,28 @@ def _fewest(a: str, b: str, need: Column, percent: int) -> Column:
     return F.greatest(need, overlap - F.ceil(percent * largest / 100 - F.lit(1e-9)) + need)
 
 
+def _plausible(listed: DataFrame, percent: int) -> DataFrame:
+    """``x y``: every pair of sets of two groups that may share as many listed shingles as it must.
+
+    Two upper bounds spare rows for the others. A set's k listed shingles hold at least r shared
+    ones only if the first shared one is among the first k - r + 1, in either set. And a bit that
+    is set in one set's bit map alone is a shingle that the other lacks.
+    """
+    word, bit = F.pmod(F.shiftright("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, cast(token & 63 AS int))")
+    maps = listed.groupBy("set").agg(F.count("*").alias("k"), *[F.bit_or(F.when(word == i, bit).otherwise(F.lit(0))).alias(f"w{i}") for i in range(WORDS)])
+    ranked = listed.withColumn("rank", F.row_number().over(Window.partitionBy("set").orderBy("token"))).select("token", "set", "meta", "label", "rank")
+    ranked = ranked.join(maps, "set")
+    side = lambda s: ranked.select("token", *[F.col(c).alias(c + s) for c in ranked.columns if c != "token"])
+    need, counts = _matched("metaa", "metab")
+    fewest = _fewest("metaa", "metab", need, percent)
+    bits = lambda own, other: sum((F.bit_count(F.col(f"w{i}{own}").bitwiseAND(F.bitwise_not(f"w{i}{other}"))) for i in range(WORDS)), F.lit(0))
+    both = side("a").join(side("b"), "token").where(
+        (F.col("labela") < F.col("labelb")) & _enough("metaa", "metab", percent) & counts
+        & (F.col("ranka") + fewest <= F.col("ka") + 1) & (F.col("rankb") + fewest <= F.col("kb") + 1)
+        & (F.col("ka") - bits("a", "b") >= fewest) & (F.col("kb") - bits("b", "a") >= fewest))
+    return both.select(F.least("seta", "setb").alias("x"), F.greatest("seta", "setb").alias("y")).distinct()
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) with ``linked``: the exact test on the whole sets."""
     left = sets.select(F.col("set").alias("a"), F.col("hashes").alias("ha"))
@@ -252,7 +280,7 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", width: int = 5, percent: int = 75,
-                  rounds: int = 5) -> DataFrame:
+                  rounds: int = 2) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     Two rows are linked if ``100 * |x and y| >= percent * |x or y|`` on the sets of their distinct
@@ -289,26 +317,25 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
     stuck = False
     for k in range(rounds + 2):
         listed = _labelled(postings, labels)
-        # another set leads a list in each round
-        lead = F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("h"), "label", "set", "meta")).alias("low")
-        spans = listed.groupBy("token").agg(lead, F.min("label").alias("first"), F.max("label").alias("last")).where("first != last").drop("first", "last")
-        listed = stage(listed.join(spans, "token").select("token", "set", "meta", "label", "low"), "listed")
+        # other sets lead a list in each round
+        leads = [F.min(F.struct(F.xxhash64("set", F.lit(k * LEADERS + i)).alias("h"), "label", "set", "meta")) for i in range(LEADERS)]
+        spans = (listed.groupBy("token").agg(F.array_distinct(F.transform(F.array(*leads), lambda x: x.dropFields("h"))).alias("leaders"),
+                                             F.min("label").alias("first"), F.max("label").alias("last"))
+                 .where("first != last").drop("first", "last"))
+        listed = stage(listed.join(spans, "token").select("token", "set", "meta", "label", "leaders"), "listed")
         if not listed.limit(1).count():
             break
         last = k == rounds or stuck
         if not last:  # every group against the leaders of its lists, the best such pair only
-            pairs = listed.where("label != low.label").select(
-                F.col("low.set").alias("a"), F.col("set").alias("b"), F.col("low.meta").alias("ma"), F.col("meta").alias("mb"),
-                F.col("label").alias("own"))
+            pairs = listed.select("set", "meta", F.col("label").alias("own"), F.explode("leaders").alias("low")).where("own != low.label").select(
+                F.col("low.set").alias("a"), F.col("set").alias("b"), F.col("low.meta").alias("ma"), F.col("meta").alias("mb"), "own")
         else:  # whatever two groups still share
-            x = listed.select("token", F.col("set").alias("a"), F.col("meta").alias("ma"), F.col("label").alias("la"))
-            y = listed.select("token", F.col("set").alias("b"), F.col("meta").alias("mb"), F.col("label").alias("lb"))
-            pairs = x.join(y, "token").where((F.col("la") < F.col("lb")) & _enough("ma", "mb", percent)).withColumn("own", F.col("la"))
+            pairs = _plausible(listed, percent)
         need, counts = _matched("ma", "mb")
-        pairs = (pairs.where(_enough("ma", "mb", percent)).withColumns({"need": need, "counts": counts})
-                 .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "own")
-                 .agg(F.count_if("counts").alias("shared"), F.max("need").alias("need"), F.any_value("ma").alias("ma"), F.any_value("mb").alias("mb"))
-                 .where(F.col("shared") >= (_fewest("ma", "mb", F.col("need"), percent) if last else F.col("need"))))
+        if not last:
+            pairs = (pairs.where(_enough("ma", "mb", percent) & counts).withColumn("need", need)
+                     .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "own")
+                     .agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need"))
         if tried is not None:
             pairs = pairs.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_anti")
         if not last:
