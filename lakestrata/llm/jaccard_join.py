@@ -6,9 +6,11 @@ would meet many candidates gets a larger l: a longer prefix, of which a partner
 correspondingly more before the pair is verified on the whole sets.
 
 Documents with equal sets are one set. Sets that share prefix shingles are linked round by round:
-a round verifies for each group its best candidate among the leaders of its lists, and the last step verifies
-every pair that is still in two groups. A pair that is left out lies in one group already, so the
-groups are exact and a group of n copies costs about n verifications, not n * n.
+a round verifies for each group its best candidate among the leaders of its lists. The last step takes
+every pair still in two groups that upper bounds on the shared shingles leave, verifies the likeliest
+first and then those that are still apart. A pair left out lies in one group or cannot link, so the
+groups are exact. Copies cost about n verifications; near copies around the threshold that don't link
+cost one per pair that the bounds leave, and their lists are compared pair by pair inside the join.
 """
 
 from __future__ import annotations
@@ -215,7 +217,8 @@ def _fewest(a: str, b: str, need: Column, percent: int) -> Column:
 
 
 def _plausible(listed: DataFrame, percent: int) -> DataFrame:
-    """``x y``: every pair of sets of two groups that may share as many listed shingles as it must.
+    """``x y labela labelb met``: every pair of sets of two groups that may share as many listed
+    shingles as it must, and how many of the first ones it shares.
 
     Two upper bounds spare rows for the others. A set's k listed shingles hold at least r shared
     ones only if the first shared one is among the first k - r + 1, in either set. And a bit that
@@ -233,7 +236,7 @@ def _plausible(listed: DataFrame, percent: int) -> DataFrame:
         (F.col("labela") < F.col("labelb")) & _enough("metaa", "metab", percent) & counts
         & (F.col("ranka") + fewest <= F.col("ka") + 1) & (F.col("rankb") + fewest <= F.col("kb") + 1)
         & (F.col("ka") - bits("a", "b") >= fewest) & (F.col("kb") - bits("b", "a") >= fewest))
-    return both.select(F.least("seta", "setb").alias("x"), F.greatest("seta", "setb").alias("y")).distinct()
+    return both.groupBy(F.least("seta", "setb").alias("x"), F.greatest("seta", "setb").alias("y"), "labela", "labelb").agg(F.count("*").alias("met"))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -314,8 +317,25 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
 
     tried: DataFrame | None = None
     labels: DataFrame | None = None
-    stuck = False
-    for k in range(rounds + 2):
+
+    def untried(pairs: DataFrame) -> DataFrame:
+        return pairs if tried is None else pairs.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_anti")
+
+    def check(pairs: DataFrame) -> bool:
+        """Verifies pairs ``x y`` and merges the groups that they link; whether there were any."""
+        nonlocal tried, labels
+        pairs = stage(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "pairs")
+        ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+        chosen = rows.where("set IS NOT NULL").join(ends, "set").groupBy("set").agg(F.min("row").alias("row"))
+        checked = stage(_verify(pairs, _sets_of(base, chosen, width), percent).distinct(), "checked")
+        tried = checked if tried is None else tried.unionByName(checked)
+        if not checked.where("linked").limit(1).count():
+            return False
+        labels = connected_components(tried.where("linked").select("a", "b"))
+        return True
+
+    need, counts = _matched("ma", "mb")
+    for k in range(rounds + 1):
         listed = _labelled(postings, labels)
         # other sets lead a list in each round
         leads = [F.min(F.struct(F.xxhash64("set", F.lit(k * LEADERS + i)).alias("h"), "label", "set", "meta")) for i in range(LEADERS)]
@@ -323,36 +343,29 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
                                              F.min("label").alias("first"), F.max("label").alias("last"))
                  .where("first != last").drop("first", "last"))
         listed = stage(listed.join(spans, "token").select("token", "set", "meta", "label", "leaders"), "listed")
-        if not listed.limit(1).count():
+        if k == rounds or not listed.limit(1).count():
             break
-        last = k == rounds or stuck
-        if not last:  # every group against the leaders of its lists, the best such pair only
-            pairs = listed.select("set", "meta", F.col("label").alias("own"), F.explode("leaders").alias("low")).where("own != low.label").select(
-                F.col("low.set").alias("a"), F.col("set").alias("b"), F.col("low.meta").alias("ma"), F.col("meta").alias("mb"), "own")
-        else:  # whatever two groups still share
-            pairs = _plausible(listed, percent)
-        need, counts = _matched("ma", "mb")
-        if not last:
-            pairs = (pairs.where(_enough("ma", "mb", percent) & counts).withColumn("need", need)
-                     .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "own")
-                     .agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need"))
-        if tried is not None:
-            pairs = pairs.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"], "left_anti")
-        if not last:
-            best = pairs.groupBy("own").agg(F.max_by(F.struct("x", "y"), F.struct("shared", "x", "y")).alias("p"))
-            pairs = best.select(F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-        pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-        pairs = stage(pairs, "pairs")
-        ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-        chosen = rows.where("set IS NOT NULL").join(ends, "set").groupBy("set").agg(F.min("row").alias("row"))
-        checked = stage(_verify(pairs, _sets_of(base, chosen, width), percent).distinct(), "checked")
-        tried = checked if tried is None else tried.unionByName(checked)
-        if checked.where("linked").limit(1).count():
-            labels = connected_components(tried.where("linked").select("a", "b"))
-        else:
-            stuck = True
-        if last:
+        # every group against the leaders of its lists, the best such pair only
+        pairs = listed.select("set", "meta", F.col("label").alias("own"), F.explode("leaders").alias("low")).where("own != low.label").select(
+            F.col("low.set").alias("a"), F.col("set").alias("b"), F.col("low.meta").alias("ma"), F.col("meta").alias("mb"), "own")
+        pairs = (pairs.where(_enough("ma", "mb", percent) & counts).withColumn("need", need)
+                 .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "own")
+                 .agg(F.count("*").alias("shared"), F.max("need").alias("need")).where("shared >= need"))
+        best = untried(pairs).groupBy("own").agg(F.max_by(F.struct("x", "y"), F.struct("shared", "x", "y")).alias("p"))
+        if not check(best.select("p.x", "p.y")):
             break
+    # whatever two groups still share: each group's likeliest pairs, then all that are still in two groups
+    left = stage(untried(_plausible(listed, percent)), "left")
+    order = [F.desc("met"), "x", "y"]
+    ranks = [F.row_number().over(Window.partitionBy(c).orderBy(*order)) for c in ("labela", "labelb")]
+    best = [left.withColumn("r", r).where(F.col("r") <= LEADERS).select("x", "y") for r in ranks]
+    check(best[0].unionByName(best[1]))
+    left = untried(left.select("x", "y"))
+    if labels is not None:
+        for end in ("x", "y"):
+            left = left.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"l{end}")), end, "left")
+        left = left.where(F.coalesce("lx", "x") != F.coalesce("ly", "y")).select("x", "y")
+    check(left)
     # rows of one set are one group, linked to others or not
     own = _labelled(rows.where("set IS NOT NULL"), labels).select("doc_id", F.col("n").alias("n_shingles"), "label")
     least = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
