@@ -180,8 +180,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                 parallelism: int = 4, json_array: bool | None = None) -> DataFrame:
     """Standardize one day's raw files of one type into Parquet with audit columns.
 
-    One read per table (all its files of the day in one multi-path read), audit columns,
-    an overwrite of
+    One read per table (all its files of the day, by path pattern), audit columns, an overwrite of
     ``standardized/{area}/{system}/{endpoint}/{day}/{endpoint}_{day}.parquet``, and an
     optional one-pass duplicate check on the written copy. A table that fails is reported
     and the run goes on. Returns one status row per table.
@@ -283,7 +282,7 @@ def refine_stalled_facts(spark: SparkSession, layout: LakeLayout,
     """Build the three stalled-case facts from the refined dimensions.
 
     ``dims`` maps ``movements``, ``units``, ``cases``, ``case_types`` to (area, table) of
-    refined tables. Writes ``fato_..`` tables under ``out_area`` and returns their paths.
+    refined tables. Writes ``stalled_cases``, ``stalled_by_unit`` and ``stalled_by_type`` under ``out_area`` and returns their paths.
     """
     frames = {role: read_parquet(spark, layout.refined(a, t, system)) for role, (a, t) in dims.items()}
     detail = stalled_detail(frames["movements"], frames["units"], frames["cases"],
