@@ -310,9 +310,14 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
     postings = postings.withColumns({"low": F.min("set").over(w), "high": F.max("set").over(w)})
     postings = stage(postings.where(hot | F.expr("low != high")).select("token", "set", "meta").distinct(), "shared")
 
-    # every partner asks for 1 + (its size) / STEP shared shingles at least
+    # A set shares with any partner its own l shingles of the prefixes, or what the smallest partner
+    # asks for by its size: if the partner's l was lowered, its prefix is all its rare shingles, and
+    # then the set's own l are among them or the set has that many common shingles in its prefix.
     listed = postings.groupBy("set").agg(F.count("*").alias("k"), F.max("meta").alias("m"))
-    listed = listed.where(F.col("k") > F.floor(F.ceil(percent * _size("m") / 100 - F.lit(1e-9)) / STEP)).select("set")
+    own = F.shiftright("m", 15).bitwiseAND(F.lit(8191))
+    smallest = F.ceil(percent * _size("m") / 100 - F.lit(1e-9))
+    asked = F.least(1 + F.floor(smallest / STEP), F.ceil(percent * smallest / 100 - F.lit(1e-9)))
+    listed = listed.where(F.col("k") >= F.least(own, asked)).select("set")
     postings = stage(postings.join(listed, "set", "left_semi"), "postings")
 
     tried: DataFrame | None = None

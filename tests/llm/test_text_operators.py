@@ -146,6 +146,17 @@ def test_jaccard_groups_match_brute_force(spark, edge):
         assert got == brute_groups(rows)
 
 
+def test_jaccard_links_that_share_few_rare_shingles(spark):
+    body = " ".join(f"b{k}" for k in range(79))  # 75 shingles, hot by its copies
+    made = [(k, body) for k in range(1000)]
+    for k, rare in enumerate((1, 2, 3, 4, 3)):  # y: the body and a few own shingles; x: y and about a third of own text
+        y = body + "".join(f" y{k}x{i}" for i in range(rare))
+        n = 75 + rare
+        made += [(5000 + k, y), (6000 + k, y + "".join(f" x{k}x{i}" for i in range(n * 100 // 75 - n - (k == 4) * 2)))]
+    got = sorted((tuple(r) for r in jaccard_join.linked_groups(spark.createDataFrame(made, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_groups(made)
+
+
 def test_jaccard_of_nothing(spark, empty):
     assert jaccard_join.linked_groups(empty).count() == 0
     one = spark.createDataFrame([(1, None), (2, ""), (3, "all alone here")], "doc_id long, text string")
