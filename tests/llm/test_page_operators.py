@@ -56,6 +56,14 @@ def test_template_drops_text_that_all_pages_share(spark):
     assert {r.page_id: r.text for r in out} == {k: f"story {k} about things\nmore of {k}" for k in range(9)}
 
 
+def test_copies_without_main_element_keep_their_text(spark):
+    page = "<body><div><p>Welcome to our site</p></div><div class='ad'>buy {}</div><div><h2>{}</h2><p>{}</p><p>{}</p></div><div><p>Call us now</p></div></body>"
+    story = lambda k: (f"title {k}", f"story {k} about things", f"more of {k}")
+    rows = [(k, "http://h.net/", page.format(k, *story(max(k, 5)))) for k in range(12)]  # 0 to 5 are copies
+    out = html_template.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {k: "\n".join(story(max(k, 5))) for k in range(12)}
+
+
 def test_nearest_recall_and_order(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(12, 16))
