@@ -64,6 +64,15 @@ def test_copies_without_main_element_keep_their_text(spark):
     assert {r.page_id: r.text for r in out} == {k: "\n".join(story(max(k, 5))) for k in range(12)}
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'>{}<div class='ad'>buy</div></body>", "<body><div class='content no-comments'>{}</div><div class='site-footer-inner'>end</div></body>",
+    "<body><article class='post with-banner'>{}</article><div id='comments'>said</div></body>", "<body><form>{}<div class='comments'>said</div></form></body>",
+    "<body><div class='widget'>{}</div><div class='widget'>other</div></body>", "<body><form><article>{}</article></form><p>aside from it</p></body>"])
+def test_names_do_not_cut_clean_pages(page):
+    inner = "<h1 class='post-header'>Title</h1><p>a text of some length</p><p>and one more paragraph of it</p>"
+    assert html_template.main_text(page.format(inner), set()) == "Title\na text of some length\nand one more paragraph of it"
+
+
 def test_nearest_recall_and_order(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(12, 16))
