@@ -195,7 +195,7 @@ def transcript_lines(conversations: DataFrame, *, drop_marker: float = 0.15) ->
     Each conversation has one of four marker styles (by the hash of its id); a share
     ``drop_marker`` of the later turns has no marker, as in transcripts found in the wild. Turns
     are parted by a blank line. ``pos`` is the turn number times 2^32 plus the line's number in
-    it. Roles other than the three are left out; null texts are empty, null turns -1.
+    it; repeated rows of one turn follow each other by role and text. Roles other than the three are left out; null texts are empty, null turns -1.
     """
     c = conversations.select("conv_id", F.coalesce("turn", F.lit(-1)).alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
     c = c.where(F.col("role").isin(*ROLES))
@@ -207,13 +207,15 @@ def transcript_lines(conversations: DataFrame, *, drop_marker: float = 0.15) ->
     bare = (F.pmod(F.xxhash64("conv_id", "turn", F.lit("bare")), F.lit(1000)) < int(1000 * drop_marker)) & (F.col("turn") > 0)
     shown = F.concat(F.when(bare, "").otherwise(marker), "text", F.lit("\n"))
     number = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1
-    lines = c.select("conv_id", "turn", "role", number.alias("_r"), F.posexplode(F.split(shown, "\n")).alias("k", "line"))
+    rows = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    numbered = c.withColumn("_lines", F.split(shown, "\n")).withColumn("_from", F.coalesce(F.sum(F.size("_lines")).over(rows.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    lines = numbered.select("conv_id", "turn", "role", number.alias("_r"), "_from", F.posexplode("_lines").alias("k", "line"))
     blank = F.trim("line") == ""
     lines = lines.withColumn("state", (F.col("_r") * 3 + F.when(F.col("k") == 0, 0).when(blank, 2).otherwise(1)).cast("int"))
-    lines = lines.withColumn("pos", F.shiftleft(F.col("turn").cast("long"), 32) + F.col("k"))
-    w = Window.partitionBy("conv_id", "turn").orderBy("k")
+    lines = lines.withColumn("pos", F.shiftleft(F.col("turn").cast("long"), 32) + F.col("_from") + F.col("k"))
+    w = Window.partitionBy("conv_id", "turn").orderBy("pos")
     lines = lines.withColumn("_in", F.lag("state").over(w))
     # the state at the end of the turn before: a blank line of its role
-    prior = c.groupBy("conv_id", (F.col("turn") + 1).alias("turn")).agg(F.min(number).alias("_p"))
+    prior = c.groupBy("conv_id", (F.col("turn") + 1).alias("turn")).agg(F.max_by(number, F.struct("role", "text")).alias("_p"))
     lines = lines.join(prior, ["conv_id", "turn"], "left")
     return lines.select("conv_id", "pos", "line", "role", "state", F.coalesce("_in", (F.col("_p") * 3 + 2).cast("int")).alias("before"))

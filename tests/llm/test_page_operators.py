@@ -124,6 +124,16 @@ def test_transcript_edges(spark):
     assert transcripts.recover_turns(lines.limit(0), transcripts.fit(lines.limit(0))).count() == 0
 
 
+def test_repeated_rows_of_a_turn_keep_their_lines(spark):
+    texts = [f"first of {k}\nsecond of {k}\nthird of {k}" for k in range(3)]
+    rows = [(1, 0, "user", texts[0]), (1, 0, "user", texts[1]), (1, 0, "assistant", texts[2]), (1, 0, "user", texts[0]), (1, 1, "assistant", "end")]
+    lines = transcripts.transcript_lines(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), drop_marker=0.0).orderBy("pos").collect()
+    assert len({r.pos for r in lines}) == len(lines)
+    told = "\n".join(r.line for r in lines if r.line.strip())
+    assert [told.count(t) for t in texts] == [2, 1, 1]
+    assert [r.before // 3 for r in lines if r.pos == 1 << 32] == [transcripts.ROLES.index("user")]
+
+
 def test_url_rules_and_hosts(spark, edge):
     rules = [url_gbt.UrlRule.parse(r) for r in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")]
     got = {r.page_id: r for r in url_gbt.judge_urls(edge, rules).collect()}
