@@ -25,10 +25,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id (all rows of a null or repeated id stay)."""
-    groups = linked_groups(docs.select("doc_id", "text"))
-    gone = stage(groups.where("component_id < doc_id").select("doc_id").distinct(), "gone")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each group of linked documents the one row with the smallest id (nulls last), then the least hash of id and text.
+
+    Rows that repeat the kept id and text count as one, the one with the least other columns. Empty texts are linked to nothing.
+    """
+    groups = stage(linked_groups(docs.select("doc_id", "text"), keyed=True).where("label IS NOT NULL").select("doc_id", "row", "label"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = stage(groups.groupBy("label").agg(first.alias("first")).select("first.row"), "kept")
+    gone = stage(groups.select("row").distinct().join(kept, "row", "left_anti"), "gone")
+    repeated = stage(groups.join(kept, "row", "left_semi").groupBy("row").count().where("count > 1").select("row"), "repeated")
+    left = docs.select(*COLUMNS, F.xxhash64(F.col("doc_id").cast("long"), "text").alias("row")).join(gone, "row", "left_anti")
+    if not repeated.limit(1).count():
+        return left.select(*COLUMNS)
+    again = left.join(repeated, "row", "left_semi").groupBy("row").agg(F.min(F.struct(*COLUMNS)).alias("one")).select("one.*")
+    return left.join(repeated, "row", "left_anti").select(*COLUMNS).unionByName(again)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -283,7 +283,7 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id", width: int = 5, percent: int = 75,
-                  rounds: int = 2) -> DataFrame:
+                  rounds: int = 2, keyed: bool = False) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     Two rows are linked if ``100 * |x and y| >= percent * |x or y|`` on the sets of their distinct
@@ -291,7 +291,8 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
     ``component_id`` is the smallest id that links reach, the row's own included. Null texts and
     texts without words have an empty set and no link: their component is their own id. Null ids
     never name a component unless no row of it has another (then null). Repeated rows all come
-    back. Other columns are ignored. Shingles and sets are told apart by 64-bit hashes.
+    back. Other columns are ignored. Shingles and sets are told apart by 64-bit hashes. ``keyed``
+    adds ``row``, the ``xxhash64`` of id and text, and ``label``, one value for each group (null: empty set).
     """
     if not 0 < percent <= 100:
         raise ValueError("percent is over 0 and at most 100")
@@ -372,8 +373,10 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
         left = left.where(F.coalesce("lx", "x") != F.coalesce("ly", "y")).select("x", "y")
     check(left)
     # rows of one set are one group, linked to others or not
-    own = _labelled(rows.where("set IS NOT NULL"), labels).select("doc_id", F.col("n").alias("n_shingles"), "label")
+    own = _labelled(rows.where("set IS NOT NULL"), labels).select("doc_id", F.col("n").alias("n_shingles"), "label", "row")
     least = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = own.join(least, "label").select("doc_id", "n_shingles", "component_id")
-    empty = rows.where("set IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    keys = ["row", "label"] if keyed else []
+    out = own.join(least, "label").select("doc_id", "n_shingles", "component_id", *keys)
+    empty = rows.where("set IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                                 *(["row", F.lit(None).cast("long").alias("label")] if keyed else []))
     return out.unionByName(empty)

@@ -28,6 +28,16 @@ def test_pipeline_rows(spark):
     assert pipeline.run(spark, SF).count() == mixed.count()
 
 
+def test_one_row_of_each_group_stays(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(2, a, "en", "s", 1), (2, a, "en", "s", 1), (2, a, "de", "s", 1), (None, b, "en", "s", 1), (None, b, "en", "s", 1),
+            (5, a, "en", "s", 1), (5, c, "en", "s", 1), (None, c, "en", "s", 1), (7, "", "en", "s", 1), (7, "", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = sorted((tuple(r)[:3] for r in pipeline.near_duplicates(spark, docs, SF).collect()), key=str)
+    assert out == sorted([(2, a, "de"), (None, b, "en"), (5, c, "en"), (7, "", "en"), (7, "", "en")], key=str)
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
