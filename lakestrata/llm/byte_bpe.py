@@ -2,7 +2,7 @@
 
 Bytes map to printable characters one to one; the vocabulary and the merges are rewritten in those
 characters. A text is cut before every space that a non-space follows, where no match of the split
-pattern can reach across, and each distinct piece is encoded once per worker.
+pattern can reach across; a task remembers the ids of short pieces, up to a bound in bytes.
 """
 
 from __future__ import annotations
@@ -10,13 +10,16 @@ from __future__ import annotations
 import base64
 import codecs
 import struct
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE = 600_000  # pieces that a worker remembers; then it starts anew
+CACHE = 16 << 20  # bytes of pieces and ids that a task remembers; beyond, it starts anew
+LONG = 64  # characters; longer pieces are not remembered
 
 
 def byte_characters() -> list[str]:
@@ -54,10 +57,7 @@ def unpack(ids: bytes) -> list[int]:
 
 
 def worker_encoder(key: int, ranks: dict[bytes, int], pattern: str) -> Encoder:
-    """The encoder of this worker process, kept from task to task."""
-    import sys
-    import types
-
+    """The encoder of this worker process. Its tokenizer stays from task to task, what it remembers does not."""
     kept = sys.modules.setdefault("_byte_bpe_worker", types.ModuleType("_byte_bpe_worker"))
     if getattr(kept, "key", None) != key:
         kept.encoder, kept.key = Encoder(ranks, pattern), key
@@ -65,11 +65,15 @@ def worker_encoder(key: int, ranks: dict[bytes, int], pattern: str) -> Encoder:
 
 
 class Encoder:
-    """Encodes texts and remembers the ids of their pieces."""
+    """Encodes texts and remembers the ids of their short pieces."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.tokenizer = build_tokenizer(ranks, pattern)
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes | None] = {}
+        self.held = 0
 
     def _learn(self, new: list[str]) -> None:
         # a piece that is empty or starts with white space could belong to a longer run of it
@@ -80,21 +84,31 @@ class Encoder:
                 self.known[p] = pack(e.ids)
         self.known.update((p, None) for p in new if not p or p[0].isspace())
 
+    def _settle(self, new: list[str]) -> None:
+        """Drop long pieces, and everything once ``CACHE`` is passed."""
+        for p in new:
+            if len(p) > LONG:
+                del self.known[p]
+            else:
+                self.held += sys.getsizeof(p) + sys.getsizeof(self.known[p]) + 100  # and a place in the table
+        if self.held > CACHE:
+            self.forget()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers (null: none)."""
         cut = [(text or "").split(" ") for text in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
         seen: set[str] = set()
         for first, *rest in cut:
             seen.update(rest)
-        self._learn([p for p in seen if p not in self.known])
+        new = [p for p in seen if p not in self.known]
+        self._learn(new)
         heads = self.tokenizer.encode_batch_fast([first for first, *_ in cut], add_special_tokens=False)
         out = []
         for text, head, (_, *rest) in zip(texts, heads, cut, strict=True):
             ids = list(map(self.known.__getitem__, rest))
             whole = None in ids
             out.append(pack(self.tokenizer.encode(text, add_special_tokens=False).ids) if whole else pack(head.ids) + b"".join(ids))
+        self._settle(new)
         return out
 
     def offsets(self, text: str | None) -> list[tuple[int, int]]:
@@ -138,6 +152,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = worker_encoder(key, *shared.value)
+        encoder.forget()  # also what a task that was stopped midway left
         for batch in batches:
             texts = batch.column(len(cols))
             for a, b in _slices([len(x.as_py() or "") for x in texts] if batch.nbytes > 4 << 20 else [0] * len(texts)):
@@ -152,6 +167,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str
                                            pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))))
                     names.append("offsets")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
+        encoder.forget()
 
     return source.mapInArrow(run, T.StructType(fields))
 
