@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
-from .postings import Postings, Top, blocks, max_score, window_edges
+from .postings import Postings, Top, blocks, filled, max_score, window_edges
 
 RESULT = "query_id long, rank int, vec_id long, score long"
 #: Largest value of a component after scaling; beyond it a product could leave 64 bits.
@@ -99,8 +99,8 @@ def _search(index: DataFrame, asked: list[tuple[int, int, np.ndarray]], k: int)
                 ends = np.cumsum(sizes)
                 lists = {}
                 for d, a, b in zip(dims.tolist(), ends - sizes, ends, strict=True):
-                    v = vals[a:b].astype(np.int64)
-                    lists[d] = (docs[a:b], v, int(v.min()), int(v.max()), window_edges(docs[a:b], len(ids)))
+                    at, v = filled(docs[a:b], vals[a:b].astype(np.int64), len(ids))
+                    lists[d] = (at, v, int(v.min()), int(v.max()), window_edges(at, len(ids)))
                 for (row, _, q), top in zip(shared.value, tops, strict=True):
                     terms = []
                     for d in np.flatnonzero(q).tolist():

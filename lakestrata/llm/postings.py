@@ -52,6 +52,15 @@ def window_edges(docs: np.ndarray, n_docs: int) -> np.ndarray:
     return np.searchsorted(docs, np.arange(0, n_docs + WINDOW, WINDOW))
 
 
+def filled(docs: np.ndarray, values: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """A list that holds most documents with zeros for the others: it is then read without its document numbers."""
+    if 2 * len(docs) < n_docs or len(docs) == n_docs:
+        return docs, values
+    full = np.zeros(n_docs, values.dtype)
+    full[docs] = values
+    return np.arange(n_docs, dtype=docs.dtype), full
+
+
 def max_score(lists: list[Postings], ids: np.ndarray, nulls: np.ndarray, top: Top, own: int = -1) -> None:
     """Offer ``top`` every document of the shard (but ``own``) whose summed score can enter it.
 
@@ -86,10 +95,12 @@ def max_score(lists: list[Postings], ids: np.ndarray, nulls: np.ndarray, top: To
                 break
             x = lists[j]
             a, b = x.edges[w], x.edges[w + 1]
-            if b > a:
-                part = x.docs[a:b] - start
-                at = np.minimum(np.searchsorted(part, left), b - a - 1)
-                hit = part[at] == left
+            if b - a == size:
+                scores[left] += x.weight * x.values[a:b][left]
+            elif b > a:
+                part = x.docs[a:b]
+                at = np.minimum(np.searchsorted(part, left + start), b - a - 1)
+                hit = part[at] == left + start
                 scores[left[hit]] += x.weight * x.values[a:b][at[hit]]
         if own >= 0:
             left = left[left != own - start]
