@@ -22,10 +22,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from lakestrata.fixed import CASE_NESTED_ID_CHILDREN
 from lakestrata.functions.expressions import days_since, local_time_text, parse_event_time, quoted
 from lakestrata.operators.quality import integrity_check, null_profile, table_profile
 from lakestrata.operators.relational import (
@@ -56,6 +58,7 @@ from lakestrata.operators.transforms import (
 )
 from lakestrata.plans.facts import StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
 from lakestrata.plans.layers import (
+    duplicate_raw_files,
     extract_responses,
     ingest_responses,
     land_raw,
@@ -66,9 +69,11 @@ from lakestrata.plans.layers import (
     standardize,
 )
 from lakestrata.session import session_key, shared_dir
+from lakestrata.sinks.committed import replace_committed
 from lakestrata.sinks.writers import write_csv, write_json, write_parquet, write_xml
 from lakestrata.sources.files import read_csv, read_json, read_latest_snapshot, read_parquet, select_raw_files
 from lakestrata.sources.layout import LakeLayout
+from lakestrata.sources.split_xml import CORRUPT, read_xml_split
 from lakestrata.streaming.incremental import standardize_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -550,6 +555,47 @@ def q_ingest_movements(spark, d):
     return out.drop("request")
 
 
+def q_xml_split_scan(spark, d):
+    """The rows of ``xml_flatten`` by the split scan, elements found in all of them; none is corrupt."""
+    df = read_xml_split(spark, _land_responses(spark, d), "item").drop("__source_file", "__source_pos")
+    return flatten_structs(df).withColumnRenamed(CORRUPT, "corrupt")
+
+
+def _write_case_responses(spark, d) -> str:
+    """orders x customer landed as case responses (row tag ``parametros``), one folder per request (priority);
+    every tenth case is re-sent under request Z."""
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = o.select(
+        F.col("o_orderkey").cast("string").alias("IdProcedimento"), F.concat(F.lit("C-"), F.col("o_orderkey").cast("string")).alias("ProcedimentoFormatado"),
+        F.struct(F.col("o_custkey").cast("string").alias("IdTipoProcedimento"), F.col("c_mktsegment").alias("Nome")).alias("TipoProcedimento"),
+        local_time_text("o_orderdate", "yyyy-MM-dd").alias("DataAutuacao"), F.col("o_orderpriority").alias("request"))
+    resent = rows.where(F.col("IdProcedimento").endswith("0")).withColumn("request", F.lit("Z"))
+    path = shared_dir(spark, "xml") + "/cases"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_xml(union_positional(rows, resent).repartition(n), path, "parametros", "resposta", partition_by=["request"])
+    return path
+
+
+CASE_RESPONSE_SCHEMA = StructType([
+    StructField("IdProcedimento", StringType()), StructField("ProcedimentoFormatado", StringType()),
+    StructField("TipoProcedimento", StructType([StructField("IdTipoProcedimento", StringType()), StructField("Nome", StringType())])),
+    StructField("DataAutuacao", StringType()),
+])
+
+
+def q_ingest_cases(spark, d):
+    """Case responses of all requests but a blocked one: type id lifted, one row per case."""
+    out = ingest_responses(spark, _fixture(spark, d, "case_responses", _write_case_responses), "parametros", "IdProcedimento",
+                           request_key=("asked", r"/request=([^/]+)/"), children=CASE_NESTED_ID_CHILDREN,
+                           schema=CASE_RESPONSE_SCHEMA, blocked=["5-LOW"])
+    return out.drop("request", "asked")
+
+
+def q_case_types_dim(spark, d):
+    """Case types out of the same responses, one row per type."""
+    return nested_entity(spark, _fixture(spark, d, "case_responses", _write_case_responses), "parametros", "TipoProcedimento", schema=CASE_RESPONSE_SCHEMA)
+
+
 def q_lake_end_to_end(spark, d):
     """Responses -> keyed dedupe -> raw JSON (dated) -> standardized Parquet -> refined
     dimension with cleaned strings and audit columns."""
@@ -715,6 +761,33 @@ def q_standardize_csv_headers(spark, d):
     return conform_to_schema(out, ORDERS_TEXT_SCHEMA)
 
 
+def q_duplicate_files(spark, d):
+    """Raw CSV files of a day that repeat rows of their own: one does, one shares rows with another, one is clean."""
+    lake = LakeLayout(shared_dir(spark, "lake"))
+    o = _orders_text(spark, d).select(*ORDERS_OUT)
+    folder = lake.raw("sales", "orders", "20240102", "csv").rsplit("/", 1)[0]
+    open_, done = o.where("o_orderstatus = 'O'"), o.where("o_orderstatus = 'F'")
+    write_csv(open_.unionByName(open_.where("o_orderkey % 50 = 0")).unionByName(open_.where("o_orderkey % 100 = 0")), f"{folder}/orders_open.csv")
+    write_csv(done, f"{folder}/orders_done.csv")
+    write_csv(done.where("o_orderkey % 2 = 0"), f"{folder}/orders_again.csv")
+    return duplicate_raw_files(spark, lake, "csv", "20240102").select("endpoint", "file", "n_rows", "n_distinct", "n_duplicates")
+
+
+def q_replace_committed(spark, d):
+    """A table replaced by a commit, then by a write that fails midway (its rows stay), then by rows read from itself."""
+    path = shared_dir(spark, "committed") + "/orders.parquet"
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    replace_committed(o.where("o_orderstatus <> 'P'"), path)
+    try:
+        replace_committed(o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 1000 != 999, F.col("o_custkey")).otherwise(F.raise_error(F.lit("stopped")))), path)
+    except PySparkException as e:
+        if "stopped" not in str(e):
+            raise
+    kept = read_parquet(spark, path)
+    n = replace_committed(kept.unionByName(o.where("o_orderstatus = 'P'")), path)
+    return read_parquet(spark, path).withColumns({"n_written": F.lit(n).cast("bigint"), "n_before": F.lit(kept.count()).cast("bigint")})
+
+
 def q_raw_json_nulls(spark, d):
     """Raw JSON with a column that has no value at all: it is still there after standardizing."""
     lake, out_lake = LakeLayout(shared_dir(spark, "lake")), LakeLayout(shared_dir(spark, "lake"))
@@ -740,6 +813,7 @@ def q_latest_hot_distinct(spark, d):
 def warm_fixtures(spark: SparkSession, d: str) -> None:
     """Write the files the round-trip queries derive from the tables (once per session)."""
     _land_responses(spark, d)
+    _fixture(spark, d, "case_responses", _write_case_responses)
     _land_raw_lake(spark, d)
     _land_standardized(spark, d)
 
@@ -749,6 +823,8 @@ def warm_fixtures(spark: SparkSession, d: str) -> None:
 QUERIES: dict[str, Query] = {
     "standardize_mixed_json": q_standardize_mixed_json,
     "standardize_csv_headers": q_standardize_csv_headers,
+    "duplicate_files": q_duplicate_files,
+    "replace_committed": q_replace_committed,
     "raw_json_nulls": q_raw_json_nulls,
     "map_codes_to_names": q_map_codes_to_names,
     "latest_hot_distinct": q_latest_hot_distinct,
@@ -789,6 +865,9 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": q_json_roundtrip,
     "parquet_overwrite": q_parquet_overwrite,
     "xml_flatten": q_xml_flatten,
+    "xml_split_scan": q_xml_split_scan,
+    "ingest_cases": q_ingest_cases,
+    "case_types_dim": q_case_types_dim,
     "nested_id_lift": q_nested_id_lift,
     "nested_entity_dim": q_nested_entity_dim,
     "ingest_movements": q_ingest_movements,
@@ -958,6 +1037,23 @@ ORACLE_SQL: dict[str, str] = {
     "parquet_overwrite": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
         UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""",
+    "duplicate_files": """
+WITH f AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')
+SELECT 'orders' AS endpoint, 'sales/operacional/orders/20240102/orders_open.csv' AS file,
+       count(*) + count(*) FILTER (o_orderkey % 50 = 0) + count(*) FILTER (o_orderkey % 100 = 0) AS n_rows, count(*) AS n_distinct,
+       count(*) FILTER (o_orderkey % 50 = 0) + count(*) FILTER (o_orderkey % 100 = 0) AS n_duplicates
+FROM f""",
+    "replace_committed": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, (SELECT count(*) FROM orders) AS n_written,
+       (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS n_before FROM orders""",
+    "xml_split_scan": _RESPONSES + """
+SELECT IdAndamento, IdUnidade AS Unidade_IdUnidade, Sigla AS Unidade_Sigla, IdUsuario AS Usuario_IdUsuario, IdTarefa, DataHora, request, CAST(NULL AS VARCHAR) AS corrupt FROM allr""",
+    "ingest_cases": """
+SELECT CAST(o_orderkey AS VARCHAR) AS IdProcedimento, 'C-' || o_orderkey AS ProcedimentoFormatado, CAST(o_custkey AS VARCHAR) AS TipoProcedimento,
+       strftime(o_orderdate, '%Y-%m-%d') AS DataAutuacao
+FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority <> '5-LOW' OR o_orderkey % 10 = 0""",
+    "case_types_dim": """
+SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS IdTipoProcedimento, c_mktsegment AS Nome FROM customer JOIN orders ON o_custkey = c_custkey""",
     "xml_flatten": _RESPONSES + """
         SELECT IdAndamento, IdUnidade AS Unidade_IdUnidade, Sigla AS Unidade_Sigla, IdUsuario AS Usuario_IdUsuario,
                IdTarefa, DataHora, request FROM allr""",

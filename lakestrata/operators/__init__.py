@@ -1,4 +1,5 @@
 from lakestrata.operators.quality import (
+    duplicate_files,
     integrity_check,
     null_counts,
     null_profile,
@@ -52,6 +53,7 @@ __all__ = [
     "distinct_rows",
     "drop_columns",
     "exclude_values",
+    "duplicate_files",
     "integrity_check",
     "join_dimension",
     "latest_per_group",

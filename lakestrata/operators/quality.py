@@ -13,23 +13,51 @@ from pyspark.sql.types import MapType
 from lakestrata.functions.expressions import null_like, quoted
 
 
+def _hashed(df: DataFrame) -> DataFrame:
+    """Comparable columns (maps as their sorted entries) and two 64-bit hashes over them, ``__h1`` and ``__h2``."""
+    plain = df.select(*[F.array_sort(F.map_entries(F.col(quoted(f.name)))).alias(f.name) if isinstance(f.dataType, MapType)
+                        else F.col(quoted(f.name)) for f in df.schema.fields])
+    names = [F.col(quoted(c)) for c in df.columns]
+    return plain.withColumns({"__h1": F.xxhash64(F.lit(1), *names), "__h2": F.xxhash64(F.lit(2), *names)})
+
+
 def integrity_check(df: DataFrame) -> DataFrame:
-    """Exact-duplicate check in one pass.
+    """Exact-duplicate check whose shuffle carries two hashes and a count for each row.
 
     Returns one row: ``n_rows``, ``n_distinct``, ``n_duplicates`` (= rows - distinct) and
-    ``ok`` (no duplicates). Grouping on all columns gets a partial aggregation before the
-    shuffle, so many copies of one row collapse map-side. Duplicates are reported, not
-    removed.
+    ``ok`` (no duplicates). Rows are counted by hash first; only rows whose hashes occur more than once
+    are compared in full, so equal hashes of different rows don't count as duplicates. Both
+    aggregates combine map-side, so many copies of one row collapse before they move. ``df`` is
+    read twice: pass a written table. Duplicates are reported, not removed.
+    """
+    rows, pair = _hashed(df), ["__h1", "__h2"]
+    groups = rows.groupBy(*pair).agg(F.count(F.lit(1)).alias("__n"))
+    again = rows.join(groups.where("__n > 1").select(*pair), pair, "left_semi")
+    repeated = again.groupBy(*pair, *[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    both = (groups.agg(F.sum("__n").alias("n"), F.count_if(F.col("__n") == 1).alias("d"))
+            .unionByName(repeated.agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("d"))))
+    return both.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.coalesce(F.sum("d"), F.lit(0)).cast("bigint").alias("n_distinct"),
+    ).withColumn("n_duplicates", F.col("n_rows") - F.col("n_distinct")).withColumn("ok", F.col("n_duplicates") == 0)
+
+
+def duplicate_files(df: DataFrame, file: str) -> DataFrame:
+    """Files that hold a row more than once: ``file n_rows n_distinct n_duplicates``.
+
+    Rows are compared within their own ``file`` (a column of ``df``); a row that two files hold once
+    each is no duplicate, rows without a file are in none. As in ``integrity_check`` hashes are counted first, the file's hash standing
+    for its name, and only rows with repeated hashes are compared in full.
     """
-    # Maps cannot be grouping keys: compare them as their sorted entries.
-    keys = [F.array_sort(F.map_entries(F.col(quoted(f.name)))).alias(f.name) if isinstance(f.dataType, MapType)
-            else F.col(quoted(f.name)) for f in df.schema.fields]
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return groups.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("n_rows"),
-        F.count(F.lit(1)).alias("n_distinct"),
-        F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("n_duplicates"),
-    ).withColumn("ok", F.col("n_duplicates") == 0)
+    body = [c for c in df.columns if c != file]
+    rows = _hashed(df).withColumn("__f", F.xxhash64(F.col(quoted(file))))
+    key = ["__f", "__h1", "__h2"]  # the hashes are over the file's name too
+    groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    again = rows.join(groups.where("__n > 1").select(*key), key, "left_semi")
+    repeated = again.groupBy(F.col(quoted(file)).alias("__file"), *[quoted(c) for c in body]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    found = repeated.groupBy("__file").agg(F.sum(F.col("__n") - 1).alias("n_duplicates"))
+    sizes = df.groupBy(F.col(quoted(file)).alias("__file")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return sizes.join(found, "__file").select(F.col("__file").alias("file"), "n_rows", (F.col("n_rows") - F.col("n_duplicates")).alias("n_distinct"), "n_duplicates")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

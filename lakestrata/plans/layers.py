@@ -8,17 +8,18 @@ touches, their status), never table rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakestrata import fixed
 from lakestrata.functions.expressions import quoted
-from lakestrata.operators.quality import integrity_check
+from lakestrata.operators.quality import duplicate_files, integrity_check
 from lakestrata.operators.relational import dedupe_keep_first, exclude_values
 from lakestrata.operators.transforms import ConformSpec, add_audit_columns, conform
 from lakestrata.plans.facts import (
@@ -32,18 +33,15 @@ from lakestrata.plans.facts import (
 from lakestrata.session import checkpoint_root
 from lakestrata.sinks.writers import publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
-    read_json,
     read_latest_snapshot,
     read_parquet,
-    read_raw_csv,
-    read_raw_json,
     read_xml,
+    relative_path,
     select_raw_files,
 )
 from lakestrata.sources.layout import LakeLayout, date_key
-
-SOURCE_FILE = "__source_file"
-SOURCE_POS = "__source_pos"
+from lakestrata.sources.raw_files import read_raw_csv, read_raw_json
+from lakestrata.sources.split_xml import CORRUPT, SOURCE_FILE, SOURCE_POS, read_xml_split
 
 
 # --- extract: landed XML responses -> raw JSON -----------------------------------------------
@@ -65,18 +63,31 @@ def lift_nested_ids(df: DataFrame, children: Mapping[str, str] = fixed.NESTED_ID
 
 def read_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: str,
                    schema: StructType | None = None,
-                   request_key: tuple[str, str] | None = None) -> DataFrame:
+                   request_key: tuple[str, str] | None = None,
+                   split: bool = True, corrupt: Observation | None = None) -> DataFrame:
     """Landed response files -> rows of ``row_tag`` with their origin.
 
     ``request_key=(column, regex)`` adds the request key taken from each file's path (group
     1 of ``regex``), as the extractor added the key it asked for. Every row carries its
-    file and position, which define "first" for keyed dedupe.
+    file and position, which define "first" for keyed dedupe. Files are split over tasks
+    (``split=False``: one task per file, for other encodings or prefixed row tags). An element that
+    is cut off or malformed fails the job, unless ``corrupt`` is given: then such elements are left
+    out and the observation's ``n_corrupt`` counts them.
     """
-    df = read_xml(spark, paths, row_tag, schema=schema)
-    df = df.withColumns({
-        SOURCE_FILE: F.col("_metadata.file_path"),
-        SOURCE_POS: F.monotonically_increasing_id(),
-    })
+    if split:
+        df = read_xml_split(spark, paths, row_tag, schema)
+        if corrupt is not None:
+            df = df.observe(corrupt, F.count_if(F.col(CORRUPT).isNotNull()).alias("n_corrupt")).where(F.col(CORRUPT).isNull())
+        else:
+            message = F.concat(F.lit("cannot parse an element of "), F.col(SOURCE_FILE), F.lit(": "), F.left(F.col(CORRUPT), F.lit(200)))
+            df = df.where(F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        df = df.drop(CORRUPT)
+    else:
+        df = read_xml(spark, paths, row_tag, schema=schema)
+        df = df.withColumns({
+            SOURCE_FILE: F.col("_metadata.file_path"),
+            SOURCE_POS: F.monotonically_increasing_id(),
+        })
     if request_key:
         column, regex = request_key
         # the file path is URI-encoded (a plus sign stands for itself)
@@ -162,15 +173,37 @@ STATUS_SCHEMA = ("business_area string, source_system string, endpoint string, "
                  "n_rows bigint, n_duplicates bigint, n_corrupt bigint, ok boolean, error string")
 
 
-def _read_raw(spark: SparkSession, file_type: str, path: str, schema: StructType | None,
-              json_array: bool | None = None) -> tuple[DataFrame, DataFrame]:
-    """Good rows and corrupt rows of a table's raw files, each file by its own form or header."""
-    if file_type == "csv":
-        return read_raw_csv(spark, path, schema)
-    if json_array is None:
-        return read_raw_json(spark, path, schema)
-    df = read_json(spark, path, schema=schema, multi_line=json_array)
-    return df, spark.createDataFrame([], "_corrupt_record string")
+def _duplicates_by_file(raw: DataFrame, layout: LakeLayout) -> DataFrame:
+    """``duplicate_files`` of raw rows; the part files of a dataset that Spark wrote are one file."""
+    parts = F.split(relative_path(SOURCE_FILE, layout.raw_root), "/")
+    return duplicate_files(raw.drop(CORRUPT).withColumn(SOURCE_FILE, F.array_join(F.slice(parts, 1, 5), "/")), SOURCE_FILE)
+
+
+def duplicate_raw_files(spark: SparkSession, layout: LakeLayout, file_type: str, ingestion_date: Any,
+                        business_area: str | None = None, schemas: Mapping[str, StructType] | None = None,
+                        json_array: bool | None = None) -> DataFrame:
+    """Raw files of one day and type that hold a row more than once.
+
+    ``business_area source_system endpoint file n_rows n_distinct n_duplicates``, one row per offending file
+    (its path below the raw bucket); rows are compared within their file. Stays a DataFrame.
+    """
+    day = date_key(ingestion_date)
+    files = select_raw_files(spark, layout.raw_root, file_type, day, business_area)
+    out = None
+    for t in files.select("business_area", "source_system", "endpoint").distinct().orderBy("business_area", "source_system", "endpoint").collect():  # tables of the day
+        raw = _raw_pattern(layout, t.business_area, t.source_system, t.endpoint, day, file_type)
+        schema = (schemas or {}).get(t.endpoint)
+        df = read_raw_csv(spark, raw, schema) if file_type == "csv" else read_raw_json(spark, raw, schema, json_array)
+        found = _duplicates_by_file(df, layout).select(F.lit(t.business_area).alias("business_area"), F.lit(t.source_system).alias("source_system"),
+                                                       F.lit(t.endpoint).alias("endpoint"), "file", "n_rows", "n_distinct", "n_duplicates")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _raw_pattern(layout: LakeLayout, area: str, system: str, endpoint: str, day: str, file_type: str) -> str:
+    """A day's files of a table by pattern, so that their paths stay off the driver."""
+    letters = "".join(f"[{c.lower()}{c.upper()}]" for c in file_type)
+    return f"{layout.raw_root}/{area}/{system}/{endpoint}/{day}/*.{letters}"
 
 
 def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingestion_date: Any,
@@ -182,14 +215,16 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
 
     One read per table (all its files of the day, by path pattern), audit columns, an overwrite of
     ``standardized/{area}/{system}/{endpoint}/{day}/{endpoint}_{day}.parquet``, and an
-    optional one-pass duplicate check on the written copy. A table that fails is reported
+    optional duplicate check on the written copy (rows repeated within one raw file; see
+    ``duplicate_raw_files`` for which). A table that fails is reported
     and the run goes on. Returns one status row per table.
     ``target`` writes the standardized layer under another root (default: ``layout``).
     ``output_format="delta"`` writes Delta tables (needs the Delta package).
     ``parallelism`` tables are processed at the same time. ``json_array`` says whether raw
     JSON files are arrays (``True``) or JSON Lines (``False``); ``None`` finds the form of
-    each file. CSV files are read under their own headers and united by name. Corrupt rows are
-    left out of the table and counted in ``n_corrupt``; then ``ok`` is false.
+    each file. CSV files are read under their own headers and united by name. What can't be read is
+    counted in ``n_corrupt`` by the write itself, with or without ``check_integrity``, and ``ok`` is
+    false: JSON records that are no JSON are left out, CSV rows keep the values their header names.
     """
     if output_format not in ("parquet", "delta"):
         raise ValueError(f"unknown output format {output_format!r}")
@@ -204,20 +239,28 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
         out_path = target.standardized(t.business_area, t.endpoint, day, t.source_system, output_format)
         n_rows = n_dup = n_corrupt = None
         ok, error = True, None
-        # the day's files by pattern: their paths stay off the driver
-        letters = "".join(f"[{c.lower()}{c.upper()}]" for c in file_type)
-        raw = f"{layout.raw_root}/{t.business_area}/{t.source_system}/{t.endpoint}/{day}/*.{letters}"
+        raw = _raw_pattern(layout, t.business_area, t.source_system, t.endpoint, day, file_type)
         try:
             schema = (schemas or {}).get(t.endpoint)
-            df, corrupt = _read_raw(spark, file_type, raw, schema, json_array)
+            df = read_raw_csv(spark, raw, schema) if file_type == "csv" else read_raw_json(spark, raw, schema, json_array)
+            bad = Observation(f"corrupt-{t.endpoint}-{uuid.uuid4().hex}")
+            df = df.observe(bad, F.count_if(F.col(CORRUPT).isNotNull()).alias("n_corrupt"))
+            names = [c for c in df.columns if c not in (CORRUPT, SOURCE_FILE)]
+            lost = F.lit(file_type == "json") & F.col(CORRUPT).isNotNull()
+            for c in names:  # a text without any field that could be read
+                lost = lost & F.col(quoted(c)).isNull()
             writer = write_delta if output_format == "delta" else write_parquet
-            writer(add_audit_columns(df, load_ts), out_path)
+            writer(add_audit_columns(df.where(~lost).drop(CORRUPT, SOURCE_FILE), load_ts), out_path)
+            n_corrupt = int(bad.get["n_corrupt"])
+            ok = not n_corrupt
             if check_integrity:
                 # Checked on the columnar copy just written (raw text is parsed only once).
-                written = spark.read.format(output_format).load(out_path).select(*[quoted(c) for c in df.columns])
+                written = spark.read.format(output_format).load(out_path).select(*[quoted(c) for c in names])
                 report = integrity_check(written).first()
-                n_corrupt = corrupt.agg(*[F.count(quoted(c)) for c in corrupt.columns[:2]]).first()[0]
-                n_rows, n_dup, ok = report.n_rows, report.n_duplicates, bool(report.ok) and not n_corrupt
+                n_rows, n_dup = report.n_rows, report.n_duplicates
+                if n_dup:  # the same row in two files is none: look at each file by itself
+                    n_dup = _duplicates_by_file(df.where(~lost), layout).agg(F.sum("n_duplicates")).first()[0] or 0
+                ok = not n_dup and not n_corrupt
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
             ok, error = False, f"{type(e).__name__}: {e}"
         return (t.business_area, t.source_system, t.endpoint, t.date_extraction,
@@ -234,14 +277,15 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
 
 def refine_dimension(spark: SparkSession, layout: LakeLayout, area: str, endpoint: str,
                      table: str, spec: ConformSpec | None = None, load_ts: Any = None,
-                     system: str = fixed.RAW_CONTEXT, target: LakeLayout | None = None) -> str:
+                     system: str = fixed.RAW_CONTEXT, target: LakeLayout | None = None,
+                     committed: bool = False) -> str:
     """Newest standardized snapshot -> optional transform chain -> refined table
-    (under ``target``'s root when given)."""
+    (under ``target``'s root when given; replaced by a commit if ``committed``)."""
     df = read_latest_snapshot(spark, layout.standardized_table(area, endpoint, system))
     if spec is not None:
         df = conform(df, spec)
     path = (target or layout).refined(area, table, system)
-    publish_refined(df, path, load_ts=load_ts)
+    publish_refined(df, path, load_ts=load_ts, committed=committed)
     return path
 
 
@@ -251,7 +295,7 @@ REFINE_STATUS_SCHEMA = "area string, endpoint string, table_name string, refined
 def refine_dimensions(spark: SparkSession, layout: LakeLayout,
                       tables: Sequence[tuple[str, str, str, ConformSpec | None]], load_ts: Any = None,
                       system: str = fixed.RAW_CONTEXT, target: LakeLayout | None = None,
-                      parallelism: int = 4) -> DataFrame:
+                      parallelism: int = 4, committed: bool = False) -> DataFrame:
     """Refine several dimensions, ``(area, endpoint, table, spec)`` each, a few at a time.
 
     Each is ``refine_dimension``; a table that fails is reported and the others go on.
@@ -264,7 +308,7 @@ def refine_dimensions(spark: SparkSession, layout: LakeLayout,
             if spec is not None:
                 df = conform(df, spec)
             path = (target or layout).refined(area, table, system)
-            n = publish_refined(df, path, load_ts=load_ts)
+            n = publish_refined(df, path, load_ts=load_ts, committed=committed)
             return (area, endpoint, table, path, n, None)
         except Exception as e:  # noqa: BLE001 - per-table failure is data, not a crash
             return (area, endpoint, table, None, None, f"{type(e).__name__}: {e}")
@@ -278,7 +322,7 @@ def refine_dimensions(spark: SparkSession, layout: LakeLayout,
 def refine_stalled_facts(spark: SparkSession, layout: LakeLayout,
                          dims: Mapping[str, tuple[str, str]], out_area: str,
                          spec: StarSpec = DEFAULT_SPEC, as_of: Any = None, load_ts: Any = None,
-                         system: str = fixed.RAW_CONTEXT) -> dict[str, str]:
+                         system: str = fixed.RAW_CONTEXT, committed: bool = False) -> dict[str, str]:
     """Build the three stalled-case facts from the refined dimensions.
 
     ``dims`` maps ``movements``, ``units``, ``cases``, ``case_types`` to (area, table) of
@@ -299,7 +343,7 @@ def refine_stalled_facts(spark: SparkSession, layout: LakeLayout,
     paths = {}
     for name, df in outputs.items():
         paths[name] = layout.refined(out_area, name, system)
-        publish_refined(df, paths[name], load_ts=load_ts)
+        publish_refined(df, paths[name], load_ts=load_ts, committed=committed)
     return paths
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the plans built here (AQE re-plans joins from runtime sizes and
 # splits skewed shuffle partitions; the window group limit keeps top-k pruning map-side).
@@ -88,6 +88,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "lakestrata", *parts, uuid.uuid4().hex])
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared scratch folder and read again: what several jobs
+    use is computed once, and a lost executor costs a re-read."""
+    path = shared_dir(df.sparkSession, "staged", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path

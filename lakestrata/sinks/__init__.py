@@ -1,3 +1,4 @@
+from lakestrata.sinks.committed import drop_old_versions, read_current, replace_committed
 from lakestrata.sinks.writers import (
     historical_backfill,
     publish_refined,
@@ -11,9 +12,12 @@ from lakestrata.sinks.writers import (
 )
 
 __all__ = [
+    "drop_old_versions",
     "historical_backfill",
     "publish_refined",
     "qualify_table",
+    "read_current",
+    "replace_committed",
     "write_csv",
     "write_delta",
     "write_jdbc",

@@ -2,7 +2,7 @@
 
 Writes go from the executors straight to the target path. ``mode="overwrite"`` replaces
 the folder (Spark deletes, then writes; it refuses to overwrite a path the same plan
-reads). ``partition_overwrite=True`` replaces only the partitions present in the frame.
+reads; ``committed.replace_committed`` switches versions instead). ``partition_overwrite=True`` replaces only the partitions present in the frame.
 ``max_records_per_file`` bounds file sizes without a repartition shuffle.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from lakestrata.operators.quality import observe_rows
 from lakestrata.operators.transforms import add_audit_columns
+from lakestrata.sinks.committed import replace_committed
 
 
 def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None,
@@ -68,12 +69,16 @@ def write_delta(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def publish_refined(df: DataFrame, path: str, add_metadata: bool = True, load_ts=None,
-                    max_records_per_file: int | None = None) -> int:
+                    max_records_per_file: int | None = None, committed: bool = False) -> int:
     """Write a refined table: audit columns (overwriting old ones), Parquet, replace.
 
-    Returns the number of rows written, counted by the write itself (no extra job).
+    Returns the number of rows written, counted by the write itself (no extra job). With
+    ``committed`` the table is replaced by a commit (see ``replace_committed``): a failed write leaves
+    the old rows, and ``df`` may read the table itself; readers go through ``read_parquet``.
     """
     out = add_audit_columns(df, load_ts) if add_metadata else df
+    if committed:
+        return replace_committed(out, path, max_records_per_file)
     out, obs = observe_rows(out, "published_rows")
     write_parquet(out, path, "overwrite", max_records_per_file=max_records_per_file)
     return int(obs.get.get("n_rows", 0))

@@ -7,7 +7,6 @@ selected, so file contents are never read, and the listing itself is a distribut
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Sequence
 from urllib.parse import urlparse
@@ -15,10 +14,11 @@ from urllib.parse import urlparse
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from lakestrata.fixed import RAW_FILE_TYPES
 from lakestrata.functions.expressions import file_extension
+from lakestrata.sinks.committed import resolve
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -27,8 +27,11 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
 
 def read_parquet(spark: SparkSession, paths: str | Sequence[str], view: str | None = None,
                  merge_schema: bool = False) -> DataFrame:
-    """Read a Parquet snapshot (schema from the files); optionally register a view."""
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*_paths(paths))
+    """Read a Parquet snapshot (schema from the files); optionally register a view.
+
+    A table kept by commits is read in its current version."""
+    found = [resolve(spark, p) for p in _paths(paths)]
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*found)
     if view:
         df.createOrReplaceTempView(view)
     return df
@@ -71,108 +74,6 @@ def read_xml(spark: SparkSession, paths: str | Sequence[str], row_tag: str,
     return reader.load(_paths(paths))
 
 
-FORM_FILE = "__file"
-CORRUPT = "_corrupt_record"
-
-
-def _first_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``__file, line``: the first line with text of each file (one distributed pass)."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias(FORM_FILE), F.col("value"),
-                                         F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k"))
-    return (lines.where(F.trim(F.regexp_replace("value", "^\ufeff", "")) != "").groupBy(FORM_FILE)
-            .agg(F.min_by("value", F.struct("at", "k")).alias("line")))
-
-
-def _of_files(df: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of the given files (the list stays a DataFrame)."""
-    own = df.withColumn(FORM_FILE, F.col("_metadata.file_path"))
-    return own.join(files.select(FORM_FILE), FORM_FILE, "left_semi").drop(FORM_FILE)
-
-
-def _without_nan(df: DataFrame) -> DataFrame:
-    """``NaN`` tokens, which the extractor writes for missing values, as nulls."""
-    out = {}
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name.replace('`', '``')}`")
-        kind = f.dataType.simpleString()
-        if kind in ("double", "float"):
-            out[f.name] = F.when(~F.isnan(c), c)
-        elif kind == "string" and f.name != CORRUPT:
-            out[f.name] = F.when(c != "NaN", c)
-    return df.withColumns(out) if out else df
-
-
-def _set_aside(df: DataFrame) -> DataFrame:
-    """Corrupt rows with the columns that could be read (Spark reads no corrupt column by itself)."""
-    return df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, *[f"`{c.replace('`', '``')}`" for c in df.columns if c != CORRUPT])
-
-
-def read_raw_json(spark: SparkSession, path: str, schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw JSON files, each by its own form (a JSON array or JSON Lines): good rows, corrupt rows.
-
-    The form of a file is told by its first line with text, in a distributed job; files of both
-    forms are read by two readers and united by name. ``NaN`` becomes null. Corrupt rows
-    (``_corrupt_record``) are set aside, not dropped.
-    """
-    forms = _first_lines(spark, path).select(FORM_FILE, F.ltrim(F.regexp_replace("line", "^\ufeff", "")).startswith("[").alias("array"))
-    kinds = sorted(r["array"] for r in forms.select("array").distinct().collect())  # two rows at most
-    if schema is not None and CORRUPT not in schema.fieldNames():
-        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    parts = []
-    for array in kinds or [False]:
-        df = read_json(spark, path, schema=schema, multi_line=array)
-        parts.append(_of_files(df, forms.where(F.col("array") == F.lit(array))) if len(kinds) > 1 else df)
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    if CORRUPT not in out.columns:
-        return _without_nan(out), out.limit(0).select(F.lit(None).cast("string").alias(CORRUPT))
-    if out.columns == [CORRUPT]:  # no record could be read at all
-        return out.drop(CORRUPT), spark.read.text(path).where(F.trim("value") != "").select(F.col("value").alias(CORRUPT))
-    return _without_nan(out.where(F.col(CORRUPT).isNull()).drop(CORRUPT)), _set_aside(out)
-
-
-def _narrowest(df: DataFrame) -> DataFrame:
-    """Text columns cast to the narrowest of int, bigint, double, date, timestamp that holds all their values."""
-    kinds = ("int", "bigint", "double", "date", "timestamp")
-    # try_cast alone would drop fractions and times of day
-    shape = {"int": r"^\s*[+-]?[0-9]+\s*$", "bigint": r"^\s*[+-]?[0-9]+\s*$", "date": r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s*$"}
-    cols = [f"`{c.replace('`', '``')}`" for c in df.columns]
-    if not cols:
-        return df
-    fits = lambda c, k: F.col(c).try_cast(k).isNotNull() & (F.col(c).rlike(shape[k]) if k in shape else F.lit(True))
-    r = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
-               *[F.count_if(fits(c, k)).alias(f"{k}{i}") for i, c in enumerate(cols) for k in kinds]).first()
-    pick = [next((k for k in kinds if r[f"n{i}"] and r[f"{k}{i}"] == r[f"n{i}"]), "string") for i in range(len(cols))]
-    return df.select(*[F.col(c).try_cast(k).alias(n) for c, k, n in zip(cols, pick, df.columns)])
-
-
-def read_raw_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw CSV files, each by its own header: good rows, corrupt rows.
-
-    Files are grouped by header line (in a distributed job); each group is read under its own
-    column names and the groups are united by name. Rows with another number of values than
-    their header are corrupt. Types come from ``schema``, else from all values of a column.
-    """
-    heads = _first_lines(spark, path)
-    parts = []
-    for r in heads.select("line").distinct().orderBy("line").collect():  # a row for each header in use
-        names = next(csv.reader([r.line.lstrip("\ufeff")]))
-        text = StructType([*[StructField(n.strip(), StringType()) for n in names], StructField(CORRUPT, StringType())])
-        df = spark.read.option("header", "true").option("columnPruning", "false").schema(text).csv(path)
-        parts.append(_of_files(df, heads.where(F.col("line") == F.lit(r.line))))
-    if not parts:
-        empty = spark.createDataFrame([], schema or StructType([]))
-        return empty, spark.createDataFrame([], f"{CORRUPT} string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    good = out.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    if schema is None:
-        return _narrowest(good), _set_aside(out)
-    cast = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) if f.name in good.columns else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in schema.fields]
-    return good.select(*cast), _set_aside(out)
-
-
 # --- listing and selection --------------------------------------------------------------
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
