@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE = 16 << 20  # bytes of pieces and ids that a task remembers; beyond, it starts anew
+CACHE = 16 << 20  # bytes of pieces and ids that a task remembers; beyond, it keeps the latest
 LONG = 64  # characters; longer pieces are not remembered
 
 
@@ -84,15 +84,21 @@ class Encoder:
                 self.known[p] = pack(e.ids)
         self.known.update((p, None) for p in new if not p or p[0].isspace())
 
-    def _settle(self, new: list[str]) -> None:
-        """Drop long pieces, and everything once ``CACHE`` is passed."""
+    def _size(self, piece: str) -> int:
+        return sys.getsizeof(piece) + sys.getsizeof(self.known[piece]) + 100  # and a place in the table
+
+    def _settle(self, new: list[str], seen: set[str]) -> None:
+        """Drop long pieces, and once ``CACHE`` is passed all that the last slice didn't hold (or those too)."""
         for p in new:
             if len(p) > LONG:
                 del self.known[p]
             else:
-                self.held += sys.getsizeof(p) + sys.getsizeof(self.known[p]) + 100  # and a place in the table
+                self.held += self._size(p)
         if self.held > CACHE:
-            self.forget()
+            self.known = {p: self.known[p] for p in seen if len(p) <= LONG}
+            self.held = sum(map(self._size, self.known))
+            if self.held > CACHE // 2:
+                self.forget()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers (null: none)."""
@@ -108,7 +114,7 @@ class Encoder:
             ids = list(map(self.known.__getitem__, rest))
             whole = None in ids
             out.append(pack(self.tokenizer.encode(text, add_special_tokens=False).ids) if whole else pack(head.ids) + b"".join(ids))
-        self._settle(new)
+        self._settle(new, seen)
         return out
 
     def offsets(self, text: str | None) -> list[tuple[int, int]]:

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -242,3 +243,20 @@ def test_crc_and_digest_columns(spark):
     for r in op4_histogram_sort(spark, SF).collect():
         assert r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) and r.law == "bytes" and 0 <= r.shard < 40
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
+
+
+def test_encoder_holds_a_bounded_number_of_bytes(monkeypatch):
+    path, pattern = tokenizer_files()
+    ranks = byte_bpe.read_ranks(path)
+    encoder = byte_bpe.Encoder(ranks, pattern)
+    monkeypatch.setattr(byte_bpe, "CACHE", 200_000)
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 4000))) + " tail" for _ in range(30)]  # no spaces: long pieces
+    texts += [" ".join(f"w{rng.integers(1 << 40)}" for _ in range(300)) for _ in range(30)]  # pieces that don't come back
+    plain = [byte_bpe.pack(e.ids) for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for text, ids in zip(texts, plain, strict=True):
+        assert encoder.encode([text, None, "the common words of every text"])[0] == ids
+        assert encoder.held <= 200_000 and all(len(p) <= byte_bpe.LONG for p in encoder.known)
+        assert encoder.held == sum(map(encoder._size, encoder.known))
+    encoder.forget()
+    assert not encoder.known and not encoder.held
