@@ -56,7 +56,8 @@ from lakestrata.operators.transforms import (
     map_column_values,
     rename_columns,
 )
-from lakestrata.plans.facts import StarSpec, stalled_by_type, stalled_by_unit, stalled_cases
+from lakestrata.plans.facts import StarSpec, detail_from_latest, stalled_by_type, stalled_by_unit, stalled_cases, stalled_cases_from_detail
+from lakestrata.plans.incremental_facts import merge_day
 from lakestrata.plans.layers import (
     duplicate_raw_files,
     extract_responses,
@@ -69,10 +70,12 @@ from lakestrata.plans.layers import (
     standardize,
 )
 from lakestrata.session import session_key, shared_dir
+from lakestrata.sinks.bucketed import join_bucketed, write_bucketed
 from lakestrata.sinks.committed import replace_committed
 from lakestrata.sinks.writers import write_csv, write_json, write_parquet, write_xml
-from lakestrata.sources.files import read_csv, read_json, read_latest_snapshot, read_parquet, select_raw_files
+from lakestrata.sources.files import raw_pattern, read_csv, read_json, read_latest_snapshot, read_parquet, select_raw_files
 from lakestrata.sources.layout import LakeLayout
+from lakestrata.sources.snapshots import record_snapshot
 from lakestrata.sources.split_xml import CORRUPT, read_xml_split
 from lakestrata.streaming.incremental import standardize_stream
 
@@ -247,7 +250,7 @@ FROM placed
 
 def q_latest_per_group(spark, d):
     li = table(spark, d, "lineitem")
-    return latest_per_group(li, "l_suppkey", "l_shipdate").select(
+    return latest_per_group(li, "l_suppkey", "l_shipdate", materialize=True).select(
         "l_suppkey", "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("ship_date"))
 
 
@@ -555,6 +558,47 @@ def q_ingest_movements(spark, d):
     return out.drop("request")
 
 
+def fact_stalled_incremental(spark, d):
+    """The stalled-cases fact from a state that three days were merged into, the second of them twice."""
+    mv, un, cs, ty = _star(spark, d)
+    path = shared_dir(spark, "state")
+    day = lambda k: mv.where(F.col("l_linenumber") % 3 == k)
+    for name, k in (("20240101", 0), ("20240102", 1), ("20240102", 1), ("20240103", 2)):
+        state = merge_day(day(k), path, name, SYN_SPEC)
+    return stalled_cases_from_detail(detail_from_latest(state, un, cs, ty, SYN_SPEC), as_of=AS_OF)
+
+
+def q_star_join_bucketed(spark, d):
+    """The star of ``star_left_join`` over refined tables bucketed by case: the large join moves no row."""
+    folder = shared_dir(spark, "bucketed")
+    mv = write_bucketed(movements(spark, d).select("l_orderkey", "l_linenumber", "l_suppkey"), f"{folder}/movements", "l_orderkey", 16)
+    cs = write_bucketed(cases(spark, d), f"{folder}/cases", "o_orderkey", 16, hot_factor=None)
+    out = join_bucketed(spark, mv, cs)
+    out = join_dimension(out, units(spark, d), F.col("s_suppkey") == F.col("l_suppkey"), "left", max_broadcast_rows=1_000_000)
+    out = join_dimension(out, case_types(spark, d), F.col("c_custkey") == F.col("o_custkey"), "left", max_broadcast_rows=1_000_000)
+    return out.select("l_orderkey", "l_linenumber", "l_suppkey", "s_name", "o_custkey", "c_mktsegment")
+
+
+def q_latest_snapshot_indexed(spark, d):
+    """The newest snapshot by the table's index: a newer day whose write hasn't ended isn't taken."""
+    lake = LakeLayout(shared_dir(spark, "lake"))
+    root = lake.standardized_table("sales", "orders")
+    o = _orders_text(spark, d)
+    for day, status in RAW_DAYS.items():
+        write_parquet(o.where(F.col("o_orderstatus") == status), lake.standardized("sales", "orders", day))
+        record_snapshot(spark, root, day)
+    write_parquet(o.where("o_orderkey % 2 = 0"), lake.standardized("sales", "orders", "20240104"))  # not recorded: not whole yet
+    return read_latest_snapshot(spark, root)
+
+
+def q_max_records_per_file(spark, d):
+    """A table written with at most 1000 rows a file: its rows, the files over the bound, and whether there are as many as that takes."""
+    path = shared_dir(spark, "parquet") + "/lineitem.parquet"
+    write_parquet(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), path, max_records_per_file=1000)
+    files = read_parquet(spark, path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1000).alias("n_over"), (F.count(F.lit(1)) >= F.sum("n") / 1000).alias("enough"))
+
+
 def q_xml_split_scan(spark, d):
     """The rows of ``xml_flatten`` by the split scan, elements found in all of them; none is corrupt."""
     df = read_xml_split(spark, _land_responses(spark, d), "item").drop("__source_file", "__source_pos")
@@ -667,8 +711,8 @@ ORDERS_TEXT_SCHEMA = StructType([
 def q_raw_file_selection(spark, d):
     lake = _land_raw_lake(spark, d)
     files = select_raw_files(spark, lake.raw_root, "json", "20240102", business_area="sales")
-    datasets = [r.dataset_path for r in files.select("dataset_path").distinct().collect()]
-    return conform_to_schema(read_json(spark, datasets), ORDERS_TEXT_SCHEMA)
+    found = read_json(spark, raw_pattern(lake.raw_root, "json", "20240102", "sales"), schema=ORDERS_TEXT_SCHEMA)
+    return found.withColumn("n_datasets", F.lit(files.select("dataset_path").distinct().count()).cast("bigint"))
 
 
 def q_standardize_json(spark, d):
@@ -865,6 +909,10 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": q_json_roundtrip,
     "parquet_overwrite": q_parquet_overwrite,
     "xml_flatten": q_xml_flatten,
+    "fact_stalled_incremental": fact_stalled_incremental,
+    "star_join_bucketed": q_star_join_bucketed,
+    "latest_snapshot_indexed": q_latest_snapshot_indexed,
+    "max_records_per_file": q_max_records_per_file,
     "xml_split_scan": q_xml_split_scan,
     "ingest_cases": q_ingest_cases,
     "case_types_dim": q_case_types_dim,
@@ -923,6 +971,12 @@ ORACLE_SQL: dict[str, str] = {
     "fact_by_unit": STAR_SQL + _NEWEST + "SELECT s_name AS Setor, count(*) AS qtd FROM placed GROUP BY s_name",
     "fact_by_type": STAR_SQL + _NEWEST + "SELECT c_mktsegment AS tipo, count(*) AS qtd FROM placed GROUP BY c_mktsegment",
     "fact_stalled_join_back": _FACT_SQL,
+    "fact_stalled_incremental": _FACT_SQL,
+    "max_records_per_file": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_over, true AS enough FROM lineitem",
+    "star_join_bucketed": STAR_SQL + """
+        SELECT mv.l_orderkey, mv.l_linenumber, mv.l_suppkey, s_name, o_custkey, c_mktsegment
+        FROM mv LEFT JOIN cs ON o_orderkey = l_orderkey LEFT JOIN un ON s_suppkey = l_suppkey LEFT JOIN ty ON c_custkey = o_custkey""",
+    "latest_snapshot_indexed": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",
     "fact_stalled_window": _FACT_SQL,
     "fact_by_unit_hot_group": _HOT_SQL + _NEWEST.replace("mv.*", "mvh.*").replace("FROM mv ", "FROM mvh ")
         + "SELECT s_name AS Setor, count(*) AS qtd FROM placed GROUP BY s_name",
@@ -1070,7 +1124,7 @@ SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS IdTipoProcedimento, c_mktsegment A
         SELECT DISTINCT IdAndamento, IdUnidade AS Unidade, IdUsuario AS Usuario, IdTarefa, DataHora,
                request AS IdProcedimentoFormatado FROM allr
         WHERE request IN (SELECT l_returnflag FROM lineitem) AND request <> 'N'""",
-    "raw_file_selection": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'O'",
+    "raw_file_selection": f"SELECT {_ORDERS_TEXT}, CAST(1 AS BIGINT) AS n_datasets FROM orders WHERE o_orderstatus = 'O'",
     "standardize_json": f"SELECT {_ORDERS_TEXT}, {_AUDIT_SQL} FROM orders WHERE o_orderstatus = 'O'",
     "standardize_csv": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",
     "latest_snapshot": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable, Mapping
 from typing import Any
 
@@ -22,12 +23,36 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Pattern letters of fixed width that make up a local time.
+_TIME_PARTS = ("yyyy", "MM", "dd", "HH", "mm", "ss")
+
+
+def _rearranged(col: Column, fmt: str) -> Column | None:
+    """``yyyy-MM-dd HH:mm:ss`` text of a text in ``fmt``, null where it has another shape;
+    ``None`` if ``fmt`` isn't made of the six parts, once each, and separators."""
+    at = {part: fmt.find(part) for part in _TIME_PARTS}
+    rest = fmt
+    for part in _TIME_PARTS:
+        rest = rest.replace(part, "", 1)
+    if min(at.values()) < 0 or re.search(r"[A-Za-z'\[\]{}#]", rest):
+        return None
+    shape = re.sub(r"[A-Za-z]", "[0-9]", "".join(c if c.isalpha() else re.escape(c) for c in fmt))
+    part = {p: F.substring(col, at[p] + 1, len(p)) for p in _TIME_PARTS}
+    day = F.concat_ws("-", part["yyyy"], part["MM"], part["dd"])
+    iso = F.concat_ws(" ", day, F.concat_ws(":", part["HH"], part["mm"], part["ss"]))
+    return F.when((F.length(col) == len(fmt)) & col.rlike(f"^{shape}$"), iso)
+
+
 def parse_event_time(c: str | Column, fmt: str = EVENT_TIME_FORMAT) -> Column:
     """Text -> local timestamp (``timestamp_ntz``): the wall-clock time as written, with no
     session time zone involved, so a time that falls in a daylight-saving gap is kept as
     written and day counts do not depend on the zone. Malformed text gives null, also
-    with ANSI mode on (the strict parse only runs where the lenient one succeeded)."""
+    with ANSI mode on. A format of fixed-width parts is parsed once, by a cast of the rearranged
+    text; for any other the strict parse only runs where the lenient one succeeded."""
     col = _col(c)
+    iso = _rearranged(col, fmt)
+    if iso is not None:
+        return iso.try_cast("timestamp_ntz")
     return F.when(F.try_to_timestamp(col, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(col, F.lit(fmt)))
 
 

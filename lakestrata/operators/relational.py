@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.expressions import quoted
+from lakestrata.session import staged
 
 
 def _cols(xs: str | Column | Sequence[str | Column]) -> list[str | Column]:
@@ -106,16 +107,17 @@ def dedupe_keep_first(df: DataFrame, key: str | Sequence[str],
 
 
 def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
-                     keep_ties: bool = True, salts: int = 16) -> DataFrame:
+                     keep_ties: bool = True, salts: int = 16, materialize: bool = False) -> DataFrame:
     """Rows at the latest ``ts`` of each group; with ``keep_ties`` every tied row stays.
 
     Rows with a null key or null time are dropped first: they can never equal a group's
     maximum, exactly as in the max-then-join-back form.
 
     Rows are ranked within (keys, salt) first; the map-side group limit lets each map task send
-    only its own winners, and ``salts`` tasks share a hot key. The survivors' maximum per key then
-    joins back on (keys, time), a join that AQE can split, so masses of rows tied at one key's
+    only its own winners, and ``salts`` tasks share a hot key. The survivors are written once (the input is
+    read once); their maximum per key then joins back on (keys, time), a join that AQE can split, so masses of rows tied at one key's
     maximum, copies or distinct, never meet in one task. ``salts=1`` ranks in one step.
+    ``materialize`` writes the survivors once, so the input is read and ranked once, not twice.
     """
     keys = _cols(keys)
     ts_col = F.col(ts) if isinstance(ts, str) else ts
@@ -129,6 +131,7 @@ def latest_per_group(df: DataFrame, keys: str | Sequence[str], ts: str | Column,
         local = Window.partitionBy(*keys, "__salt").orderBy(ts_col.desc())
         rows = rows.select("*", salt).withColumn("__rk", rank_fn.over(local)).where("__rk = 1").drop("__rk", "__salt")
         if keep_ties:
+            rows = staged(rows, "local-winners") if materialize else rows
             maxes = rows.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max(ts_col).alias("__max"))
             same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)], ts_col == F.col("__max"))
             return rows.join(maxes, same).select(*[F.col(quoted(c)) for c in df.columns])
@@ -216,6 +219,28 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Co
     return fact.join(dim, on, how)
 
 
+def might_match(df: DataFrame, column: str, keys: DataFrame, bits: int = 24, max_keys: int = 1 << 22) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among ``keys`` (its first column): a bit map of key hashes
+    below a shuffle that the exact join follows.
+
+    Rows with a null key go, every row with a wanted key stays, and others pass by chance (a share of
+    keys / 2**bits). The map is a table of 64-bit words, ``2**(bits - 6)`` at most (4 MB), joined by
+    broadcast whatever the number of keys. More than ``max_keys`` keys (counted by a bounded job) would fill it:
+    then ``df`` comes back as it is, and also where the two types differ.
+    """
+    name = keys.columns[0]
+    if df.schema[column].dataType != keys.schema[name].dataType:
+        return df
+    if keys.limit(max_keys + 1).count() > max_keys:
+        return df
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    words = (keys.where(F.col(quoted(name)).isNotNull()).select(place(F.col(quoted(name))).alias("__p"))
+             .groupBy(F.shiftright("__p", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__p & 63 AS int))")).alias("__mask")))
+    probed = df.where(F.col(quoted(column)).isNotNull()).withColumn("__p", place(F.col(quoted(column)))).withColumn("__word", F.shiftright("__p", 6))
+    hit = F.expr("(shiftrightunsigned(__mask, cast(__p & 63 AS int)) & 1L) = 1L")
+    return probed.join(F.broadcast(words), "__word").where(hit).drop("__p", "__word", "__mask")
+
+
 # --- SQL over named frames -----------------------------------------------------------------
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:

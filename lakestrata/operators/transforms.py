@@ -8,13 +8,14 @@ collapses a whole chain into a single ``Project`` inside the scan's codegen stag
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from lakestrata.fixed import (
     AUDIT_LOAD_TS,
@@ -28,7 +29,7 @@ from lakestrata.fixed import (
     NOT_INFORMED,
 )
 from lakestrata.functions.expressions import clean_string, map_values, quoted
-from lakestrata.session import checkpoint_root
+from lakestrata.session import checkpoint_root, staged
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -90,45 +91,67 @@ def add_audit_columns(df: DataFrame, load_ts: Any = None) -> DataFrame:
 
 
 def add_surrogate_key(df: DataFrame, name: str, order_by: Sequence[str | Column] = (),
-                      num_partitions: int | None = None, materialize: bool = True) -> DataFrame:
+                      num_partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Contiguous ``1..n`` key (bigint) without moving the table into one partition.
 
-    With ``order_by`` the rows are range-partitioned and sorted on it, so the key follows
-    that order; without it the key follows the input's partition order (the reference's key
-    has no defined order). Each row gets its position inside its partition from
-    ``monotonically_increasing_id``; the per-partition row counts (one row per partition,
-    a bounded table) are prefix-summed and broadcast back as offsets.
-
-    ``materialize`` checkpoints the tagged rows to the shared checkpoint folder so the
-    count pass and the numbering pass see the same rows in the same partitions even if an
-    executor is lost and a task re-runs.
+    With ``order_by`` the key follows that order; without it the key has no meaning but to be
+    contiguous (as the reference's). Rows are put into ranges by splitters from a bounded sample,
+    compared on the order and then on a hash of the whole row, so one order value holding a third of the
+    rows is cut over several ranges. Rows are counted by range, and a row's key is the rows of the ranges before
+    plus its place in its own. The range depends on the row alone, so a task that is run again
+    gives the same keys and nothing is copied; ``df`` is read three times and must give the
+    same rows each time. Rows that agree in all columns share a range.
+
+    ``materialize`` checkpoints the rows instead (to the shared checkpoint folder) and numbers them by their
+    partition and place there: for inputs that differ from run to run, columns of map type, descending
+    orders, or masses of equal rows, which it cuts by their input position.
     """
+    directed = any(re.search(r"\b(ASC|DESC)\b", str(c)) for c in order_by if isinstance(c, Column))
+    if materialize or directed or any(isinstance(f.dataType, MapType) for f in df.schema.fields):
+        return _key_by_position(df, name, order_by, num_partitions)
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by], F.xxhash64(*[F.col(quoted(c)) for c in df.columns]))
+    sample = df.select(place.alias("__sk_at")).orderBy(F.rand(7)).limit(100 * n)
+    # a bounded sample: one small task sorts it
+    nth = sample.withColumn("i", F.row_number().over(Window.orderBy("__sk_at"))).where(F.col("i") % 100 == 0).agg(F.sort_array(F.collect_set("__sk_at")).alias("__sk_cuts"))
+    cuts = F.broadcast(staged(nth, "splitters").withColumn("__sk_one", F.lit(1)))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, n.bit_length())))])
+    # binary search: how many splitters are at or below the row
+    below = F.aggregate(steps, F.lit(0), lambda low, step: F.when((low + step <= F.size("__sk_cuts")) & (F.get("__sk_cuts", low + step - 1) <= F.col("__sk_at")), low + step).otherwise(low))
+    ranged = df.withColumns({"__sk_at": place, "__sk_one": F.lit(1)}).join(cuts, "__sk_one").withColumn("__sk_pid", below).drop("__sk_cuts", "__sk_one")
+    offsets = F.broadcast(staged(_offsets(ranged), "range-offsets"))
+    here = Window.partitionBy("__sk_pid").orderBy("__sk_at")
+    out = ranged.withColumn("__sk_pos", F.row_number().over(here)).join(offsets, "__sk_pid")
+    return out.withColumn(name, (F.col("__sk_off") + F.col("__sk_pos")).cast("bigint")).drop("__sk_at", "__sk_pid", "__sk_pos", "__sk_off")
+
+
+def _offsets(tagged: DataFrame) -> DataFrame:
+    """Rows before each ``__sk_pid``: one row per partition or range, so the window is bounded by their number."""
+    counts = tagged.groupBy("__sk_pid").agg(F.count(F.lit(1)).alias("__sk_n"))
+    before = Window.orderBy("__sk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("__sk_pid", F.coalesce(F.sum("__sk_n").over(before), F.lit(0)).alias("__sk_off"))
+
+
+def _key_by_position(df: DataFrame, name: str, order_by: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+    """The key from each row's partition and position in a checkpointed copy."""
     spark = df.sparkSession
     if order_by:
         n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         # The input position breaks ties, so one order value holding a third of the rows is
         # spread over several range partitions instead of landing in one task.
         tie = F.monotonically_increasing_id().alias("__sk_in")
-        ranged = (df.select("*", tie)
-                    .repartitionByRange(n, *order_by, "__sk_in")
-                    .sortWithinPartitions(*order_by, "__sk_in")
-                    .drop("__sk_in"))
-    else:
-        ranged = df
-    tagged = ranged.withColumn("__sk_mid", F.monotonically_increasing_id())
-    if materialize:
-        checkpoint_root(spark)
-        tagged = tagged.checkpoint(eager=True)
+        df = (df.select("*", tie)
+                .repartitionByRange(n, *order_by, "__sk_in")
+                .sortWithinPartitions(*order_by, "__sk_in")
+                .drop("__sk_in"))
+    checkpoint_root(spark)
+    tagged = df.withColumn("__sk_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
     tagged = tagged.withColumns({
         "__sk_pid": F.shiftright("__sk_mid", 33),
         "__sk_pos": F.col("__sk_mid").bitwiseAND(F.lit((1 << 33) - 1)),
     })
-    counts = tagged.groupBy("__sk_pid").agg(F.count(F.lit(1)).alias("__sk_n"))
-    # One row per partition: a single-partition window here is bounded by the partition count.
-    before = Window.orderBy("__sk_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "__sk_pid", F.coalesce(F.sum("__sk_n").over(before), F.lit(0)).alias("__sk_off"))
-    out = tagged.join(F.broadcast(offsets), "__sk_pid").withColumn(
+    out = tagged.join(F.broadcast(_offsets(tagged)), "__sk_pid").withColumn(
         name, (F.col("__sk_off") + F.col("__sk_pos") + F.lit(1)).cast("bigint"))
     return out.drop("__sk_mid", "__sk_pid", "__sk_pos", "__sk_off")
 

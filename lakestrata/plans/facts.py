@@ -9,8 +9,9 @@ joins, not distinct cases.
 
 Plan (``method="aggregate"``, the default; checked with ``explain``):
 
-1. scan movements with the task filter pushed to Parquet, parse the time once, drop rows
-   with a null unit or case (rows with a null time can never be a group's maximum:
+1. scan movements with the task filter pushed to Parquet, drop rows with a null unit or case and
+   rows whose unit or case a bit map of the eligible keys rules out (a bounded broadcast, below
+   the first shuffle), parse the time once (rows with a null time can never be a group's maximum:
    ``max`` skips them, and a group with no valid time is dropped after step 3);
 2. count movements per (unit, case, time): partial aggregation before the shuffle, so
    copies of one movement collapse map-side however many there are;
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import fixed
 from lakestrata.functions.expressions import days_since, parse_event_time
-from lakestrata.operators.relational import latest_per_group, latest_per_group_join_back, replicate_rows
+from lakestrata.operators.relational import latest_per_group, latest_per_group_join_back, might_match, replicate_rows
 
 
 @dataclass(frozen=True)
@@ -96,6 +97,12 @@ def latest_movements(movements: DataFrame, spec: StarSpec = DEFAULT_SPEC,
     return rows.groupBy("__unit", "__case", "__ts").agg(F.count(F.lit(1)).alias("__n"))
 
 
+def _only_eligible(movements: DataFrame, units: DataFrame, cases: DataFrame, case_types: DataFrame, spec: StarSpec) -> DataFrame:
+    """Movements whose unit and case may survive the joins, told by bit maps of the eligible keys."""
+    out = might_match(movements, spec.move_case, _eligible_cases(cases, case_types, spec).select("__ccode"))
+    return might_match(out, spec.move_unit, _eligible_units(units, spec).select("__ukey"))
+
+
 def _eligible_units(units: DataFrame, spec: StarSpec) -> DataFrame:
     # `!=` drops a null name, as the SQL comparison does.
     return (units.where(F.col(spec.unit_name) != F.lit(spec.excluded_unit))
@@ -112,13 +119,20 @@ def _eligible_cases(cases: DataFrame, case_types: DataFrame, spec: StarSpec) ->
 
 def stalled_detail(movements: DataFrame, units: DataFrame, cases: DataFrame,
                    case_types: DataFrame, spec: StarSpec = DEFAULT_SPEC,
-                   method: str = "aggregate") -> DataFrame:
+                   method: str = "aggregate", prefilter: bool = True) -> DataFrame:
     """Latest movement of each group joined to its unit and case type.
 
     Columns: ``__case, __unit, __ts, __uname, __tname, __n``: one row per surviving join
-    combination, ``__n`` the number of tied movements it stands for.
+    combination, ``__n`` the number of tied movements it stands for. With ``prefilter`` movements of
+    other units and cases go before the first shuffle (see ``might_match``).
     """
-    latest = latest_movements(movements, spec, method)
+    if prefilter:
+        movements = _only_eligible(movements, units, cases, case_types, spec)
+    return detail_from_latest(latest_movements(movements, spec, method), units, cases, case_types, spec)
+
+
+def detail_from_latest(latest: DataFrame, units: DataFrame, cases: DataFrame, case_types: DataFrame, spec: StarSpec = DEFAULT_SPEC) -> DataFrame:
+    """Rows of ``latest_movements`` (or of the state kept day by day) joined to unit and case type."""
     return (latest
             .join(_eligible_units(units, spec), F.col("__unit") == F.col("__ukey"))
             .join(_eligible_cases(cases, case_types, spec), F.col("__case") == F.col("__ccode"))

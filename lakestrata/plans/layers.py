@@ -31,6 +31,7 @@ from lakestrata.plans.facts import (
     stalled_detail,
 )
 from lakestrata.session import checkpoint_root
+from lakestrata.sinks.committed import path_exists
 from lakestrata.sinks.writers import publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
     read_latest_snapshot,
@@ -38,9 +39,11 @@ from lakestrata.sources.files import (
     read_xml,
     relative_path,
     select_raw_files,
+    snapshot_days,
 )
 from lakestrata.sources.layout import LakeLayout, date_key
 from lakestrata.sources.raw_files import read_raw_csv, read_raw_json
+from lakestrata.sources.snapshots import record_snapshot, snapshot_index
 from lakestrata.sources.split_xml import CORRUPT, SOURCE_FILE, SOURCE_POS, read_xml_split
 
 
@@ -173,6 +176,16 @@ STATUS_SCHEMA = ("business_area string, source_system string, endpoint string, "
                  "n_rows bigint, n_duplicates bigint, n_corrupt bigint, ok boolean, error string")
 
 
+def _days_without_index(spark: SparkSession, table_root: str, ext: str) -> list[str]:
+    """Days of a table that has no snapshot index yet (a name for each day)."""
+    if snapshot_index(spark, table_root) is not None or not path_exists(spark, table_root):
+        return []
+    try:
+        return [r.d for r in snapshot_days(spark, table_root, ext).collect()]
+    except FileNotFoundError:
+        return []
+
+
 def _duplicates_by_file(raw: DataFrame, layout: LakeLayout) -> DataFrame:
     """``duplicate_files`` of raw rows; the part files of a dataset that Spark wrote are one file."""
     parts = F.split(relative_path(SOURCE_FILE, layout.raw_root), "/")
@@ -225,6 +238,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
     each file. CSV files are read under their own headers and united by name. What can't be read is
     counted in ``n_corrupt`` by the write itself, with or without ``check_integrity``, and ``ok`` is
     false: JSON records that are no JSON are left out, CSV rows keep the values their header names.
+    A table's day is entered in its snapshot index once it is written.
     """
     if output_format not in ("parquet", "delta"):
         raise ValueError(f"unknown output format {output_format!r}")
@@ -250,7 +264,10 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
             for c in names:  # a text without any field that could be read
                 lost = lost & F.col(quoted(c)).isNull()
             writer = write_delta if output_format == "delta" else write_parquet
+            table_root = target.standardized_table(t.business_area, t.endpoint, t.source_system)
+            earlier = _days_without_index(spark, table_root, output_format)
             writer(add_audit_columns(df.where(~lost).drop(CORRUPT, SOURCE_FILE), load_ts), out_path)
+            record_snapshot(spark, table_root, day, output_format, earlier=earlier)
             n_corrupt = int(bad.get["n_corrupt"])
             ok = not n_corrupt
             if check_integrity:

@@ -6,7 +6,7 @@ single renamed file. So a write that fails midway leaves the old version readabl
 the version it began with, and a table can be replaced by rows read from itself.
 
     {path}/versions/{version}/*.parquet
-    {path}/commits/*.json               seq, version, n_rows
+    {path}/commits/*.json               seq, version, n_rows, note
 """
 
 from __future__ import annotations
@@ -15,21 +15,21 @@ import re
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators.quality import observe_rows
 
-COMMITS = "seq bigint, version string, n_rows bigint"
+COMMITS = "seq bigint, version string, n_rows bigint, note string"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder is there, asked of its own file system (a failed read would log an error)."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
         try:
-            return spark.read.schema(COMMITS).json(path) is not None
+            return spark.read.schema("x string").json(path) is not None
         except AnalysisException:
             return False
     at = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -39,14 +39,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def commits(spark: SparkSession, path: str) -> DataFrame | None:
     """The commits of a table, one row for each version; ``None`` if it isn't kept by commits."""
     folder = f"{path.rstrip('/')}/commits"
-    return spark.read.schema(COMMITS).json(folder) if _exists(spark, folder) else None
+    return spark.read.schema(COMMITS).json(folder) if path_exists(spark, folder) else None
 
 
-def current_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """Number and name of the last committed version. Of two writers that committed the same number, the greater name holds."""
+def current_version(spark: SparkSession, path: str) -> Row | None:
+    """The last commit (``seq version note``). Of two writers that committed the same number, the greater name holds."""
     listed = commits(spark, path)
-    last = None if listed is None else listed.agg(F.max(F.struct("seq", "version")).alias("last")).first().last
-    return (last.seq, last.version) if last else None
+    return None if listed is None else listed.agg(F.max(F.struct("seq", "version", "note")).alias("last")).first().last
 
 
 def resolve(spark: SparkSession, path: str) -> str:
@@ -54,7 +53,7 @@ def resolve(spark: SparkSession, path: str) -> str:
     if re.search(r"[*?\[\]{}]", path):
         return path
     last = current_version(spark, path)
-    return f"{path.rstrip('/')}/versions/{last[1]}" if last else path
+    return f"{path.rstrip('/')}/versions/{last.version}" if last else path
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
@@ -62,13 +61,13 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     last = current_version(spark, path)
     if last is None:
         raise FileNotFoundError(f"no committed version under {path}")
-    return spark.read.parquet(f"{path.rstrip('/')}/versions/{last[1]}")
+    return spark.read.parquet(f"{path.rstrip('/')}/versions/{last.version}")
 
 
-def replace_committed(df: DataFrame, path: str, max_records_per_file: int | None = None) -> int:
+def replace_committed(df: DataFrame, path: str, max_records_per_file: int | None = None, note: str | None = None) -> int:
     """Replace the table at ``path`` by ``df``; returns the number of rows (counted by the write).
 
-    ``df`` may read the table itself. If the write fails, its error is raised and nothing has changed.
+    ``df`` may read the table itself. ``note`` is kept with the commit (what the rows were made from, say). If the write fails, its error is raised and nothing has changed.
     """
     spark, root = df.sparkSession, path.rstrip("/")
     last = current_version(spark, root)
@@ -79,7 +78,7 @@ def replace_committed(df: DataFrame, path: str, max_records_per_file: int | None
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.parquet(f"{root}/versions/{version}")
     n_rows = int(seen.get["n_rows"])
-    spark.createDataFrame([(last[0] + 1 if last else 1, version, n_rows)], COMMITS).coalesce(1).write.mode("append").json(f"{root}/commits")
+    spark.createDataFrame([(last.seq + 1 if last else 1, version, n_rows, note)], COMMITS).coalesce(1).write.mode("append").json(f"{root}/commits")
     return n_rows
 
 

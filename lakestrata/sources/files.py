@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from lakestrata.fixed import RAW_FILE_TYPES
 from lakestrata.functions.expressions import file_extension
 from lakestrata.sinks.committed import resolve
+from lakestrata.sources.snapshots import newest_indexed_day
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -168,23 +169,36 @@ def select_raw_files(spark: SparkSession, raw_root: str, file_type: str, ingesti
     return files
 
 
-def latest_snapshot_date(spark: SparkSession, table_root: str, ext: str = "parquet") -> str:
-    """Newest ``yyyyMMdd`` folder of a table that holds ``{table}_{d}.{ext}`` (one aggregate job)."""
+def snapshot_days(spark: SparkSession, table_root: str, ext: str = "parquet") -> DataFrame:
+    """``d``: the ``yyyyMMdd`` folders of a table that hold ``{table}_{d}.{ext}``, by listing."""
     table = table_root.rstrip("/").rsplit("/", 1)[-1]
     try:  # only days that hold the table's own snapshot
         files = list_files(spark, f"{table_root.rstrip('/')}/*/{_glob_part(table)}_*.{ext}")
     except FileNotFoundError as e:
         raise FileNotFoundError(f"no dated snapshot under {table_root}") from e
     day = F.element_at(F.split(relative_path("path", table_root), "/"), 1)
-    newest = (files.select(day.alias("d"))
-                   .where(F.col("d").rlike(r"^[0-9]{8}$"))
-                   .agg(F.max("d").alias("d"))
-                   .first())
+    return files.select(day.alias("d")).where(F.col("d").rlike(r"^[0-9]{8}$")).distinct()
+
+
+def latest_snapshot_date(spark: SparkSession, table_root: str, ext: str = "parquet") -> str:
+    """Newest complete day of a table: from its snapshot index (one aggregate over a small table), or where it
+    has none, the newest ``yyyyMMdd`` folder that holds ``{table}_{d}.{ext}`` (by listing)."""
+    indexed = newest_indexed_day(spark, table_root, ext)
+    if indexed is not None:
+        return indexed
+    newest = snapshot_days(spark, table_root, ext).agg(F.max("d").alias("d")).first()
     if newest is None or newest["d"] is None:
         raise FileNotFoundError(f"no dated snapshot under {table_root}")
     return newest["d"]
 
 
+def raw_pattern(raw_root: str, file_type: str, date: str, business_area: str | None = None) -> str:
+    """Path pattern of the datasets that ``select_raw_files`` selects, for one read of them all
+    without their paths on the driver."""
+    letters = "".join(f"[{c.lower()}{c.upper()}]" for c in file_type)
+    return f"{raw_root.rstrip('/')}/{_glob_part(business_area)}/*/*/{_glob_part(date)}/*.{letters}"
+
+
 def latest_snapshot_path(spark: SparkSession, table_root: str, ext: str = "parquet") -> str:
     """Path of the newest snapshot: ``{table_root}/{d}/{table}_{d}.{ext}``."""
     d = latest_snapshot_date(spark, table_root, ext)

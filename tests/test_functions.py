@@ -96,3 +96,26 @@ def test_local_time_text(spark):
     r = df.select(*[local_time_text("ts", f).alias(f"f{i}") for i, f in enumerate(
         ["dd/MM/yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyyMMdd", "01/MM/yyyy 00:00:00"])]).first()
     assert tuple(r) == ("05/03/2024 10:11:12", "2024-03-05 10:11:12", "2024-03-05", "20240305", "01/03/2024 00:00:00")
+
+
+def test_event_times_are_parsed_once_and_as_before(spark):
+    import itertools
+
+    from pyspark.sql import functions as F
+
+    from lakestrata.functions.expressions import parse_event_time
+
+    texts = ["01/02/2024 03:04:05", "31/02/2024 00:00:00", "29/02/2024 23:59:59", "1/2/2024 3:4:5", " 01/02/2024 03:04:05", "01/02/2024 03:04:05 ", "01/02/2024 24:00:00",
+             "01-02-2024 03:04:05", "01/02/2024T03:04:05", "", None, "NaN", "01/13/2024 00:00:00", "00/01/2024 00:00:00", "01/01/0001 00:00:00", "aa/bb/cccc dd:ee:ff", "01/02/2024 03:60:05",
+             "01/02/2024 03:04:05\n", "31/12/9999 23:59:59", "10/03/2024 02:30:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    slow = F.when(F.try_to_timestamp("t", F.lit("dd/MM/yyyy HH:mm:ss")).isNotNull(), F.to_timestamp_ntz("t", F.lit("dd/MM/yyyy HH:mm:ss")))
+    for r in df.select("t", parse_event_time("t").alias("fast"), slow.alias("slow")).collect():
+        assert r.fast == r.slow, r
+    # other orders of the parts, and formats that take the general path
+    forms = {"yyyyMMdd HHmmss": "20240201 030405", "ss:mm:HH yyyy.MM.dd": "05:04:03 2024.02.01", "yyyy-MM-dd'T'HH:mm:ss": "2024-02-01T03:04:05"}
+    for (fmt, text), (_, other) in itertools.product(forms.items(), forms.items()):
+        got = spark.createDataFrame([(other,)], "t string").select(parse_event_time("t", fmt).alias("x")).first().x
+        assert (got is not None) == (text == other)
+    plan = df.select(parse_event_time("t").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan.lower() and "to_timestamp" not in plan.lower()

@@ -137,3 +137,32 @@ def test_names_with_dots_and_codes_to_names(spark):
     assert clean_string_columns(out, ["c.d"]).first() == ("Male", "A")
     schema = StructType([StructField("a.b", LongType())]) if "LongType" in globals() else None
     assert schema is None or conform_to_schema(df, schema).first()[0] == 1
+
+
+def test_surrogate_key_by_ranges_makes_no_copy(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    spark.range(0, 9000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), "id",
+                                                 F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("v"), "id")).alias("s")).write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    out = add_surrogate_key(df, "sk", ["k"], num_partitions=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan  # no checkpoint
+    rows = out.collect()
+    assert sorted(r.sk for r in rows) == list(range(1, 9001)) and out.columns == ["k", "id", "s", "sk"]
+    assert [r.k for r in sorted(rows, key=lambda r: r.sk)] == sorted(r.k for r in rows)
+    assert {r.id: r.sk for r in rows} == {r.id: r.sk for r in add_surrogate_key(df.repartition(3), "sk", ["k"], num_partitions=8).collect()}
+    hot = add_surrogate_key(df, "sk", ["k"], num_partitions=8).where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert len(hot) > 1  # its 3000 rows are cut over several ranges
+    by_text = add_surrogate_key(df, "sk", ["s"], num_partitions=4).collect()
+    assert [r.s for r in sorted(by_text, key=lambda r: r.sk)] == sorted((r.s for r in rows), key=lambda x: (x is not None, x or ""))
+
+
+def test_surrogate_key_of_other_inputs(spark):
+    from pyspark.sql import functions as F
+
+    assert add_surrogate_key(spark.range(0), "sk", ["id"]).count() == 0
+    df = spark.range(50)
+    assert [r.sk for r in add_surrogate_key(df, "sk", [F.col("id").desc()]).orderBy("id").collect()] == list(range(50, 0, -1))
+    assert sorted(r.sk for r in add_surrogate_key(df.withColumn("m", F.create_map(F.lit("a"), "id")), "sk").collect()) == list(range(1, 51))
+    assert [r.sk for r in add_surrogate_key(df.select((-F.col("id")).alias("a.b")), "sk", [F.col("`a.b`")]).orderBy("`a.b`").collect()] == list(range(1, 51))
