@@ -128,8 +128,8 @@ def _unpack(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, dim)
 
 
-def exact_top(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its ``k`` best candidates with another id: place of the query, ids, scores.
+def exact_top(q: np.ndarray, q_rows: np.ndarray, x: np.ndarray, x_rows: np.ndarray, x_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query its ``k`` best candidates but its own row: place of the query, ids, scores.
 
     A matrix product finds the candidates within rounding of the k-th best; these are scored
     again, one sum in component order, so that equal vectors get equal scores and ties go to the
@@ -137,7 +137,7 @@ def exact_top(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray
     """
     for a in range(0, len(q), 256):
         s = q[a : a + 256] @ x.T
-        s[q_ids[a : a + 256, None] == x_ids[None, :]] = -np.inf
+        s[q_rows[a : a + 256, None] == x_rows[None, :]] = -np.inf
         for i, row in enumerate(s):
             real = int(np.isfinite(row).sum())
             if not real:
@@ -151,7 +151,7 @@ def exact_top(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray
 
 
 def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedding", k: int = 20, query_every: int = 20,
-            max_sample: int = 8192, part_rows: int = 4096, max_parts: int = 256, target_recall: float = 0.93,
+            max_sample: int = 8192, part_rows: int = 4096, least_parts: int = 8, max_parts: int = 256, target_recall: float = 0.93,
             block_rows: int = 8192, block_queries: int = 2048) -> DataFrame:
     """``query_id rank vec_id score``: for each row whose id is divisible by ``query_every`` its ``k``
     nearest other rows found, by inner product in double precision, ties to the smaller id.
@@ -162,7 +162,11 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedd
     sample. Parts are searched in blocks of about ``block_rows`` vectors and ``block_queries``
     queries, so copies of one vector spread over many tasks. Vectors that are null, zero, of
     another length than most, or hold null or non-finite components take no part, nor do null
-    ids. Of rows that share an id the one with the least vector counts. No vectors: no rows.
+    ids. Rows that agree in id and vector count as one; rows that share an id only are rows of their own, each
+    a candidate of the other. Other columns are not read. No vectors: no rows.
+
+    There are at least ``least_parts`` parts where the sample has 64 vectors for each, and one more doubling while
+    parts would hold over ``part_rows`` vectors, up to ``max_parts`` and 64 sampled vectors a part.
     """
     spark = vectors.sparkSession
     base = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
@@ -173,19 +177,19 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedd
     if not lengths:
         return spark.createDataFrame([], schema)
     dim = lengths[0].dim
-    base = base.where(F.size("v") == dim).groupBy("vec_id").agg(F.min("v").alias("v"))
+    base = base.where(F.size("v") == dim).distinct()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("<f8").reshape(-1, dim)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["vec_id", "v"])
 
-    packed = stage(base.mapInArrow(pack, "vec_id long, v binary"), "vectors")
+    packed = stage(base.mapInArrow(pack, "vec_id long, v binary").withColumn("row", F.monotonically_increasing_id()).select("vec_id", "v", "row"), "vectors")
     total = packed.count()
-    sample = packed.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max_sample).collect()
+    sample = packed.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(max_sample).select("v").collect()
     x = np.frombuffer(b"".join(bytes(r.v) for r in sample), "<f8").reshape(-1, dim)
     parts = 1
-    while parts * 2 <= max_parts and parts * part_rows < total and parts * 64 <= len(x):
+    while parts * 2 <= max_parts and (parts < least_parts or parts * part_rows < total) and parts * 2 * 64 <= len(x):
         parts *= 2
     graph = neighbour_graph(x, 10)
     part = balanced_parts(x, graph, parts)
@@ -199,9 +203,9 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedd
             y = _unpack(batch.column(1), dim)
             order = r.order(y, probes) if r is not None else np.zeros((len(y), 1), np.int64)
             listed = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * order.shape[1]), pa.array(order.ravel().astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, listed], names=["vec_id", "v", "parts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, listed], names=["vec_id", "v", "row", "parts"])
 
-    placed = stage(packed.mapInArrow(place, "vec_id long, v binary, parts array<int>"), "placed")
+    placed = stage(packed.mapInArrow(place, "vec_id long, v binary, row long, parts array<int>"), "placed")
     queries = placed.where(F.col("vec_id") % query_every == 0)
     # a row for each part, max_parts at most
     rows = {r.p: r.n for r in placed.groupBy(F.col("parts")[0].alias("p")).agg(F.count("*").alias("n")).collect()}
@@ -210,24 +214,26 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector: str = "embedd
                                  "part int, rb int, qb int")
     spread = lambda df, own, other, salt: (
         df.join(F.broadcast(grid), "part")
-        .withColumn("own", F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col(own)).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("row", F.lit(salt)), F.col(own)).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1))))
-    left = spread(placed.select("vec_id", "v", F.col("parts")[0].alias("part")), "rb", "qb", 3).select("vec_id", "v", "part", F.col("own").alias("r"), F.col("other").alias("q"))
-    right = spread(queries.select("vec_id", "v", F.explode("parts").alias("part")), "qb", "rb", 4).select("vec_id", "v", "part", F.col("other").alias("r"), F.col("own").alias("q"))
+    left = spread(placed.select("vec_id", "v", "row", F.col("parts")[0].alias("part")), "rb", "qb", 3).select("vec_id", "v", "row", "part", F.col("own").alias("r"), F.col("other").alias("q"))
+    right = spread(queries.select("vec_id", "v", "row", F.explode("parts").alias("part")), "qb", "rb", 4).select("vec_id", "v", "row", "part", F.col("other").alias("r"), F.col("own").alias("q"))
 
     def search(candidates: pa.Table, wanted: pa.Table) -> pa.Table:
-        ids, found = [], []
+        asked, ids, rows, found = [], [], [], []
         if len(candidates) and len(wanted):
-            y, y_ids = _unpack(candidates.column(1), dim), candidates.column(0).to_numpy()
-            z, z_ids = _unpack(wanted.column(1), dim), wanted.column(0).to_numpy()
-            for i, near, scores in exact_top(z, z_ids, y, y_ids, k):
-                ids.append(np.full(len(near), z_ids[i], np.int64))
-                found.append((near, scores))
+            y, y_ids, y_rows = _unpack(candidates.column(1), dim), candidates.column(0).to_numpy(), candidates.column(2).to_numpy()
+            z, z_ids, z_rows = _unpack(wanted.column(1), dim), wanted.column(0).to_numpy(), wanted.column(2).to_numpy()
+            for i, near, scores in exact_top(z, z_rows, y, y_rows, y_ids, k):
+                asked.append(np.full(len(near), z_ids[i], np.int64))
+                rows.append(np.full(len(near), z_rows[i], np.int64))
+                ids.append(near)
+                found.append(scores)
         cat = lambda xs, t: np.concatenate(xs) if xs else np.zeros(0, t)
-        return pa.table({"query_id": cat(ids, np.int64), "vec_id": cat([f[0] for f in found], np.int64), "score": cat([f[1] for f in found], np.float64)})
+        return pa.table({"query_id": cat(asked, np.int64), "row": cat(rows, np.int64), "vec_id": cat(ids, np.int64), "score": cat(found, np.float64)})
 
     keys = ["part", "r", "q"]
-    left, right = left.toDF("vec_id", "v", *keys), right.toDF("query_id", "w", *keys)
-    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    left, right = left.toDF("vec_id", "v", "row", *keys), right.toDF("query_id", "w", "own", *keys)
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, row long, vec_id long, score double")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
