@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 from .common import stage
 
 #: Canonical roles and the speaker words that may stand for them.
-ROLES = ("system", "user", "assistant")
+ROLES = ("system", "user", "assistant", "tool")
 SPEAKERS = {"system": 1, "instructions": 1, "user": 2, "human": 2, "customer": 2, "question": 2, "q": 2, "assistant": 3, "ai": 3, "bot": 3,
-            "agent": 3, "answer": 3, "a": 3}
+            "agent": 3, "answer": 3, "a": 3, "tool": 4, "function": 4, "result": 4}
 MARKER = re.compile(r"^\s*(?:#+\s*|\*\*|\[|<\|?)?(" + "|".join(sorted(SPEAKERS, key=len, reverse=True)) + r")(?:\*\*|\]|\|?>)?\s*(?::\*{0,2}|(?<=[\]>])|$)\s*", re.I)
 STATES = 3 * len(ROLES)  # role * 3 + (0 first, 1 later, 2 blank)
 START = STATES
-SYMBOLS = 4 * 4 * 2
+KINDS = 1 + len(ROLES)  # of markers, none among them
+SYMBOLS = KINDS * 4 * 2
 
 
 def symbol(line: str) -> tuple[int, str]:
@@ -50,7 +51,7 @@ class Model:
     def counted(cls, moves: np.ndarray, shown: np.ndarray) -> Model:
         """From counts, smoothed; marker class and the rest of a symbol count separately."""
         a = np.log((moves + 0.05) / (moves + 0.05).sum(1, keepdims=True))
-        s = shown.reshape(STATES, 4, 8) + 0.05
+        s = shown.reshape(STATES, KINDS, 8) + 0.05
         kinds, rest = s.sum(2), s.sum(1)
         e = np.log(kinds / kinds.sum(1, keepdims=True))[:, :, None] + np.log(rest / rest.sum(1, keepdims=True))[:, None, :]
         return cls(a, e.reshape(STATES, SYMBOLS))
@@ -195,15 +196,16 @@ def transcript_lines(conversations: DataFrame, *, drop_marker: float = 0.15) ->
     Each conversation has one of four marker styles (by the hash of its id); a share
     ``drop_marker`` of the later turns has no marker, as in transcripts found in the wild. Turns
     are parted by a blank line. ``pos`` is the turn number times 2^32 plus the line's number in
-    it; repeated rows of one turn follow each other by role and text. Roles other than the three are left out; null texts are empty, null turns -1.
+    it; repeated rows of one turn follow each other by role and text. Roles other than the first three,
+    null too, are turns of the role ``tool``; null texts are empty, null turns -1.
     """
-    c = conversations.select("conv_id", F.coalesce("turn", F.lit(-1)).alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
-    c = c.where(F.col("role").isin(*ROLES))
-    name = lambda user, assistant, system: (
-        F.when(F.col("role") == "user", user).when(F.col("role") == "assistant", assistant).otherwise(system))
+    role = F.when(F.col("role").isin(*ROLES), F.col("role")).otherwise(F.lit(ROLES[-1])).alias("role")
+    c = conversations.select("conv_id", F.coalesce("turn", F.lit(-1)).alias("turn"), role, F.coalesce("text", F.lit("")).alias("text"))
+    name = lambda user, assistant, system, tool: (
+        F.when(F.col("role") == "user", user).when(F.col("role") == "assistant", assistant).when(F.col("role") == "system", system).otherwise(tool))
     style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
-    marker = (F.when(style == 0, name("User: ", "Assistant: ", "System: ")).when(style == 1, name("### Human:\n", "### Assistant:\n", "### System:\n"))
-              .when(style == 2, name("[user] ", "[assistant] ", "[system] ")).otherwise(name("Q: ", "A: ", "Instructions: ")))
+    marker = (F.when(style == 0, name("User: ", "Assistant: ", "System: ", "Tool: ")).when(style == 1, name("### Human:\n", "### Assistant:\n", "### System:\n", "### Function:\n"))
+              .when(style == 2, name("[user] ", "[assistant] ", "[system] ", "[tool] ")).otherwise(name("Q: ", "A: ", "Instructions: ", "Result: ")))
     bare = (F.pmod(F.xxhash64("conv_id", "turn", F.lit("bare")), F.lit(1000)) < int(1000 * drop_marker)) & (F.col("turn") > 0)
     shown = F.concat(F.when(bare, "").otherwise(marker), "text", F.lit("\n"))
     number = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1
