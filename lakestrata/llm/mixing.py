@@ -15,9 +15,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import stage, words
 
 BLOCKS = 256  # blocks of a source
+SLICE_BITS = 54  # a block's rows in 1024 slices of the hash range
 
 
 def entropy(weights: list[float]) -> float:
@@ -94,28 +95,28 @@ def plan_sources(totals: list[tuple[str | None, int]], exponent: float, budget:
 
 def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source", id_col: str = "doc_id",
                 target_entropy: float | None = None, max_repetition: float | None = 2.0, budget: int | None = None,
-                seed: int = 17, max_sources: int = 100_000) -> tuple[DataFrame, float, list[SourcePlan]]:
+                seed: int = 17, max_sources: int = 100_000, keep_text: bool = True) -> tuple[DataFrame, float, list[SourcePlan]]:
     """Rows of ``docs``, each as often as its source's weight asks, with their place in the mix.
 
     Adds ``n_tokens`` (words of the text; null: 0), ``epoch`` (from 0), ``block``, ``mix_key``
     (share of the source's budget that precedes the block: sorting by ``mix_key, mix_tie``
-    interleaves the sources at their weights) and ``mix_tie``. Each epoch orders the source's
-    blocks anew, and the rows in a block by a hash. The cut pass takes whole blocks in its order
+    interleaves the sources at their weights) and ``mix_tie``. Rows are written once with their number, and a
+    hash of id and number deals them to blocks, so null or repeated ids spread like others. Each
+    epoch orders the source's blocks anew, and the rows in a block by that hash. The cut pass takes whole blocks in its order
     and of the next block the rows that come first, up to the budget: it falls short of it by
     less than one text. A row without tokens is taken in whole passes only, or once.
     With no ``budget`` every row is taken at least once. Null is a source of its own; repeated
-    rows count each. An empty table gives an empty result. Input columns named as those added are
+    rows count each. ``keep_text=False`` leaves the texts out of the result. An empty table gives an empty result. Input columns named as those added are
     replaced. Totals come to the driver: a row for each source, ValueError beyond
     ``max_sources``.
     """
     spark = docs.sparkSession
     added = ("n_tokens", "epoch", "block", "mix_key", "mix_tie")
-    keep = [c for c in docs.columns if c not in added]
-    h = F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed))
-    base = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.size(words(F.col(f"`{text}`"))), F.lit(0)).cast("long").alias("n_tokens"),
-                       F.coalesce(F.xxhash64(F.col(f"`{source}`")), F.lit(0)).alias("_src"),
-                       F.pmod(h, F.lit(BLOCKS)).cast("int").alias("block"), h.alias("_h"))
-    base = base.withColumn("n_tokens", F.greatest("n_tokens", F.lit(0)))
+    keep = [c for c in docs.columns if c not in added and (keep_text or c != text)]
+    words_of = F.greatest(F.coalesce(F.size(words(F.col(f"`{text}`"))), F.lit(0)), F.lit(0)).cast("long")
+    base = docs.select(*[F.col(f"`{c}`") for c in keep], words_of.alias("n_tokens"), F.coalesce(F.xxhash64(F.col(f"`{source}`")), F.lit(0)).alias("_src"),
+                       F.xxhash64(F.col(f"`{id_col}`"), F.monotonically_increasing_id(), F.lit(seed)).alias("_h"))
+    base = stage(base, "mixed").withColumn("block", F.pmod(F.xxhash64("_h"), F.lit(BLOCKS)).cast("int"))  # words are counted once
     blocks = base.groupBy(F.col(f"`{source}`").alias("source"), F.col("_src"), "block").agg(F.sum("n_tokens").alias("tokens"))
     sums = blocks.groupBy("source", "_src").agg(F.sum("tokens").alias("tokens")).limit(max_sources + 1).collect()
     if len(sums) > max_sources:
@@ -135,12 +136,19 @@ def mix_sources(docs: DataFrame, *, text: str = "text", source: str = "source",
     order = Window.partitionBy("_src", "epoch").orderBy(F.xxhash64("_src", "epoch", "block", F.lit(seed)), "block")
     placed = epochs.withColumn("_before", F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     cut = placed.where("epoch = _epochs AND _before <= _rest AND _before + tokens > _rest")
-    # of the block that the budget cuts, the rows in hash order up to it: the last hash that fits
+    # of the block that the budget cuts, the rows in hash order up to it: the last hash that fits. Whole
+    # slices of the hash range are told by their sums; only the slice that the budget cuts is gone through
+    room = cut.select("_src", "block", (F.col("_rest") - F.col("_before")).alias("_room"))
+    narrow = base.select("_src", "block", "_h", "n_tokens", F.shiftright("_h", SLICE_BITS).alias("_slice")).join(F.broadcast(room), ["_src", "block"])
+    by_slice = Window.partitionBy("_src", "block").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (narrow.groupBy("_src", "block", "_slice", "_room").agg(F.sum("n_tokens").alias("_t"))
+              .withColumn("_sum", F.coalesce(F.sum("_t").over(by_slice), F.lit(0))).where("_sum <= _room"))
+    whole = slices.where("_sum + _t <= _room").select("_src", "block", (F.shiftleft("_slice", SLICE_BITS) + ((1 << SLICE_BITS) - 1)).alias("_last"))
+    last = slices.where("_sum + _t > _room").select("_src", "block", "_slice", "_sum")  # one for each source
     row_order = Window.partitionBy("_src").orderBy("_h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    narrow = base.select("_src", "block", "_h", "n_tokens")
-    inner = (narrow.join(F.broadcast(cut.select("_src", "block", (F.col("_rest") - F.col("_before")).alias("_room"))), ["_src", "block"])
-             .withColumn("_run", F.sum("n_tokens").over(row_order)).where("_run <= _room")
-             .groupBy("_src", "block").agg(F.max("_h").alias("_last")))
+    inner = (narrow.join(F.broadcast(last), ["_src", "block", "_slice"]).withColumn("_run", F.col("_sum") + F.sum("n_tokens").over(row_order))
+             .where("_run <= _room").select("_src", "block", F.col("_h").alias("_last")).unionByName(whole)
+             .groupBy("_src", "block").agg(F.max("_last").alias("_last")))
     taken = (placed.where("epoch < _epochs OR _before + tokens <= _rest").withColumn("_last", F.lit((1 << 63) - 1))
              .unionByName(cut.drop("_last").join(inner, ["_src", "block"])))
     taken = taken.select("_src", "block", "epoch", "_last", "weight",

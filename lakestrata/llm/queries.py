@@ -103,7 +103,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    out, exponent, _ = mix_sources(docs, max_repetition=2.0)
+    out, exponent, _ = mix_sources(docs, max_repetition=2.0, keep_text=False)
     return out.select("doc_id", "source", "n_tokens", "epoch", "block", "mix_key", "mix_tie", "weight", F.lit(exponent).alias("exponent"))
 
 
