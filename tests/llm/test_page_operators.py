@@ -101,6 +101,32 @@ def test_nearest_edges(spark):
     assert ann_partitions.nearest(df.limit(0)).count() == 0
 
 
+def test_nearest_counts_every_row_of_an_id(spark):
+    rows = [(7, [5.0, 0.0]), (7, [0.1, 0.2]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann_partitions.nearest(df).collect())
+    assert got == sorted([(20, 1, 7, 5.0), (20, 2, 7, 0.1), (20, 3, 20, 0.0), (20, 1, 7, 0.2), (20, 2, 7, 0.0), (20, 3, 20, 0.0)])
+
+
+def test_nearest_routes_on_the_given_vectors(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = vectors.collect()
+    x, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
+    sample = x[np.argsort(ids)]
+    graph = ann_partitions.neighbour_graph(sample, 10)
+    part = ann_partitions.balanced_parts(sample, graph, 8)
+    assert np.bincount(part).max() <= 1.06 * len(x) / 8 and len(set(part)) == 8
+    by: dict[int, set] = {}
+    for r in ann_partitions.nearest(vectors).collect():
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in ids[ids % 20 == 0]:
+        s = x @ x[ids == q][0]
+        want = [i for i in ids[np.lexsort((ids, -s))] if i != q][:20]
+        hits += len(by[q] & set(want))
+    assert len(by) == (ids % 20 == 0).sum() and hits / (20 * len(by)) >= 0.9
+
+
 def test_transcripts(spark):
     c = spark.read.parquet(f"{SF}/conversations.parquet")
     lines = transcripts.transcript_lines(c)
@@ -116,11 +142,12 @@ def test_transcripts(spark):
 
 def test_transcript_edges(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (1, 1, "assistant", "again"), (None, 0, "user", "no id"), (2, None, "system", "rules"),
-            (3, 0, "user", ""), (4, 0, "tool", "left out"), (5, 0, "user", "line\n" * 3000), (1, 0, "user", "hi")]
+            (3, 0, "user", ""), (4, 0, "tool", "a tool's result"), (4, 1, None, "of nobody"), (4, 2, "critic", "another role"), (5, 0, "user", "line\n" * 3000), (1, 0, "user", "hi")]
     c = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("state", F.lit("clash"))
     lines = transcripts.transcript_lines(c)
     out = transcripts.recover_turns(lines, transcripts.fit(lines)).collect()
-    assert {r.conv_id for r in out} == {1, None, 2, 5} and all(r.rendered == f"<|{r.role}|>\n{r.text}\n<|end|>\n" for r in out)
+    assert sorted(r.text for r in out if r.conv_id == 4) == ["a tool's result", "another role", "of nobody"] and {r.role for r in out if r.conv_id == 4} == {"tool"}
+    assert {r.conv_id for r in out} == {1, None, 2, 4, 5} and all(r.rendered == f"<|{r.role}|>\n{r.text}\n<|end|>\n" for r in out)
     assert transcripts.recover_turns(lines.limit(0), transcripts.fit(lines.limit(0))).count() == 0
 
 

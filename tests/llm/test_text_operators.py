@@ -260,3 +260,30 @@ def test_encoder_holds_a_bounded_number_of_bytes(monkeypatch):
         assert encoder.held == sum(map(encoder._size, encoder.known))
     encoder.forget()
     assert not encoder.known and not encoder.held
+
+
+def test_mixing_spreads_null_and_repeated_ids(spark):
+    for ids in ([None] * 1000, [7] * 1000, list(range(1000))):
+        docs = spark.createDataFrame([(i, "ten words " * 5, "s") for i in ids], "doc_id long, text string, source string")
+        out, _, plans = mixing.mix_sources(docs, budget=5000)
+        assert 4990 <= out.agg(F.sum("n_tokens")).first()[0] <= 5000 and plans[0].budget == 5000
+        out, _, _ = mixing.mix_sources(docs, budget=25_000)
+        assert 24_990 <= out.agg(F.sum("n_tokens")).first()[0] <= 25_000 and {r.epoch for r in out.select("epoch").distinct().collect()} == {0, 1, 2}
+    whole = mixing.mix_sources(docs, max_repetition=2.0, keep_text=False)[0]
+    assert "text" not in whole.columns and whole.count() == 1000
+
+
+def test_mix_of_plain_shares(spark):
+    """Against the plan's own arithmetic, worked out plainly: weights, budgets and rows of each source."""
+    sizes = {"a": 300, "b": 100, None: 40}
+    docs = spark.createDataFrame([(k, "w " * 5, s) for s, n in sizes.items() for k in range(n)], "doc_id long, text string, source string")
+    out, exponent, plans = mixing.mix_sources(docs, target_entropy=1.0, budget=3000)
+    total = sum(5 * n for n in sizes.values())
+    raised = {s: (5 * n / total) ** exponent for s, n in sizes.items()}
+    weights = {s: r / sum(raised.values()) for s, r in raised.items()}
+    assert abs(-sum(w * np.log(w) for w in weights.values()) - 1.0) < 1e-6
+    rows = {r.source: r.n for r in out.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
+    for s, w in weights.items():
+        assert abs(next(p.weight for p in plans if p.source == s) - w) < 1e-9 and 0 <= round(3000 * w) - rows[s] < 5
+    once = out.groupBy("source", "doc_id", "epoch").count().where("count > 1")
+    assert once.isEmpty()
