@@ -31,7 +31,9 @@ MOST_MATCHES = 8000  # largest l
 STEP = 16  # one more match for so many shingles of a set, whatever its cost
 SALTS = 32
 LEADERS = 4  # sets of a list that lead it in one round
-WORDS = 8  # 64-bit words of the bit map of a set's listed shingles
+WORDS = 8  # 64-bit words of the bit map of a set's listed shingles, a power of two
+LIST_ROWS = 4096  # rows of a list that one task compares; larger lists are cut into blocks
+PAIRS = 1 << 17  # pairs that a task looks at together
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -216,27 +218,105 @@ def _fewest(a: str, b: str, need: Column, percent: int) -> Column:
     return F.greatest(need, overlap - F.ceil(percent * largest / 100 - F.lit(1e-9)) + need)
 
 
-def _plausible(listed: DataFrame, percent: int) -> DataFrame:
-    """``x y labela labelb met``: every pair of sets of two groups that may share as many listed
-    shingles as it must, and how many of the first ones it shares.
+def _candidates(rows: dict[str, np.ndarray], percent: int, best_only: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places ``(a, b)`` of the plausible pairs in whole lists, and the classes their maps share.
 
-    Two upper bounds spare rows for the others. A set's k listed shingles hold at least r shared
-    ones only if the first shared one is among the first k - r + 1, in either set. And a bit that
-    is set in one set's bit map alone is a shingle that the other lacks.
+    ``rows`` are sorted by list (``token lo hi``), side, and the list's largest group last. A row outside that
+    group meets the rows behind it, or those of the other side; a row of it the other side's rows outside.
+    """
+    n = len(rows["token"])
+    new = np.flatnonzero(np.concatenate([[True], np.any([rows[c][1:] != rows[c][:-1] for c in ("token", "lo", "hi")], axis=0)]))
+    size = np.diff(np.append(new, n))
+    end = np.repeat(new + size, size)
+    outside, right = ~rows["of"], rows["side"] == 1
+    split = np.repeat(rows["lo"][new] != rows["hi"][new], size)
+    from_right = np.repeat(new + np.add.reduceat(~right, new), size)  # where the other side starts
+    right_outside = np.repeat(np.add.reduceat(right & outside, new), size)
+    first = np.where(split, from_right, np.arange(n) + 1)
+    last = np.where(split, np.where(outside, end, from_right + right_outside), np.where(outside, end, 0))
+    count = np.where(split & right, 0, np.maximum(last - first, 0))
+    meta = rows["meta"]
+    sizes, need, level = meta >> 28, (meta >> 15) & 8191, (meta >> 1) & 16383
+    words = np.stack([rows[f"w{i}"] for i in range(WORDS)], axis=1).view(np.uint64)
+    dup = rows["k"] - np.bitwise_count(words).sum(axis=1)
+    word, below = (rows["token"] >> 6) & (WORDS - 1), (np.uint64(1) << (rows["token"] & 63).astype(np.uint64)) - np.uint64(1)
+    ends = np.cumsum(count)
+    start = 0
+    while start < n:
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PAIRS, "right")))
+        own = np.arange(start, stop)
+        x = np.repeat(own, count[start:stop])
+        y = np.arange(len(x)) - np.repeat(np.cumsum(count[start:stop]) - count[start:stop], count[start:stop]) + first[x]
+        start = stop
+        fit = (rows["label"][x] != rows["label"][y]) & (100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y]))
+        fit &= np.maximum(level[x], level[y]) <= np.minimum(need[x], need[y])
+        x, y = x[fit], y[fit]
+        asked = np.minimum(need[x], need[y])
+        overlap = -(-percent * (sizes[x] + sizes[y]) // (100 + percent))
+        asked = np.maximum(asked, overlap + (-percent * np.maximum(sizes[x], sizes[y])) // 100 + asked)
+        asked = np.maximum(asked - np.minimum(dup[x], dup[y]), 1)  # classes that their shared shingles lie in, at least
+        both = words[x] & words[y]
+        bits = np.bitwise_count(both).astype(np.int64)
+        classes = bits.sum(axis=1)
+        at = word[x]
+        before = np.cumsum(bits, axis=1)[np.arange(len(x)), at] - bits[np.arange(len(x)), at] + np.bitwise_count(both[np.arange(len(x)), at] & below[x])
+        fit = before + asked <= classes
+        x, y, classes = x[fit], y[fit], classes[fit]
+        if best_only and len(x):
+            groups = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+            best = np.maximum.reduceat((classes << 32) - np.arange(len(x)), groups)
+            pick = -(best - ((best + ((1 << 32) - 1)) >> 32 << 32))
+            x, y, classes = x[pick], y[pick], classes[pick]
+        if len(x):
+            yield x, y, classes
+
+
+def _plausible(listed: DataFrame, percent: int, best_only: bool = False) -> DataFrame:
+    """``x y labela labelb met``: every pair of sets of two groups that may share as many listed
+    shingles as it must, and how many it seems to share; ``best_only``: of each set in a list the likeliest.
+
+    A bit map of a set's listed shingles bounds that: a bit set in one map alone is a shingle that the
+    other set lacks. A pair comes out of few of its shared shingles, of one at least: those it must
+    share lie in a known number of the classes (bits) that both maps have, so one of them lies among the
+    first classes, as many as can be without a shared shingle and one more. A list's rows of its
+    largest group meet the rows of the others only. Lists of over ``LIST_ROWS`` rows are cut into blocks, and
+    each pair of blocks is a list of its own.
     """
-    word, bit = F.pmod(F.shiftright("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, cast(token & 63 AS int))")
-    maps = listed.groupBy("set").agg(F.count("*").alias("k"), *[F.bit_or(F.when(word == i, bit).otherwise(F.lit(0))).alias(f"w{i}") for i in range(WORDS)])
-    ranked = listed.withColumn("rank", F.row_number().over(Window.partitionBy("set").orderBy("token"))).select("token", "set", "meta", "label", "rank")
-    ranked = ranked.join(maps, "set")
-    side = lambda s: ranked.select("token", *[F.col(c).alias(c + s) for c in ranked.columns if c != "token"])
-    need, counts = _matched("metaa", "metab")
-    fewest = _fewest("metaa", "metab", need, percent)
-    bits = lambda own, other: sum((F.bit_count(F.col(f"w{i}{own}").bitwiseAND(F.bitwise_not(f"w{i}{other}"))) for i in range(WORDS)), F.lit(0))
-    both = side("a").join(side("b"), "token").where(
-        (F.col("labela") < F.col("labelb")) & _enough("metaa", "metab", percent) & counts
-        & (F.col("ranka") + fewest <= F.col("ka") + 1) & (F.col("rankb") + fewest <= F.col("kb") + 1)
-        & (F.col("ka") - bits("a", "b") >= fewest) & (F.col("kb") - bits("b", "a") >= fewest))
-    return both.groupBy(F.least("seta", "setb").alias("x"), F.greatest("seta", "setb").alias("y"), "labela", "labelb").agg(F.count("*").alias("met"))
+    word, bit = F.col("token").bitwiseAND(F.lit(64 * WORDS - 1)), F.expr("shiftleft(1L, cast(token & 63 AS int))")
+    maps = listed.groupBy("set").agg(F.count("*").alias("k"), *[F.bit_or(F.when(F.shiftright(word, 6) == i, bit).otherwise(F.lit(0))).alias(f"w{i}") for i in range(WORDS)])
+    sizes = listed.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"))
+    rows = listed.select("token", "set", "meta", "label").join(maps, "set").join(sizes, "token").withColumn("of", F.col("label") == F.col("main"))
+    blocks = F.ceil(F.col("n") / LIST_ROWS).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("set"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("side", (F.col("own") > F.col("lo")).cast("int"))
+    names = ["token", "lo", "hi", "side", "of", "set", "meta", "label", "k", *[f"w{i}" for i in range(WORDS)]]
+    rows = rows.select(*names).repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "side", "of")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            cols = {c: table.column(c).to_numpy() for c in names}
+            for x, y, met in _candidates(cols, percent, best_only):
+                ends = [f(cols[c][x], cols[c][y]) for c in ("set", "label") for f in (np.minimum, np.maximum)]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (*ends, met)], names=["x", "y", "labela", "labelb", "met"])
+
+        for batch in batches:
+            keys = [batch.column(i).to_numpy() for i in range(3)]
+            same = np.all([k == k[-1] for k in keys], axis=0)
+            tail = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0  # the last list may go on
+            if tail:
+                yield from pairs(pa.Table.from_batches([*held, batch.slice(0, tail)]))
+                held = []
+            elif held and any(h.column(i)[-1] != batch.column(i)[0] for h in held[-1:] for i in range(3)):
+                yield from pairs(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(tail))
+        if held:
+            yield from pairs(pa.Table.from_batches(held))
+
+    found = rows.mapInArrow(run, "x long, y long, labela long, labelb long, met long")
+    return found.groupBy("x", "y", "labela", "labelb").agg(F.max("met").alias("met"))
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -341,16 +421,14 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
         return True
 
     need, counts = _matched("ma", "mb")
-    for k in range(rounds + 1):
+    for k in range(rounds):
         listed = _labelled(postings, labels)
         # other sets lead a list in each round
         leads = [F.min(F.struct(F.xxhash64("set", F.lit(k * LEADERS + i)).alias("h"), "label", "set", "meta")) for i in range(LEADERS)]
         spans = (listed.groupBy("token").agg(F.array_distinct(F.transform(F.array(*leads), lambda x: x.dropFields("h"))).alias("leaders"),
                                              F.min("label").alias("first"), F.max("label").alias("last"))
                  .where("first != last").drop("first", "last"))
-        listed = stage(listed.join(spans, "token").select("token", "set", "meta", "label", "leaders"), "listed")
-        if k == rounds or not listed.limit(1).count():
-            break
+        listed = listed.join(spans, "token")
         # every group against the leaders of its lists, the best such pair only
         pairs = listed.select("set", "meta", F.col("label").alias("own"), F.explode("leaders").alias("low")).where("own != low.label").select(
             F.col("low.set").alias("a"), F.col("set").alias("b"), F.col("low.meta").alias("ma"), F.col("meta").alias("mb"), "own")
@@ -360,12 +438,27 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
         best = untried(pairs).groupBy("own").agg(F.max_by(F.struct("x", "y"), F.struct("shared", "x", "y")).alias("p"))
         if not check(best.select("p.x", "p.y")):
             break
+
+    def apart() -> DataFrame:
+        """The lists of several groups."""
+        rows = _labelled(postings, labels)
+        spans = rows.groupBy("token").agg(F.min("label").alias("first"), F.max("label").alias("last")).where("first != last").select("token")
+        return stage(rows.join(spans, "token", "left_semi").select("token", "set", "meta", "label"), "listed")
+
+    def likeliest(left: DataFrame) -> DataFrame:
+        """The likeliest pairs of each group."""
+        order = [F.desc("met"), "x", "y"]
+        ranks = [F.row_number().over(Window.partitionBy(c).orderBy(*order)) for c in ("labela", "labelb")]
+        best = [left.withColumn("r", r).where(F.col("r") <= LEADERS).select("x", "y") for r in ranks]
+        return best[0].unionByName(best[1])
+
+    # the likeliest partner of each set in each list, while that links anything
+    for _ in range(rounds):
+        if not check(likeliest(stage(untried(_plausible(apart(), percent, best_only=True)), "best"))):
+            break
     # whatever two groups still share: each group's likeliest pairs, then all that are still in two groups
-    left = stage(untried(_plausible(listed, percent)), "left")
-    order = [F.desc("met"), "x", "y"]
-    ranks = [F.row_number().over(Window.partitionBy(c).orderBy(*order)) for c in ("labela", "labelb")]
-    best = [left.withColumn("r", r).where(F.col("r") <= LEADERS).select("x", "y") for r in ranks]
-    check(best[0].unionByName(best[1]))
+    left = stage(untried(_plausible(apart(), percent)), "left")
+    check(likeliest(left))
     left = untried(left.select("x", "y"))
     if labels is not None:
         for end in ("x", "y"):
