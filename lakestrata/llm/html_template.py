@@ -26,23 +26,28 @@ from .url_gbt import url_host
 #: Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object canvas".split())
+TO_THE_END = frozenset("script style textarea title".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th "
                   "thead tr ul".split())
 #: Elements that are never main text, and words of class, id or role that mark such parts.
 NOISE_TAGS = frozenset("nav footer aside form button select menu dialog search head".split())
-NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
-                        "footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted "
-                        "related replies share sharing sidebar skip social sponsor sponsored subscribe toolbar widget complementary contentinfo "
-                        "alert".split())
+NOISE_WORDS = frozenset("ad adbox ads adsbygoogle advert adverts advertisement advertising banner breadcrumb breadcrumbs comment commentlist comments "
+                        "consent cookie cookies disqus feedback footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices "
+                        "pagination popup promo promoted recommended related replies reply respond share sharing sidebar skip social sponsor sponsored "
+                        "subscribe teaser teasers toolbar widget complementary contentinfo alert".split())
+AD_WORDS = frozenset("ad ads advert adverts advertisement advertising promoted sponsored".split())  # also as the first word of a name
 #: Elements that no name marks as noise, words that deny the last word of a name, parts
 #: that a header may head, last words that say no more than the word before.
 NEVER_NAMED = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
-MODIFIERS = frozenset("has have no not non with without is hide".split())
+MODIFIERS = frozenset("has have no not non with without is hide free".split())
 OWN_HEADER = frozenset("post entry article story content main".split())
-GENERIC = frozenset("area bar block bottom box container group inner item items left link links list outer right row section slot top unit wrap wrapper".split())
-TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+GENERIC = frozenset("area articles bar block bottom box container content group inner item items left link links list outer posts right row section slot stories top unit wrap wrapper".split())
+#: A quote only opens a value behind "=", and a value holds no "<": else it is a character like others.
+ATTRIBUTES = r"""((?:[^>"'=]|=\s*+(?:"[^"<]*"|'[^'<]*')?+|["'])*+)"""
+TAG = re.compile(rf"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*){ATTRIBUTES}>", re.S)
+NAMED = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?![\w-])(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 
@@ -74,6 +79,8 @@ def _noise_name(token: str) -> bool:
     if token in NOISE_WORDS:
         return True
     parts = [w for w in re.split(r"[^a-z]+", token) if w]
+    if parts and parts[0] in AD_WORDS and not MODIFIERS.intersection(parts):
+        return True
     while parts and parts[-1] in GENERIC:
         parts.pop()
     if not parts or parts[-1] not in NOISE_WORDS or MODIFIERS.intersection(parts[:-1]):
@@ -87,7 +94,7 @@ def _marks(attributes: str) -> tuple[str, bool, bool, bool]:
     for name, *values in NAMED.findall(attributes):
         value = next((v for v in values if v), "").lower()
         name = name.lower()
-        hidden |= name == "hidden" or name == "aria-hidden" and value == "true"
+        hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and bool(UNSEEN.search(value))
         if name in ("class", "id", "role"):
             parts = [w for w in re.split(r"[^a-z]+", value) if w]
             words += parts
@@ -110,7 +117,7 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
         if joined:
             # the run belongs to the nearest block element
             top = next(x for x in reversed(stack) if x.tag in BLOCK or not x.tag)
-            blocks.append(Block(top.path, joined, linked, stack[-1].noise, stack[-1].main))
+            blocks.append(Block(top.path, joined, linked, top.noise, stack[-1].main))
         text.clear()
         linked = 0
 
@@ -128,9 +135,14 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
         piece = page[at : m.start()] if m else page[at:]
         if piece:
             plain = entities.unescape(piece)
-            text.append(plain)
-            if depth_a:
-                linked += len(plain.strip())
+            holder = next(x for x in reversed(stack) if x.tag in BLOCK or not x.tag)
+            if len(stack[-1].noise) > len(holder.noise):  # noise inside a line: a block of its own, the line goes on without it
+                if plain.strip():
+                    blocks.append(Block(holder.path, " ".join(plain.split()), len(plain.strip()) if depth_a else 0, stack[-1].noise, stack[-1].main))
+            else:
+                text.append(plain)
+                if depth_a:
+                    linked += len(plain.strip())
         if not m:
             break
         at = m.end()
@@ -145,7 +157,8 @@ def parse(page: str) -> tuple[list[Block], list[str]]:
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = at if attributes.endswith("/") else end.end() if end else size
+            # what isn't closed runs to the end of the page where it is text to the browser, else it holds nothing
+            at = at if attributes.endswith("/") else end.end() if end else size if tag in TO_THE_END else at
             if tag == "title" or tag == "textarea":
                 flush()
             continue

@@ -73,6 +73,26 @@ def test_names_do_not_cut_clean_pages(page):
     assert html_template.main_text(page.format(inner), set()) == "Title\na text of some length\nand one more paragraph of it"
 
 
+def test_noise_inside_a_line_and_odd_markup():
+    page = "<body><article><p>one {} two</p><p>three</p></article></body>"
+    for noise in ("<span class='ad'>buy now</span>", "<ins class='adsbygoogle'>buy now</ins>", "<button>press</button>", "<span hidden>unseen</span>",
+                  "<b style='color:red; display: none'>unseen</b>", "<a class='sponsored-content' href=x>buy</a>", "<!-- note -->"):
+        assert html_template.main_text(page.format(noise), set()) == "one two\nthree", noise
+    assert html_template.main_text(page.format("<b class='ad-free'>kept</b>"), set()) == "one kept two\nthree"
+    for tag in ("<p title=it's>", '<p title="abc>', "<p title='a > b' data-id=comments>", "<p a = \"x>y\" b='>' hidden-not>", "<p title=a\"b>"):
+        assert html_template.main_text(f"<body><article>{tag}Hello</p><p>you</p></article></body>", set()) == "Hello\nyou", tag
+    assert html_template.main_text("<article><p>one</p><iframe src=x><p>two</p></article>", set()) == "one\ntwo"
+    assert html_template.main_text("<article><p>one</p><script>var x = 1;<p>two</p></article>", set()) == "one"
+    assert html_template.main_text("<p" + " a=" * 3000, set()).startswith("<p")  # no tag at all, and read in linear time
+
+
+def test_teasers_and_replies_are_no_main_text():
+    page = "<body><main><article><h1>T</h1><p>body of the article</p></article>{}</main></body>"
+    for noise in ("<section class='related-posts'><article><h2>Other</h2><p>teaser</p></article></section>", "<div class='reader-feedback'><article>a reply</article></div>",
+                  "<ol class='commentlist'><li>said</li></ol>", "<div id='respond'>Leave a reply</div>", "<div class='adbox'>buy</div>", "<div class='sponsored-content'><p>buy</p></div>"):
+        assert html_template.main_text(page.format(noise), set()) == "T\nbody of the article", noise
+
+
 def test_nearest_recall_and_order(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(12, 16))
