@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stage
+
 FIRST_BITS = 14  # probes of the first round: 2^14 cells
 CELLS = 1 << 16  # probes of a later round at most
 MAX_ROUNDS = 16
@@ -55,16 +57,27 @@ def shard_by_bytes(df: DataFrame, n_shards: int, *, text: str = "text", id_col:
     shard, or by one row that is larger than that. ``slot`` numbers the rows of a shard from 0
     without gaps, in key order. Rows are sorted in ranges of about ``range_bytes`` (larger only
     once ``max_ranges`` ranges exist), each with an exact offset from the histogram, so no task
-    holds a shard. Null texts count as size 16. Rows that agree in text and id have one key and
-    stay in one range. An empty table gives an empty result. Input columns named ``size``,
-    ``shard`` or ``slot`` are replaced.
+    holds a shard. Null texts count as size 16. Rows that agree in text and id have one key; if so
+    many do that a boundary or a range must fall among them, the table is written once with row
+    numbers and these go into the key. An empty table gives an empty result. Input columns named
+    ``size``, ``shard`` or ``slot`` are replaced.
     """
-    spark = df.sparkSession
     keep = [c for c in df.columns if c not in ("size", "shard", "slot")]
+    out = _sharded(df, keep, F.xxhash64(F.col(f"`{id_col}`"), F.lit(1)), n_shards, text, id_col, tolerance, range_bytes, max_ranges)
+    if out is not None:
+        return out
+    numbered = stage(df.select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias("_number")), "numbered")
+    return _sharded(numbered, keep, F.xxhash64(F.col(f"`{id_col}`"), "_number"), n_shards, text, id_col, tolerance, range_bytes, max_ranges, numbered=True)
+
+
+def _sharded(df: DataFrame, keep: list[str], second: Column, n_shards: int, text: str, id_col: str, tolerance: float,
+             range_bytes: int, max_ranges: int, numbered: bool = False) -> DataFrame | None:
+    """The rows in shards with ``second`` as second key; ``None`` if rows of one key must be cut and aren't numbered."""
+    spark = df.sparkSession
     mask = F.lit((1 << 62) - 1)
     keyed = df.select(
         *[F.col(f"`{c}`") for c in keep], text_size(F.col(f"`{text}`")).alias("size"),
-        F.xxhash64(F.col(f"`{text}`")).bitwiseAND(mask).alias("_k1"), F.xxhash64(F.col(f"`{id_col}`"), F.lit(1)).bitwiseAND(mask).alias("_k2"))
+        F.xxhash64(F.col(f"`{text}`")).bitwiseAND(mask).alias("_k1"), second.bitwiseAND(mask).alias("_k2"))
     narrow = keyed.select("size", F.col("_k1").alias("k1"), F.col("_k2").alias("k2"))
 
     first = F.shiftright("k1", 62 - FIRST_BITS).cast("int")
@@ -84,6 +97,8 @@ def shard_by_bytes(df: DataFrame, n_shards: int, *, text: str = "text", id_col:
             k = int(at * n_shards // total) + 1 if total else n_shards
             target = k * total / n_shards
             cut = k < n_shards and target < end and min(target - at, end - target) > allowed
+            if not numbered and c.rows > 1 and c.k1[0] == c.k1[1] and c.k2[0] == c.k2[1] and (cut or c.size > limit):
+                return None
             if c.level == level - 1 and c.rows > 1 and (c.k1[0] < c.k1[1] or c.k2[0] < c.k2[1]) and (cut or c.size > limit):
                 coarse.append(c)
             at = end

@@ -105,6 +105,20 @@ def test_histogram_sort(spark, edge, empty):
     assert histogram_sort.shard_by_bytes(empty, 3).count() == 0
 
 
+def test_shards_hold_when_one_row_is_a_third_of_all(spark):
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('text ', id, repeat(' w', cast(id % 40 AS int))) AS text")
+    again = spark.range(1000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'one text that stands a thousand times' AS text")
+    rows = histogram_sort.shard_by_bytes(docs.union(again), 40, range_bytes=20_000).collect()
+    sizes = collections.Counter()
+    slots = collections.defaultdict(list)
+    for r in rows:
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    mean = sum(sizes.values()) / 40
+    assert len(rows) == 3000 and len(sizes) == 40 and max(abs(v - mean) for v in sizes.values()) <= 2 * max(r["size"] for r in rows) + 0.02 * mean
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
 def brute_groups(docs):
     sets = []
     for _, t in docs:
