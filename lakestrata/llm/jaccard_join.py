@@ -285,10 +285,11 @@ def _plausible(listed: DataFrame, percent: int, best_only: bool = False) -> Data
     word, bit = F.col("token").bitwiseAND(F.lit(64 * WORDS - 1)), F.expr("shiftleft(1L, cast(token & 63 AS int))")
     maps = listed.groupBy("set").agg(F.count("*").alias("k"), *[F.bit_or(F.when(F.shiftright(word, 6) == i, bit).otherwise(F.lit(0))).alias(f"w{i}") for i in range(WORDS)])
     sizes = listed.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"))
-    rows = listed.select("token", "set", "meta", "label").join(maps, "set").join(sizes, "token").withColumn("of", F.col("label") == F.col("main"))
+    rows = listed.select("token", "set", "meta", "label").join(sizes, "token").withColumn("of", F.col("label") == F.col("main"))
     blocks = F.ceil(F.col("n") / LIST_ROWS).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("set"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).withColumn("side", (F.col("own") > F.col("lo")).cast("int"))
+    rows = rows.select("token", "lo", "hi", "side", "of", "set", "meta", "label").join(maps, "set")  # the maps move once, to the lists
     names = ["token", "lo", "hi", "side", "of", "set", "meta", "label", "k", *[f"w{i}" for i in range(WORDS)]]
     rows = rows.select(*names).repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi", "side", "of")
 
@@ -452,10 +453,8 @@ def linked_groups(docs: DataFrame, *, text: str = "text", id_col: str = "doc_id"
         best = [left.withColumn("r", r).where(F.col("r") <= LEADERS).select("x", "y") for r in ranks]
         return best[0].unionByName(best[1])
 
-    # the likeliest partner of each set in each list, while that links anything
-    for _ in range(rounds):
-        if not check(likeliest(stage(untried(_plausible(apart(), percent, best_only=True)), "best"))):
-            break
+    # the likeliest partner of each set in each list
+    check(likeliest(stage(untried(_plausible(apart(), percent, best_only=True)), "best")))
     # whatever two groups still share: each group's likeliest pairs, then all that are still in two groups
     left = stage(untried(_plausible(apart(), percent)), "left")
     check(likeliest(left))
