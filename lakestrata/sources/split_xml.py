@@ -46,13 +46,22 @@ def xml_pieces(spark: SparkSession, paths: str | Sequence[str], row_tag: str) ->
                          SOURCE_POS: F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k"))})
     opened = _open_tag(row_tag)
     closed = F.endswith("value", F.lit("<"))
+    # most pieces: one plain opening tag and nothing odd, no pattern needed
+    tag, first = F.lit(f"<{row_tag}"), F.locate(f"<{row_tag}", F.col("value"))
+    plain = (closed & (first > 0) & (F.substring("value", first, F.lit(len(row_tag) + 2)) == F.lit(f"<{row_tag}>"))
+             & (F.position(tag, F.col("value"), first + 1) == 0)
+             & ~F.contains("value", F.lit("<!--")) & ~F.contains("value", F.lit("-->")) & ~F.contains("value", F.lit("<![CDATA[")))
+    df = df.withColumn("__plain", plain)
     text = F.regexp_replace(F.when(closed, F.concat("value", F.lit(f"/{row_tag}>"))).otherwise(F.col("value")), r"(?s)<!--.*?-->", "")
     odd = F.contains(F.regexp_replace("__text", r"(?s)<!\[CDATA\[.*?\]\]>", ""), F.lit("<![CDATA[")) | F.contains("__text", F.lit("<!--")) | F.contains("__text", F.lit("-->"))
     starts = F.regexp_count("__text", F.lit(rf"{opened}(?<!/)>"))
-    df = df.withColumns({"__text": text, "__closed": closed}).withColumn("__broken", odd | (starts != F.col("__closed").cast("int")))
+    whole = F.concat(F.substring("value", first, F.length("value")), F.lit(f"/{row_tag}>"))
+    df = df.withColumns({"__text": F.when(F.col("__plain"), whole).otherwise(text), "__closed": closed})
+    df = df.withColumn("__broken", F.when(F.col("__plain"), F.lit(False)).otherwise(odd | (starts != F.col("__closed").cast("int"))))
     # empty elements (<item/>) that stand before the row are rows of their own
-    rows = F.when(F.col("__broken"), F.array("__text")).otherwise(F.regexp_extract_all("__text", F.lit(rf"(?s){opened}/>|{opened}>.*$"), F.lit(0)))
-    others = [quoted(c) for c in df.columns if c not in ("value", "__text", "__closed", SOURCE_POS)]
+    rows = (F.when(F.col("__plain") | F.col("__broken"), F.array("__text"))
+            .otherwise(F.regexp_extract_all("__text", F.lit(rf"(?s){opened}/>|{opened}>.*$"), F.lit(0))))
+    others = [quoted(c) for c in df.columns if c not in ("value", "__text", "__closed", "__plain", SOURCE_POS)]
     df = df.select(*others, SOURCE_POS, F.posexplode(rows).alias("__n", "__xml"))
     return df.withColumn(SOURCE_POS, F.struct(f"{SOURCE_POS}.at", f"{SOURCE_POS}.k", F.col("__n").alias("n"))).drop("__n")
 
