@@ -28,6 +28,7 @@ OPTIONS = {"nullValue": "", "inferSchema": "false", "excludeAttribute": "true",
 #: Attributes of a tag, and a comment, section, instruction or tag.
 _INSIDE = r"""(?:[^<>"']|"[^"]*"|'[^']*')*"""
 _TOKEN = re.compile(rf"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<(/?)(?:[\w.\-]+:)?([^\s<>/:!?]+){_INSIDE}?(/?)>", re.S)
+_TEXT = re.compile(r">[^<]+<")
 
 
 def _open_tag(row_tag: str) -> str:
@@ -100,9 +101,16 @@ def infer_xml_schema(pieces: DataFrame) -> StructType:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: set[tuple[str, bool]] = set()
+        seen: set[str] = set()  # rows without their texts, of which most tables have few
         for batch in batches:
-            for text in batch.column(0):
-                found |= element_paths(text.as_py())
+            for row in batch.column(0).to_pylist():
+                if not ("<!" in row or '"' in row or "'" in row):  # else a text may look like markup or an attribute hold ">"
+                    row = _TEXT.sub("><", row)
+                    if row in seen:
+                        continue
+                    if len(seen) < 10_000 and len(row) < 4096:
+                        seen.add(row)
+                found |= element_paths(row)
         yield pa.RecordBatch.from_pydict({"path": pa.array([p for p, _ in found], pa.string()), "many": pa.array([m for _, m in found], pa.bool_())})
 
     rows = pieces.where("NOT __broken").select("__xml").mapInArrow(run, "path string, many boolean").groupBy("path").agg(F.max("many").alias("many")).collect()
