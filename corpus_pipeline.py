@@ -1,6 +1,8 @@
 """Training-corpus pipeline: quality rules, near duplicates, source mixing, tokens.
 
-Each stage takes all its predecessor kept. All but the last return the columns of ``documents``.
+Each stage takes all its predecessor kept. All but the last return the columns of ``documents``;
+columns beyond these are left out by the first stage, whatever their names. An empty table goes
+through all stages as an empty table.
 """
 
 from __future__ import annotations
@@ -19,7 +21,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and that no learned rule rejects."""
+    """Documents that pass the base rule and that no learned rule rejects.
+
+    Null and empty texts have no words and fail the base rule. Rows with null or repeated ids, and
+    repeated rows, are judged by their text and stay as often as they come; a null source or language stays null.
+    """
     out, _ = quality_rules(docs.select(*COLUMNS), table(spark, sf_dir, "labels"), drop_text=False)
     return out.where("kept").select(*COLUMNS)
 
@@ -42,13 +48,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's tempered weight asks: each once at least, none over twice."""
+    """Documents as often as their source's tempered weight asks: each once at least, none over twice.
+
+    Null is a source of its own. Rows count each, also with null or repeated ids; a text without words
+    is taken once.
+    """
     out, _, _ = mix_sources(docs.select(*COLUMNS), max_repetition=2.0)
     return out.select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with hashes of the ids and of the bytes they decode to."""
+    """Token ids of every text, with hashes of the ids and of the bytes they decode to.
+
+    Null and empty texts have no ids (the hashes are those of nothing); long texts are encoded whole; a row comes
+    out for every row.
+    """
     path, pattern = tokenizer_files()
     ranks = read_ranks(path)
     coded = decode(encode(docs.select("doc_id", "source", "text"), ranks, pattern), ranks)
