@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 
 import __spark_entry__
@@ -38,6 +39,25 @@ def test_one_row_of_each_group_stays(spark):
     assert out == sorted([(2, a, "de"), (None, b, "en"), (5, c, "en"), (7, "", "en"), (7, "", "en")], key=str)
 
 
+def test_stages_on_odd_rows(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    rows = [(1, words(1), "en", "s", 1), (1, words(1), "en", "s", 1), (None, words(2), None, None, None), (2, None, "en", "s", 0), (3, "", "en", "s", 0),
+            (4, words(4) + " " + "long " * 3 + " ".join(f"z{i}" for i in range(60_000)), "en", "t", 9), (5, words(5), "en", "t", 1), (6, words(5), "de", "t", 1)]
+    docs = spark.createDataFrame([(*r, "x", True, 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, n_words string, kept boolean, epoch int")
+    once = pipeline.quality(spark, docs, SF)
+    assert once.columns == list(pipeline.COLUMNS) and {r.doc_id for r in once.select("doc_id").collect()} <= {1, None, 4, 5, 6}
+    mixed = pipeline.mixing(spark, docs, SF)
+    assert mixed.columns == list(pipeline.COLUMNS) and mixed.select("doc_id", "text").distinct().count() == 7 and mixed.count() >= 8
+    out = pipeline.tokens(spark, docs, SF).collect()
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert len(out) == 8 and all((r.n_tokens == 0) == (r.doc_id in (2, 3)) == (r.decoded_sha256 == nothing) for r in out)
+    assert next(r for r in out if r.doc_id == 4).decoded_sha256 == hashlib.sha256(rows[5][1].encode()).hexdigest()
+    empty = docs.limit(0)
+    for name, step in pipeline.STAGES:
+        assert step(spark, empty, SF).count() == 0, name
+
+
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
