@@ -158,6 +158,10 @@ def count_by(df: DataFrame, keys: str | Sequence[str], alias: str = "cnt") -> Da
     return df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(alias))
 
 
+#: Copies a row stands for in a sorted ``replicate_rows``.
+SORTED_CHUNK = 64
+
+
 def replicate_rows(df: DataFrame, count_col: str, chunk: int = 1 << 20,
                    spread_by: Sequence[str | Column] | None = None,
                    sort_by: Sequence[Column] | None = None, row_id: str | None = None) -> DataFrame:
@@ -168,10 +172,14 @@ def replicate_rows(df: DataFrame, count_col: str, chunk: int = 1 << 20,
     array larger than ``chunk`` elements is built, and the chunk rows are hash-partitioned
     on (``spread_by``, chunk) before they are expanded, so the copies of one hot row are
     made by many tasks. With ``sort_by`` every row goes through one range shuffle on
-    (``sort_by``, chunk) and is sorted inside its partition, which yields the global order
-    in that single shuffle. ``row_id`` numbers the copies ``0..n-1``.
+    (``sort_by``, chunk) and is sorted inside its partition before it is expanded, which yields the global
+    order in that single shuffle and holds no copies; chunks are small there, so that ranges of
+    like many chunks make like many rows. ``row_id`` numbers the copies ``0..n-1``. The number of shuffle
+    partitions is kept (AQE would size them by the rows before they are expanded).
     """
     n = F.col(count_col).cast("bigint")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = min(chunk, SORTED_CHUNK) if sort_by else chunk
     k = F.ceil(n / F.lit(chunk)).cast("bigint")
     sizes = F.transform(F.sequence(F.lit(0).cast("bigint"), k - 1),
                         lambda i: F.struct(i.alias("i"), F.least(F.lit(chunk).cast("bigint"), n - i * chunk).alias("size")))
@@ -183,13 +191,13 @@ def replicate_rows(df: DataFrame, count_col: str, chunk: int = 1 << 20,
 
     if sort_by:
         chunks = df.where(n > 0).withColumn("__chunk", F.explode(sizes))
-        chunks = chunks.repartitionByRange(*sort_by, F.col("__chunk.i"))  # AQE sizes it
-        out = expand(chunks).sortWithinPartitions(*sort_by, "__rid")
+        chunks = chunks.repartitionByRange(parts, *sort_by, F.col("__chunk.i"))
+        out = expand(chunks.sortWithinPartitions(*sort_by, F.col("__chunk.i")))
     else:
         small = df.where((n > 0) & (n <= chunk)).withColumn(
             "__rid", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
         big = df.where(n > chunk).withColumn("__chunk", F.explode(sizes))
-        big = expand(big.repartition(*(spread_by or []), F.col("__chunk.i")))
+        big = expand(big.repartition(parts, *(spread_by or []), F.col("__chunk.i")))
         out = small.unionByName(big)
     return out.withColumnRenamed("__rid", row_id) if row_id else out.drop("__rid")
 

@@ -119,3 +119,20 @@ def test_three_plans_agree_on_random_stars(spark, seed):
                                                method=m).collect()))
                for m in ("aggregate", "window", "join_back")]
     assert results[0] == results[1] == results[2] and len(results[0]) > 0
+
+
+def test_sorted_copies_are_not_sorted_again(spark):
+    """Ordered copies of a hot row come from small chunks that are sorted before they are expanded."""
+    from pyspark.sql import functions as F
+
+    from lakestrata.operators.relational import SORTED_CHUNK, replicate_rows
+
+    n = 40 * SORTED_CHUNK + 7
+    df = spark.createDataFrame([(1, n), (2, 3), (3, 0), (None, 2)], "k int, n bigint")
+    out = replicate_rows(df, "n", sort_by=[F.col("k").desc()], row_id="rid")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Sort") < plan.index("rangepartitioning")  # from the top: expanded after the sort
+    assert "REPARTITION_BY_NUM" in plan
+    got = out.withColumn("p", F.spark_partition_id()).collect()
+    assert [(r.k, r.rid) for r in got] == [(2, i) for i in range(3)] + [(1, i) for i in range(n)] + [(None, i) for i in range(2)]
+    assert len({r.p for r in got if r.k == 1}) > 1
