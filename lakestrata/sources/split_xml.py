@@ -28,7 +28,9 @@ OPTIONS = {"nullValue": "", "inferSchema": "false", "excludeAttribute": "true",
 #: Attributes of a tag, and a comment, section, instruction or tag.
 _INSIDE = r"""(?:[^<>"']|"[^"]*"|'[^']*')*"""
 _TOKEN = re.compile(rf"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<(/?)(?:[\w.\-]+:)?([^\s<>/:!?]+){_INSIDE}?(/?)>", re.S)
-_TEXT = re.compile(r">[^<]+<")
+
+#: Rows whose shapes are known before all rows are looked at.
+FIRST_ROWS = 20
 
 
 def _open_tag(row_tag: str) -> str:
@@ -47,22 +49,21 @@ def xml_pieces(spark: SparkSession, paths: str | Sequence[str], row_tag: str) ->
                          SOURCE_POS: F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k"))})
     opened = _open_tag(row_tag)
     closed = F.endswith("value", F.lit("<"))
-    # most pieces: one plain opening tag and nothing odd, no pattern needed
-    tag, first = F.lit(f"<{row_tag}"), F.locate(f"<{row_tag}", F.col("value"))
-    plain = (closed & (first > 0) & (F.substring("value", first, F.lit(len(row_tag) + 2)) == F.lit(f"<{row_tag}>"))
-             & (F.position(tag, F.col("value"), first + 1) == 0)
-             & ~F.contains("value", F.lit("<!--")) & ~F.contains("value", F.lit("-->")) & ~F.contains("value", F.lit("<![CDATA[")))
+    # most pieces: one plain opening tag and nothing odd, one cut at the tag's name and no other pattern needed
+    df = df.withColumn("__cut", F.split("value", f"<{re.escape(row_tag)}", 3))
+    after = F.get("__cut", F.lit(1))
+    plain = closed & (F.size("__cut") == 2) & F.startswith(after, F.lit(">")) & ~F.contains("value", F.lit("<!")) & ~F.contains("value", F.lit("-->"))
     df = df.withColumn("__plain", plain)
     text = F.regexp_replace(F.when(closed, F.concat("value", F.lit(f"/{row_tag}>"))).otherwise(F.col("value")), r"(?s)<!--.*?-->", "")
     odd = F.contains(F.regexp_replace("__text", r"(?s)<!\[CDATA\[.*?\]\]>", ""), F.lit("<![CDATA[")) | F.contains("__text", F.lit("<!--")) | F.contains("__text", F.lit("-->"))
     starts = F.regexp_count("__text", F.lit(rf"{opened}(?<!/)>"))
-    whole = F.concat(F.substring("value", first, F.length("value")), F.lit(f"/{row_tag}>"))
+    whole = F.concat(F.lit(f"<{row_tag}"), after, F.lit(f"/{row_tag}>"))
     df = df.withColumns({"__text": F.when(F.col("__plain"), whole).otherwise(text), "__closed": closed})
     df = df.withColumn("__broken", F.when(F.col("__plain"), F.lit(False)).otherwise(odd | (starts != F.col("__closed").cast("int"))))
     # empty elements (<item/>) that stand before the row are rows of their own
     rows = (F.when(F.col("__plain") | F.col("__broken"), F.array("__text"))
             .otherwise(F.regexp_extract_all("__text", F.lit(rf"(?s){opened}/>|{opened}>.*$"), F.lit(0))))
-    others = [quoted(c) for c in df.columns if c not in ("value", "__text", "__closed", "__plain", SOURCE_POS)]
+    others = [quoted(c) for c in df.columns if c not in ("value", "__cut", "__text", "__closed", "__plain", SOURCE_POS)]
     df = df.select(*others, SOURCE_POS, F.posexplode(rows).alias("__n", "__xml"))
     return df.withColumn(SOURCE_POS, F.struct(f"{SOURCE_POS}.at", f"{SOURCE_POS}.k", F.col("__n").alias("n"))).drop("__n")
 
@@ -103,18 +104,26 @@ def infer_xml_schema(pieces: DataFrame) -> StructType:
         found: set[tuple[str, bool]] = set()
         seen: set[str] = set()  # rows without their texts, of which most tables have few
         for batch in batches:
-            for row in batch.column(0).to_pylist():
-                if not ("<!" in row or '"' in row or "'" in row):  # else a text may look like markup or an attribute hold ">"
-                    row = _TEXT.sub("><", row)
-                    if row in seen:
-                        continue
-                    if len(seen) < 10_000 and len(row) < 4096:
-                        seen.add(row)
+            for row in batch.column(0).unique().to_pylist():
+                if row in seen:
+                    continue
+                if len(seen) < 10_000 and len(row) < 4096:
+                    seen.add(row)
                 found |= element_paths(row)
         yield pa.RecordBatch.from_pydict({"path": pa.array([p for p, _ in found], pa.string()), "many": pa.array([m for _, m in found], pa.bool_())})
 
-    rows = pieces.where("NOT __broken").select("__xml").mapInArrow(run, "path string, many boolean").groupBy("path").agg(F.max("many").alias("many")).collect()
-    many = {r.path: r.many for r in rows}
+    # the texts stay behind, unless a text may look like markup or an attribute hold ">"
+    odd = F.contains("__xml", F.lit("<!")) | F.contains("__xml", F.lit('"')) | F.contains("__xml", F.lit("'"))
+    tags = F.when(odd, F.col("__xml")).otherwise(F.regexp_replace("__xml", ">[^<]+<", "><"))
+    rows = pieces.select(F.when(~F.col("__broken"), tags).alias("tags"))
+    # every row is looked at, but those like one of the first few needn't leave the JVM
+    known = sorted({r.tags for r in rows.limit(FIRST_ROWS).where(F.length("tags") < 4096).collect()})
+    first = {p for row in known for p in element_paths(row)}
+    others = rows.where(~F.col("tags").isin(known)) if known else rows.where("tags IS NOT NULL")
+    found = others.mapInArrow(run, "path string, many boolean").groupBy("path").agg(F.max("many").alias("many")).collect()
+    many: dict[str, bool] = {}
+    for path, more in [*first, *((r.path, r.many) for r in found)]:
+        many[path] = many.get(path, False) or more
 
     def struct(parent: str) -> StructType:
         inside = sorted({p[len(parent):].split("/")[0] for p in many if p.startswith(parent)})

@@ -86,3 +86,19 @@ def test_element_paths():
     assert element_paths("<item><a><b/><b>1</b></a><ns:c x='>'>t</ns:c></item>") >= {("a", False), ("a/b", True)}
     assert element_paths("<item><a></item>") == set() and element_paths("<item/>") == set() and element_paths("<item><a/></item><x/>") == set()
     assert element_paths("<item><!-- <z> --><![CDATA[<q>]]><a>1</a></item>") == {("a", False)}
+
+
+def test_shapes_after_the_first_rows_are_found(spark, tmp_dir):
+    """Rows like the first ones stay in the JVM; another shape anywhere still adds its elements."""
+    plain = "".join(f"<item><Id>{i}</Id></item>" for i in range(200))
+    _write(f"{tmp_dir}/a.xml", f"<e>{plain}<item><Id>200</Id><U><a>1</a><a>2</a></U></item><item x='>'><Id>201</Id><T>t</T></item><itemX><Id>9</Id></itemX></e>")
+    df = read_xml_split(spark, tmp_dir, "item")
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields[:3]} == {"Id": "string", "T": "string", "U": "struct<a:array<string>>"}
+    got = {r.Id: r for r in df.collect()}
+    assert len(got) == 202 and got["200"].U.a == ["1", "2"] and got["201"].T == "t"
+
+
+def test_plain_pieces_need_no_pattern(spark, tmp_dir):
+    _write(f"{tmp_dir}/a.xml", "<e><item><Id>1</Id></item></e>")
+    plan = read_xml_split(spark, tmp_dir, "item", "Id string")._jdf.queryExecution().optimizedPlan().toString()
+    assert "locate(" not in plan and "split(value" in plan  # one cut in place of searches by character
