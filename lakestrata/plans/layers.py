@@ -30,7 +30,7 @@ from lakestrata.plans.facts import (
     stalled_cases_from_detail,
     stalled_detail,
 )
-from lakestrata.session import checkpoint_root
+from lakestrata.session import checkpoint_root, staged
 from lakestrata.sinks.committed import path_exists
 from lakestrata.sinks.writers import publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
@@ -104,7 +104,8 @@ def restrict_requests(df: DataFrame, column: str, wanted: DataFrame | None = Non
     """Keep responses whose request key is in the driving key list (a DataFrame, e.g. a
     warehouse query, joined as a semi join, never collected) and not in ``blocked``."""
     if wanted is not None:
-        keys = wanted.select(F.col(wanted.columns[0]).alias("__req")).distinct()
+        # written once: the planner knows its size, and a short list is broadcast, so that a request with many rows isn't one task's
+        keys = staged(wanted.select(F.col(wanted.columns[0]).alias("__req")).where("__req IS NOT NULL").distinct(), "request-keys")
         df = df.join(keys, F.col(column) == F.col("__req"), "left_semi")
     return exclude_values(df, column, list(blocked)) if blocked else df
 
