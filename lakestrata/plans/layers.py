@@ -146,14 +146,13 @@ def extract_responses(spark: SparkSession, paths: str | Sequence[str], row_tag:
                       schema: StructType | None = None) -> dict[str, DataFrame]:
     """Parse the responses once and derive the main table and the nested entity tables.
 
-    When entity tables are asked for, the parsed rows are checkpointed to the shared
+    When entity tables are asked for, the parsed rows are written once as Parquet to the shared
     checkpoint folder (XML parsing is the costly step) and ``"rows"`` (nested ids lifted, one row per ``key``) and one table per
     ``entities`` element (``{element: key or None}``) are projections of that one copy.
     """
     parsed = read_responses(spark, paths, row_tag, schema, request_key)
     if entities:
-        checkpoint_root(spark)
-        parsed = parsed.checkpoint(eager=True)
+        parsed = staged(parsed, "responses", "zstd")
     rows = lift_nested_ids(parsed, children)
     rows = dedupe_keep_first(rows, key, [SOURCE_FILE, SOURCE_POS]) if key else rows
     out = {"rows": rows.drop(SOURCE_FILE, SOURCE_POS)}
@@ -163,10 +162,10 @@ def extract_responses(spark: SparkSession, paths: str | Sequence[str], row_tag:
 
 
 def land_raw(df: DataFrame, layout: LakeLayout, area: str, endpoint: str, day: Any = None,
-             system: str = fixed.RAW_CONTEXT) -> str:
+             system: str = fixed.RAW_CONTEXT, max_records_per_file: int | None = None, compression: str = "none") -> str:
     """Write extracted rows as the raw JSON snapshot of ``day``; returns its path."""
     path = layout.raw(area, endpoint, day, "json", system)
-    write_json(df, path)
+    write_json(df, path, max_records_per_file=max_records_per_file, compression=compression)
     return path
 
 

@@ -88,11 +88,11 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "lakestrata", *parts, uuid.uuid4().hex])
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared scratch folder and read again: what several jobs
     use is computed once, and a lost executor costs a re-read."""
     path = shared_dir(df.sparkSession, "staged", name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
