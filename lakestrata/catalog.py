@@ -23,7 +23,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -86,6 +86,8 @@ EXCLUDED_SUPPLIER = "Supplier#000000001"
 SEGMENTS = ("BUILDING", "MACHINERY")
 LOAD_TS = "2024-01-02 03:04:05"
 AUDIT_TEXT = "yyyy-MM-dd HH:mm:ss.SSS"
+#: Landed text files are compressed; a file is one task's, so its rows are bounded.
+CODEC, RECORDS_PER_FILE = "lz4", 50_000
 
 SYN_SPEC = StarSpec(
     move_case="l_orderkey", move_unit="l_suppkey", move_task="l_linestatus", move_time="event_text",
@@ -504,14 +506,19 @@ def _write_responses(spark, d) -> str:
         F.col("l_returnflag").alias("request"),
         "l_linenumber",
     )
-    resent = rows.where(F.col("l_linenumber") == 1).withColumn("request", F.lit("Z"))
     path = shared_dir(spark, "xml") + "/responses"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    write_xml(union_positional(rows, resent).drop("l_linenumber").repartition(n), path, "item", "items",
-              partition_by=["request"])
+    _write_requests(rows, F.col("l_linenumber") == 1, path, "item", "items", drop=["l_linenumber"])
     return path
 
 
+def _write_requests(rows: DataFrame, again: Column, path: str, row_tag: str, root_tag: str, drop: tuple | list = ()) -> None:
+    """Rows as XML responses by request, those that ``again`` holds for also under request Z: one pass
+    without a shuffle or a sort, in compressed files of bounded length."""
+    requests = F.when(again, F.array("request", F.lit("Z"))).otherwise(F.array("request"))
+    out = rows.withColumn("request", F.explode(requests)).drop(*drop)
+    write_xml(out, path, row_tag, root_tag, partition_by=["request"], max_records_per_file=RECORDS_PER_FILE, compression=CODEC)
+
+
 def _land_responses(spark, d) -> str:
     return _fixture(spark, d, "responses", _write_responses)
 
@@ -613,10 +620,8 @@ def _write_case_responses(spark, d) -> str:
         F.col("o_orderkey").cast("string").alias("IdProcedimento"), F.concat(F.lit("C-"), F.col("o_orderkey").cast("string")).alias("ProcedimentoFormatado"),
         F.struct(F.col("o_custkey").cast("string").alias("IdTipoProcedimento"), F.col("c_mktsegment").alias("Nome")).alias("TipoProcedimento"),
         local_time_text("o_orderdate", "yyyy-MM-dd").alias("DataAutuacao"), F.col("o_orderpriority").alias("request"))
-    resent = rows.where(F.col("IdProcedimento").endswith("0")).withColumn("request", F.lit("Z"))
     path = shared_dir(spark, "xml") + "/cases"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    write_xml(union_positional(rows, resent).repartition(n), path, "parametros", "resposta", partition_by=["request"])
+    _write_requests(rows, F.col("IdProcedimento").endswith("0"), path, "parametros", "resposta")
     return path
 
 
@@ -646,7 +651,7 @@ def q_lake_end_to_end(spark, d):
     lake = LakeLayout(shared_dir(spark, "lake"))
     moves = extract_responses(spark, _land_responses(spark, d), "item", "IdAndamento", schema=RESPONSE_SCHEMA,
                               request_key=("IdProcedimentoFormatado", r"/request=([^/]+)/"))["rows"].drop("request")
-    land_raw(moves, lake, "case_movements", "andamentos", "20240131")
+    land_raw(moves, lake, "case_movements", "andamentos", "20240131", max_records_per_file=RECORDS_PER_FILE, compression=CODEC)
     standardize(spark, lake, "json", "20240131", business_area="case_movements", load_ts=LOAD_TS)
     spec = ConformSpec(rename={"IdTarefa": "task"}, clean_strings=["DataHora"])
     path = refine_dimension(spark, lake, "case_movements", "andamentos", "dim_case_movements", spec,
@@ -686,12 +691,13 @@ def _write_raw_lake(spark, d) -> LakeLayout:
     """orders under three days (one status per day), a CSV of another status on the
     middle day, a second business area, and a dataset outside the layout depth."""
     lake = LakeLayout(shared_dir(spark, "lake"))
+    packed = {"max_records_per_file": RECORDS_PER_FILE, "compression": CODEC}
     o = _orders_text(spark, d)
     for day, status in RAW_DAYS.items():
-        write_json(o.where(F.col("o_orderstatus") == status), lake.raw("sales", "orders", day, "json"))
+        write_json(o.where(F.col("o_orderstatus") == status), lake.raw("sales", "orders", day, "json"), **packed)
     write_csv(o.where(F.col("o_orderstatus") == "P"), lake.raw("sales", "orders", "20240102", "csv"))
-    write_json(table(spark, d, "customer"), lake.raw("finance", "customers", "20240102", "json"))
-    write_json(o, f"{lake.raw_root}/sales/misplaced/20240102/orders.json")
+    write_json(table(spark, d, "customer"), lake.raw("finance", "customers", "20240102", "json"), **packed)
+    write_json(o, f"{lake.raw_root}/sales/misplaced/20240102/orders.json", **packed)
     return lake
 
 
@@ -754,7 +760,7 @@ def q_stream_standardize(spark, d):
     appended to a standardized table with audit columns."""
     lake = _land_raw_lake(spark, d)
     target = shared_dir(spark, "stream") + "/orders"
-    glob = f"{lake.raw_root}/sales/operacional/orders/*/orders_*.json/*.json"
+    glob = f"{lake.raw_root}/sales/operacional/orders/*/orders_*.json/*.json*"
     q = standardize_stream(spark, glob, ORDERS_TEXT_SCHEMA, target, load_ts=LOAD_TS,
                            checkpoint=shared_dir(spark, "stream-checkpoints"))
     q.awaitTermination()

@@ -37,11 +37,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
-               max_records_per_file: int | None = None) -> None:
+               max_records_per_file: int | None = None, compression: str = "none") -> None:
     """JSON Lines part files (splittable on read, unlike one JSON array per file).
 
-    Null fields are written, so a column without any value keeps its place."""
-    _writer(df, mode, None, max_records_per_file, False).option("ignoreNullFields", "false").json(path)
+    Null fields are written, so a column without any value keeps its place. With ``compression`` a file is
+    read by one task: give ``max_records_per_file`` too."""
+    (_writer(df, mode, None, max_records_per_file, False).option("ignoreNullFields", "false")
+        .option("compression", compression).json(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
@@ -49,9 +51,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
 
 
 def write_xml(df: DataFrame, path: str, row_tag: str, root_tag: str = "rows",
-              mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> None:
-    (_writer(df, mode, partition_by, None, False)
-        .format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path))
+              mode: str = "overwrite", partition_by: Sequence[str] | None = None,
+              max_records_per_file: int | None = None, compression: str = "none", open_files: int = 16) -> None:
+    """XML part files, by folder of ``partition_by``. With ``compression`` a file is read by one task: give
+    ``max_records_per_file`` too. A task keeps up to ``open_files`` folders' files open, so rows are only sorted
+    by folder where it meets more."""
+    writer = (_writer(df, mode, partition_by, max_records_per_file, False)
+              .format("xml").option("rowTag", row_tag).option("rootTag", root_tag).option("compression", compression))
+    conf, key = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, str(open_files))
+    try:
+        writer.save(path)
+    finally:
+        conf.set(key, before)
 
 
 def write_delta(df: DataFrame, path: str, mode: str = "overwrite",

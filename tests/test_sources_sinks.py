@@ -4,9 +4,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.plans.layers import ingest_responses, land_raw, nested_entity, standardize
+from lakestrata import catalog
+from lakestrata.plans.layers import extract_responses, ingest_responses, land_raw, nested_entity, read_responses, restrict_requests, standardize
 from lakestrata.session import local_path
 from lakestrata.sinks import qualify_table, write_delta, write_json, write_parquet
+from lakestrata.sinks.writers import write_xml
 from lakestrata.sources import (
     LakeLayout,
     jdbc_options,
@@ -319,3 +321,59 @@ def test_latest_snapshot_skips_days_without_the_table(spark, tmp_dir):
     spark.range(3).write.parquet(f"{tmp_dir}/t/20240101/t_20240101.parquet")
     _write_text(f"{tmp_dir}/t/20240102/other.txt", "x")
     assert latest_snapshot_path(spark, f"{tmp_dir}/t").endswith("20240101/t_20240101.parquet")
+
+
+def test_xml_written_compressed_in_bounded_files(spark, tmp_dir):
+    rows = spark.range(100).selectExpr("cast(id as string) Id", "cast(id % 3 as string) request")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    write_xml(rows.coalesce(1), f"{tmp_dir}/x", "item", "items", partition_by=["request"], max_records_per_file=10, compression="lz4")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_dir}/x").select("path").collect()
+    assert len(files) == 12 and all(r.path.endswith(".xml.lz4") for r in files)
+    got = read_responses(spark, f"{tmp_dir}/x", "item").select("Id", "request").collect()
+    assert sorted((int(r.Id), str(r.request)) for r in got) == [(i, str(i % 3)) for i in range(100)]
+
+
+def test_landed_responses_take_no_shuffle_and_little_disk(spark):
+    """One pass writes the responses; they take a fraction of their text (they were plain text after a shuffle)."""
+    d = "/root/testdata/sf0.001"
+    path = catalog._write_responses(spark, d)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0]
+    text = spark.read.option("lineSep", "/item>").text(path).agg(F.sum(F.length("value"))).first()[0]
+    assert files * 3 < text
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    got = read_responses(spark, path, "item", catalog.RESPONSE_SCHEMA).groupBy("request").count().collect()
+    want = {r.l_returnflag: r["count"] for r in li.groupBy("l_returnflag").count().collect()}
+    assert {r.request: r["count"] for r in got} == {**want, "Z": li.where("l_linenumber = 1").count()}
+
+
+def test_short_key_list_is_broadcast(spark):
+    """A request with most of the rows isn't shuffled to one task, whatever table the key list comes from."""
+    rows = spark.range(1000).selectExpr("id", "if(id % 10 = 0, 'a', if(id % 10 = 1, null, 'b')) req")
+    wanted = spark.range(100_000).selectExpr("if(id % 2 = 0, 'b', null) k")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100KB")  # below the size of the key list's own table
+    try:
+        out = restrict_requests(rows, "req", wanted)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert out.count() == 800 and {r.req for r in out.collect()} == {"b"}
+
+
+def test_entities_from_one_columnar_copy(spark, tmp_dir):
+    _write_text(f"{tmp_dir}/r/C1.xml", "<e><item><Id>1</Id><U><IdU>u1</IdU></U></item><item><Id>1</Id><U><IdU>u2</IdU></U></item></e>")
+    out = extract_responses(spark, f"{tmp_dir}/r", "item", "Id", entities={"U": None}, children={"U": "IdU"})
+    assert "parquet" in out["U"]._jdf.queryExecution().executedPlan().toString().lower()  # it was a checkpoint of whole rows
+    assert sorted(r.IdU for r in out["U"].collect()) == ["u1", "u2"] and [r.U for r in out["rows"].collect()] == ["u1"]
+
+
+def test_raw_json_landed_compressed(spark, tmp_dir):
+    lake = LakeLayout(f"{tmp_dir}/lake")
+    path = land_raw(spark.range(50).selectExpr("id", "if(id = 3, null, 'x') t").coalesce(1), lake, "a", "e", "20240131", max_records_per_file=20, compression="lz4")
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    assert len(files) == 3 and all(f.endswith(".json.lz4") for f in files)
+    status = standardize(spark, lake, "json", "20240131").first()
+    assert status.ok and status.n_rows == 50
+    assert spark.read.parquet(status.standardized_path).where("t IS NULL").select("id").collect()[0].id == 3
