@@ -35,7 +35,7 @@ def landed_lines(spark: SparkSession, path: str) -> DataFrame:
     split of a file, ``at`` is where the split starts."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
                                          F.monotonically_increasing_id().alias("k"), F.col("value").alias("line"))
-    return staged(lines.where(F.trim(F.regexp_replace("line", "^\ufeff", "")) != ""), "raw-lines")
+    return staged(lines.where(F.trim(F.regexp_replace("line", "^\ufeff", "")) != ""), "raw-lines", "zstd")
 
 
 def first_lines(lines: DataFrame) -> DataFrame:
