@@ -61,11 +61,12 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with hashes of the ids and of the bytes they decode to.
 
     Null and empty texts have no ids (the hashes are those of nothing); long texts are encoded whole; a row comes
-    out for every row.
+    out for every row. The ids are written before they are decoded: steps chained in one task each hold a Python
+    process of their own, and Spark keeps these processes for the steps that follow.
     """
     path, pattern = tokenizer_files()
     ranks = read_ranks(path)
-    coded = decode(encode(docs.select("doc_id", "source", "text"), ranks, pattern), ranks)
+    coded = decode(stage(encode(docs.select("doc_id", "source", "text"), ranks, pattern), "ids"), ranks)
     return coded.select("doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -58,6 +58,16 @@ def test_stages_on_odd_rows(spark):
         assert step(spark, empty, SF).count() == 0, name
 
 
+def test_a_task_of_tokens_holds_one_python_process(spark):
+    pipeline = importlib.import_module("corpus_pipeline")
+    rows = [(1, "one text and  another", "s"), (None, None, None), (1, "", "t"), (1, "", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = pipeline.tokens(spark, docs, SF)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    known = {r.decoded_sha256 for r in out.collect()}
+    assert out.count() == 4 and known == {hashlib.sha256((t or "").encode()).hexdigest() for _, t, _ in rows}
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
