@@ -87,7 +87,7 @@ SEGMENTS = ("BUILDING", "MACHINERY")
 LOAD_TS = "2024-01-02 03:04:05"
 AUDIT_TEXT = "yyyy-MM-dd HH:mm:ss.SSS"
 #: Landed text files are compressed; a file is one task's, so its rows are bounded.
-CODEC, RECORDS_PER_FILE = "lz4", 50_000
+CODEC, RECORDS_PER_FILE = "gzip", 50_000
 
 SYN_SPEC = StarSpec(
     move_case="l_orderkey", move_unit="l_suppkey", move_task="l_linestatus", move_time="event_text",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from lakestrata.functions.expressions import null_like, quoted
+from lakestrata.operators.relational import might_match
 
 
 def _hashed(df: DataFrame) -> DataFrame:
@@ -22,18 +23,19 @@ def _hashed(df: DataFrame) -> DataFrame:
 
 
 def integrity_check(df: DataFrame) -> DataFrame:
-    """Exact-duplicate check whose shuffle carries two hashes and a count for each row.
+    """Exact-duplicate check whose shuffle carries a hash and a count for each row.
 
     Returns one row: ``n_rows``, ``n_distinct``, ``n_duplicates`` (= rows - distinct) and
     ``ok`` (no duplicates). Rows are counted by hash first; only rows whose hashes occur more than once
-    are compared in full, so equal hashes of different rows don't count as duplicates. Both
-    aggregates combine map-side, so many copies of one row collapse before they move. ``df`` is
-    read twice: pass a written table. Duplicates are reported, not removed.
+    are compared in full, so equal hashes of different rows don't count as duplicates. A bit map of those
+    hashes keeps most other rows from being moved. Both aggregates combine map-side, so many copies of one
+    row collapse before they move. ``df`` is read twice: pass a written table. Duplicates are reported, not removed.
     """
-    rows, pair = _hashed(df), ["__h1", "__h2"]
-    groups = rows.groupBy(*pair).agg(F.count(F.lit(1)).alias("__n"))
-    again = rows.join(groups.where("__n > 1").select(*pair), pair, "left_semi")
-    repeated = again.groupBy(*pair, *[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    rows = _hashed(df).drop("__h2")
+    groups = rows.groupBy("__h1").agg(F.count(F.lit(1)).alias("__n"))
+    many = groups.where("__n > 1").select("__h1")
+    again = might_match(rows, "__h1", many, max_keys=None).join(many, "__h1")  # not a semi join, which would be done before the map
+    repeated = again.groupBy("__h1", *[quoted(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
     both = (groups.agg(F.sum("__n").alias("n"), F.count_if(F.col("__n") == 1).alias("d"))
             .unionByName(repeated.agg(F.lit(0).cast("bigint").alias("n"), F.count(F.lit(1)).alias("d"))))
     return both.agg(

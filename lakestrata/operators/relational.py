@@ -93,14 +93,15 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 # --- one row per key -----------------------------------------------------------------------
 
 def dedupe_keep_first(df: DataFrame, key: str | Sequence[str],
-                      order_by: str | Column | Sequence[str | Column]) -> DataFrame:
+                      order_by: str | Column | Sequence[str | Column], ties: bool = True) -> DataFrame:
     """One row per key, the first in ``order_by`` (e.g. file, then position in file).
 
     Null keys form one group, like pandas ``drop_duplicates``. When ``order_by`` ties, a
-    hash of the row's content decides, so a re-run task keeps the same row.
+    hash of the row's content decides, so a re-run task keeps the same row. ``ties=False`` says that no two
+    rows tie (each has its own place in its file): then no hash moves with the rows.
     """
     order = _cols(order_by)
-    if _groupable(df):
+    if ties and _groupable(df):
         order = order + [F.xxhash64(*[F.col(quoted(c)) for c in df.columns])]
     w = Window.partitionBy(*_cols(key)).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
@@ -227,21 +228,22 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Co
     return fact.join(dim, on, how)
 
 
-def might_match(df: DataFrame, column: str, keys: DataFrame, bits: int = 24, max_keys: int = 1 << 22) -> DataFrame:
+def might_match(df: DataFrame, column: str, keys: DataFrame, bits: int = 24, max_keys: int | None = 1 << 22) -> DataFrame:
     """Rows of ``df`` whose ``column`` may be among ``keys`` (its first column): a bit map of key hashes
     below a shuffle that the exact join follows.
 
     Rows with a null key go, every row with a wanted key stays, and others pass by chance (a share of
     keys / 2**bits). The map is a table of 64-bit words, ``2**(bits - 6)`` at most (4 MB), joined by
     broadcast whatever the number of keys. More than ``max_keys`` keys (counted by a bounded job) would fill it:
-    then ``df`` comes back as it is, and also where the two types differ.
+    then ``df`` comes back as it is, and also where the two types differ. ``max_keys=None`` doesn't count, and
+    runs no job.
     """
     name = keys.columns[0]
     if df.schema[column].dataType != keys.schema[name].dataType:
         return df
-    if keys.limit(max_keys + 1).count() > max_keys:
+    if max_keys is not None and keys.limit(max_keys + 1).count() > max_keys:
         return df
-    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    place = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << bits) - 1))  # noqa: E731 - never null, so no filter on it keeps plans of the keys apart
     words = (keys.where(F.col(quoted(name)).isNotNull()).select(place(F.col(quoted(name))).alias("__p"))
              .groupBy(F.shiftright("__p", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__p & 63 AS int))")).alias("__mask")))
     probed = df.where(F.col(quoted(column)).isNotNull()).withColumn("__p", place(F.col(quoted(column)))).withColumn("__word", F.shiftright("__p", 6))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -30,9 +31,9 @@ from lakestrata.plans.facts import (
     stalled_cases_from_detail,
     stalled_detail,
 )
-from lakestrata.session import checkpoint_root, staged
+from lakestrata.session import checkpoint_root, copies_removed, staged
 from lakestrata.sinks.committed import path_exists
-from lakestrata.sinks.writers import publish_refined, write_delta, write_jdbc, write_json, write_parquet
+from lakestrata.sinks.writers import LAYER_CODEC, publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
     read_latest_snapshot,
     read_parquet,
@@ -121,7 +122,7 @@ def ingest_responses(spark: SparkSession, paths: str | Sequence[str], row_tag: s
     df = lift_nested_ids(read_responses(spark, paths, row_tag, schema, request_key), children)
     if request_key and (wanted is not None or blocked):
         df = restrict_requests(df, request_key[0], wanted, blocked)
-    out = dedupe_keep_first(df, key, [SOURCE_FILE, SOURCE_POS]) if key else df
+    out = dedupe_keep_first(df, key, [SOURCE_FILE, SOURCE_POS], ties=False) if key else df
     return out if keep_origin else out.drop(SOURCE_FILE, SOURCE_POS)
 
 
@@ -130,7 +131,7 @@ def entity_from_responses(responses: DataFrame, element: str, key: str | None =
     (default key ``Id{element}``, first seen wins)."""
     key = key or f"Id{element}"
     ent = responses.select(f"{quoted(element)}.*", SOURCE_FILE, SOURCE_POS)
-    return dedupe_keep_first(ent, key, [SOURCE_FILE, SOURCE_POS]).drop(SOURCE_FILE, SOURCE_POS)
+    return dedupe_keep_first(ent, key, [SOURCE_FILE, SOURCE_POS], ties=False).drop(SOURCE_FILE, SOURCE_POS)
 
 
 def nested_entity(spark: SparkSession, paths: str | Sequence[str], row_tag: str, element: str,
@@ -154,7 +155,7 @@ def extract_responses(spark: SparkSession, paths: str | Sequence[str], row_tag:
     if entities:
         parsed = staged(parsed, "responses", "zstd")
     rows = lift_nested_ids(parsed, children)
-    rows = dedupe_keep_first(rows, key, [SOURCE_FILE, SOURCE_POS]) if key else rows
+    rows = dedupe_keep_first(rows, key, [SOURCE_FILE, SOURCE_POS], ties=False) if key else rows
     out = {"rows": rows.drop(SOURCE_FILE, SOURCE_POS)}
     for element, ent_key in (entities or {}).items():
         out[element] = entity_from_responses(parsed, element, ent_key)
@@ -249,6 +250,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
                    .agg(F.count("*").alias("n_files"))
                    .orderBy("business_area", "source_system", "endpoint")
                    .collect())  # one row per table of the day: bounded metadata
+    @copies_removed(spark)  # the staged lines are as large as the raw files
     def run(t) -> tuple:
         out_path = target.standardized(t.business_area, t.endpoint, day, t.source_system, output_format)
         n_rows = n_dup = n_corrupt = None
@@ -263,7 +265,7 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
             lost = F.lit(file_type == "json") & F.col(CORRUPT).isNotNull()
             for c in names:  # a text without any field that could be read
                 lost = lost & F.col(quoted(c)).isNull()
-            writer = write_delta if output_format == "delta" else write_parquet
+            writer = write_delta if output_format == "delta" else partial(write_parquet, compression=LAYER_CODEC)
             table_root = target.standardized_table(t.business_area, t.endpoint, t.source_system)
             earlier = _days_without_index(spark, table_root, output_format)
             writer(add_audit_columns(df.where(~lost).drop(CORRUPT, SOURCE_FILE), load_ts), out_path)

@@ -9,7 +9,11 @@ which is the only place the library writes scratch data.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,10 +96,63 @@ def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFram
     """``df`` written as Parquet to the shared scratch folder and read again: what several jobs
     use is computed once, and a lost executor costs a re-read."""
     path = shared_dir(df.sparkSession, "staged", name)
-    df.write.parquet(path, compression=compression)
+    if (copies := _COPIES.get()) is not None:
+        copies.append(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_COPIES: ContextVar[list[str] | None] = ContextVar("copies", default=None)
+
+
+@contextmanager
+def copies_removed(spark: SparkSession) -> Iterator[None]:
+    """What ``staged`` writes inside (in this thread) is removed at the end: nothing may read it later."""
+    copies: list[str] = []
+    token = _COPIES.set(copies)
+    try:
+        yield
+    finally:
+        _COPIES.reset(token)
+        try:
+            sc = spark.sparkContext
+        except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext: the copies stay
+            copies = []
+        for path in copies:
+            with suppress(Exception):  # a copy that stays is no failure
+                at = sc._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Shuffle files of a run go when it ends; else they stay until the driver happens to collect its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FREEING: dict[int, list] = {}  # session's id -> session, open blocks
+_FREEING_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside leave no shuffle files, unless the session itself sets ``FREE_SHUFFLES``. Blocks of
+    several threads may overlap; the last to end takes the setting back."""
+    with _FREEING_LOCK:
+        opened = _FREEING.get(id(spark))
+        own = opened is not None or _conf(spark, FREE_SHUFFLES) is None
+        if own:
+            opened = _FREEING.setdefault(id(spark), [spark, 0])
+            opened[1] += 1
+            spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if own:
+            with _FREEING_LOCK:
+                opened[1] -= 1
+                if not opened[1]:
+                    del _FREEING[id(spark)]
+                    spark.conf.unset(FREE_SHUFFLES)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[len("file:"):] if path.startswith("file:") else path

@@ -14,9 +14,14 @@ from pyspark.sql import DataFrame
 
 from lakestrata.operators.quality import observe_rows
 from lakestrata.operators.transforms import add_audit_columns
+from lakestrata.session import shuffles_freed
 from lakestrata.sinks.committed import replace_committed
 
 
+#: Codec of the Parquet files of the lake's layers.
+LAYER_CODEC = "zstd"
+
+
 def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None,
             max_records_per_file: int | None, partition_overwrite: bool):
     w = df.write.mode(mode)
@@ -32,8 +37,9 @@ def _writer(df: DataFrame, mode: str, partition_by: Sequence[str] | None,
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] | None = None,
                   max_records_per_file: int | None = None,
-                  partition_overwrite: bool = False) -> None:
-    _writer(df, mode, partition_by, max_records_per_file, partition_overwrite).parquet(path)
+                  partition_overwrite: bool = False, compression: str | None = None) -> None:
+    with shuffles_freed(df.sparkSession):
+        _writer(df, mode, partition_by, max_records_per_file, partition_overwrite).parquet(path, compression=compression)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
@@ -42,8 +48,9 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite",
 
     Null fields are written, so a column without any value keeps its place. With ``compression`` a file is
     read by one task: give ``max_records_per_file`` too."""
-    (_writer(df, mode, None, max_records_per_file, False).option("ignoreNullFields", "false")
-        .option("compression", compression).json(path))
+    with shuffles_freed(df.sparkSession):
+        (_writer(df, mode, None, max_records_per_file, False).option("ignoreNullFields", "false")
+            .option("compression", compression).json(path))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
@@ -93,7 +100,7 @@ def publish_refined(df: DataFrame, path: str, add_metadata: bool = True, load_ts
     if committed:
         return replace_committed(out, path, max_records_per_file)
     out, obs = observe_rows(out, "published_rows")
-    write_parquet(out, path, "overwrite", max_records_per_file=max_records_per_file)
+    write_parquet(out, path, "overwrite", max_records_per_file=max_records_per_file, compression=LAYER_CODEC)
     return int(obs.get.get("n_rows", 0))
 
 
