@@ -31,7 +31,7 @@ from lakestrata.plans.facts import (
     stalled_cases_from_detail,
     stalled_detail,
 )
-from lakestrata.session import checkpoint_root, copies_removed, staged
+from lakestrata.session import checkpoint_root, copies_removed, shuffles_freed, staged
 from lakestrata.sinks.committed import path_exists
 from lakestrata.sinks.writers import LAYER_CODEC, publish_refined, write_delta, write_jdbc, write_json, write_parquet
 from lakestrata.sources.files import (
@@ -275,7 +275,8 @@ def standardize(spark: SparkSession, layout: LakeLayout, file_type: str, ingesti
             if check_integrity:
                 # Checked on the columnar copy just written (raw text is parsed only once).
                 written = spark.read.format(output_format).load(out_path).select(*[quoted(c) for c in names])
-                report = integrity_check(written).first()
+                with shuffles_freed(spark):
+                    report = integrity_check(written).first()
                 n_rows, n_dup = report.n_rows, report.n_duplicates
                 if n_dup:  # the same row in two files is none: look at each file by itself
                     n_dup = _duplicates_by_file(df.where(~lost), layout).agg(F.sum("n_duplicates")).first()[0] or 0

@@ -104,6 +104,18 @@ def test_standardize_removes_its_staged_lines(spark, tmp_dir):
     assert spark.read.parquet(status.standardized_path).count() == 31
 
 
+def test_standardize_leaves_no_large_shuffle(spark, tmp_dir):
+    lake = LakeLayout(f"{tmp_dir}/lake")
+    land_raw(spark.range(20_000), lake, "a", "e", "20240131")
+    before = _shuffles(spark)
+    assert standardize(spark, lake, "json", "20240131").first().ok
+    until = time.time() + 10
+    left = lambda: sum(n for f, n in _shuffles(spark).items() if f not in before)
+    while left() > 50_000 and time.time() < until:  # a hash for each row is over 150,000
+        time.sleep(0.1)
+    assert left() < 50_000
+
+
 def test_copies_of_other_blocks_stay(spark):
     kept = staged(spark.range(3), "x")
     with pytest.raises(ValueError), copies_removed(spark):
